@@ -32,8 +32,8 @@ def register(name: str, oracle: str | None = None):
 
 def _load_all() -> None:
     # Importing the modules registers their queries.
-    from dimflow.plans import (q_files, q_load, q_quality, q_registry,  # noqa: F401
-                               q_runlog, q_scan, q_state)
+    from dimflow.plans import (q_files, q_load, q_projection, q_quality,  # noqa: F401
+                               q_registry, q_runlog, q_scan, q_state)
 
 
 _load_all()

@@ -155,4 +155,7 @@ def with_fixtures(sql: str, *names: str) -> str:
     if not names:
         return sql
     ctes = ",\n".join(f"{n} AS ({render(n, 'duckdb')})" for n in names)
+    body = sql.lstrip()
+    if body[:5].lower() == "with ":
+        return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{sql}"
