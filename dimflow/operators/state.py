@@ -43,7 +43,7 @@ def mark_complete(update_log: DataFrame, tables: DataFrame | None = None,
     cond = (F.col("table_name") == F.col("_pt")) & (F.col("update_date") == F.col("_pu")) & \
         (F.col("uploaded_to_vertica") == "downloaded")
     if tie_break:
-        cond = cond & (F.col(tie_break) == F.col("_pk"))
+        cond = cond & F.col(tie_break).eqNullSafe(F.col("_pk"))
     j = update_log.join(pick, cond, "left")
     return j.select(*[(F.when(F.col("_pt").isNotNull(), F.lit("complete"))
                        .otherwise(F.col(c)).alias(c)) if c == "uploaded_to_vertica" else F.col(c)
