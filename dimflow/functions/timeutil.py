@@ -27,8 +27,12 @@ EPOCH_NTZ = "1970-01-01 00:00:00"
 
 
 def utc_hour(ts) -> Column:
-    """H1: floor(epoch seconds / 3600) of a UTC wall-clock timestamp, BIGINT."""
-    return F.timestamp_diff("HOUR", ntz(EPOCH_NTZ), _col(ts)).cast("bigint")
+    """H1: floor(epoch seconds / 3600) of a UTC wall-clock timestamp, BIGINT.
+
+    Days since the epoch times 24 plus the hour of day -- plain NTZ field
+    arithmetic, no cast through the session time zone."""
+    c = _col(ts)
+    return (F.unix_date(F.to_date(c)).cast("bigint") * 24 + F.hour(c)).cast("bigint")
 
 
 def hour_ts(hour) -> Column:

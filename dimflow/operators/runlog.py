@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from dimflow.functions.timeutil import (batch_path, hour_ts, ntz, parse_minute, minute_string,
                                         truncate_to_second, utc_hour)
@@ -38,6 +39,29 @@ def hourly_grain(log: DataFrame) -> DataFrame:
         .agg(F.max("process_minute").alias("max_minute"))
 
 
+def next_after(probes: DataFrame, values: DataFrame, group: list[str], probe_col: str,
+               value_col: str, out: str) -> DataFrame:
+    """For every probe row, the smallest value of its group strictly greater
+    than ``probe_col`` (NULL when none or when the probe is NULL).
+
+    The successor search of the source's ``x > (select max ...)`` subqueries,
+    done without pairing every probe with every value: probes and values are
+    unioned and one running ``min`` over the group, sorted descending, hands
+    each probe the smallest value seen above it -- linear in the group, one
+    sort.  Groups are values already reduced to distinct hours.
+    """
+    pcols = [c for c in probes.columns if c not in group]
+    p = probes.select(*group, F.col(probe_col).alias("_x"), F.lit(0).alias("_k"),
+                      F.struct(*[F.col(c) for c in pcols]).alias("_probe"))
+    v = values.select(*group, F.col(value_col).alias("_x"), F.lit(1).alias("_k"),
+                      F.lit(None).cast(p.schema["_probe"].dataType).alias("_probe"))
+    w = (Window.partitionBy(*group).orderBy(F.col("_x").desc_nulls_last(), F.col("_k").asc())
+         .rowsBetween(Window.unboundedPreceding, -1))
+    nxt = F.min(F.when(F.col("_k") == 1, F.col("_x"))).over(w)
+    u = p.unionByName(v).withColumn(out, F.when(F.col("_x").isNotNull(), nxt))
+    return u.where(F.col("_k") == 0).select(*group, *[F.col(f"_probe.{c}").alias(c) for c in pcols], out)
+
+
 def _is(process: str, *statuses: str) -> Column:
     return (F.col("process_name") == process) & F.col("status").isin(*statuses)
 
@@ -143,13 +167,13 @@ def next_aggregate_hour(agg_log: DataFrame, pairs: DataFrame) -> DataFrame:
     (COMPLETED or RUNNING) above the job's own last COMPLETED hour (0 if none);
     NULL when there is none."""
     up_hours = agg_log.where(F.col("status").isin("COMPLETED", "RUNNING")) \
-        .select(F.col("job_id").alias("_up"), F.col(HOUR).alias("_h")).distinct()
+        .select(F.col("job_id").alias("upstream_job_id"), F.col(HOUR).alias("_h")).distinct()
     done = agg_log.where(F.col("status") == "COMPLETED").groupBy("job_id") \
         .agg(F.max(HOUR).alias("_done"))
-    p = pairs.select("job_id", "upstream_job_id").distinct().join(done, "job_id", "left")
-    j = p.join(up_hours, F.col("upstream_job_id") == F.col("_up"), "left")
-    nxt = F.min(F.when(F.col("_h") > F.coalesce(F.col("_done"), F.lit(0)), F.col("_h")))
-    return j.groupBy("job_id", "upstream_job_id").agg(nxt.cast("bigint").alias("next_hour"))
+    p = pairs.select("job_id", "upstream_job_id").distinct().join(done, "job_id", "left") \
+        .select("upstream_job_id", "job_id", F.coalesce(F.col("_done"), F.lit(0)).alias("_thr"))
+    r = next_after(p, up_hours, ["upstream_job_id"], "_thr", "_h", "next_hour")
+    return r.select("job_id", "upstream_job_id", F.col("next_hour").cast("bigint").alias("next_hour"))
 
 
 def next_transfer_hour(agg_log: DataFrame, log: DataFrame, targets: DataFrame) -> DataFrame:
@@ -158,17 +182,17 @@ def next_transfer_hour(agg_log: DataFrame, log: DataFrame, targets: DataFrame) -
     COMPLETED TRANSFER hour, or -- when it was never transferred -- above the
     upstream's greatest hour minus one; NULL when none."""
     ok = agg_log.where(F.col("status").isin("COMPLETED", "RUNNING"))
-    up_hours = ok.select(F.col("job_id").alias("_up"), F.col(HOUR).alias("_h")).distinct()
+    up_hours = ok.select(F.col("job_id").alias("upstream_job_id"), F.col(HOUR).alias("_h")).distinct()
     up_prev = ok.groupBy(F.col("job_id").alias("_upm")).agg((F.max(HOUR) - 1).alias("_prev"))
     g = hourly_grain(log)
     trf = g.where(_is("TRANSFER", "COMPLETED")).groupBy(*DB_T).agg(F.max(HOUR).alias("_trf"))
     t = (targets.select(*DB_T, "upstream_job_id").distinct()
          .join(trf, DB_T, "left")
          .join(up_prev, F.col("upstream_job_id") == F.col("_upm"), "left")
-         .join(up_hours, F.col("upstream_job_id") == F.col("_up"), "left"))
-    thr = F.coalesce(F.col("_trf"), F.col("_prev"))
-    nxt = F.min(F.when(F.col("_h") > thr, F.col("_h")))
-    return t.groupBy(*DB_T, "upstream_job_id").agg(nxt.cast("bigint").alias("next_transfer_hour"))
+         .select("upstream_job_id", *DB_T, F.coalesce(F.col("_trf"), F.col("_prev")).alias("_thr")))
+    r = next_after(t, up_hours, ["upstream_job_id"], "_thr", "_h", "next_transfer_hour")
+    return r.select(*DB_T, "upstream_job_id",
+                    F.col("next_transfer_hour").cast("bigint").alias("next_transfer_hour"))
 
 
 # ---------------------------------------------------------------- uploads ----
