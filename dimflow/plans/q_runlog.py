@@ -147,12 +147,15 @@ select t.database_name, t.table_name, t.upstream_job_id, cast((select min(proces
                  and l.table_name = t.table_name and l.status = 'COMPLETED' and l.database_name = t.database_name),
               (select max(processed_utc_hour) - 1 from fx_agg_log b where b.status in ('COMPLETED', 'RUNNING')
                  and b.job_id = t.upstream_job_id))) as bigint) as next_transfer_hour
- from (select distinct database_name, table_name, 1 as upstream_job_id from fx_load_log) t""",
+ from (select distinct database_name, table_name,
+         case when database_name = 'db0' then 1 else 2 end as upstream_job_id from fx_load_log) t""",
                                               "fx_load_log", "fx_agg_log"))
 def q_next_transfer_hour(spark, sf):
-    """L4: every table of the trf log, upstream aggregation job 1."""
+    """L4: every table of the trf log; db0 tables are fed by aggregation job 1,
+    the others by job 2."""
     log = _log(spark, sf)
-    targets = log.select("database_name", "table_name", F.lit(1).alias("upstream_job_id"))
+    up = F.when(F.col("database_name") == "db0", F.lit(1)).otherwise(F.lit(2))
+    targets = log.select("database_name", "table_name", up.alias("upstream_job_id"))
     return RL.next_transfer_hour(fixture(spark, sf, "fx_agg_log"), log, targets)
 
 
