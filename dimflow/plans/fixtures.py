@@ -75,7 +75,7 @@ select distinct concat('dim_', cast(l_partkey as string)) as table_name from @T(
  where l_returnflag = 'A' and l_quantity > 45""",
     # Source database dictionary: 50 views (vw_dim_<size>), a column per part,
     # type names cycling through the source type vocabulary.
-    "fx_dictionary": """
+    "fx_part_dictionary": """
 select concat('vw_dim_', cast(p_size as string)) as table_name, concat('c', cast(p_partkey as string)) as column_name,
  element_at(array('bigint','varchar','enum','decimal','double','tinyint','int','datetime','NUMBER','VARCHAR2','time'),
             cast(p_partkey % 11 + 1 as int)) as data_type, p_partkey as ordinal from @T(part)""",
@@ -86,7 +86,7 @@ select concat('vw_dim_', cast(p_size as string)) as table_name, concat('c', cast
     # Table-spec column entries (schema document B, flattened): KEY entries from
     # stats_keys, METRIC entries from measures, an OTHER entry per table;
     # positions interleave so that KEY-before-METRIC ordering matters.
-    "fx_spec_columns": """
+    "fx_part_spec_columns": """
 select table_name, 2 * k + 1 as pos, 'KEY' as field_type, item as output_name from (
   select concat('dim_', cast(p_partkey as string)) as table_name, 0 as k, p_brand as item from @T(part)
   union all select concat('dim_', cast(p_partkey as string)), 1, p_type from @T(part)) s

@@ -62,14 +62,14 @@ lines as (
  select coalesce(v.t, d.table_name) as table_name,
   replace(d.table_name || ' ' || d.column_name || ' - - - - - ' || {_norm_case('d.data_type')} || ' - "ends ''\\001''"',
           d.table_name, coalesce(v.t, d.table_name)) as line
- from fx_dictionary d left join v on v.v = d.table_name)
+ from fx_part_dictionary d left join v on v.v = d.table_name)
 select distinct table_name, table_name || ' - - - - - - format - -' as line from lines
-union all select * from lines""", "fx_dictionary", "fx_registry"))
+union all select * from lines""", "fx_part_dictionary", "fx_registry"))
 def q_sidecar_round_trip(spark, sf):
     """P8 -> K2 (all tables in one partitioned write) -> read back."""
     views = fixture(spark, sf, "fx_registry").select("table_name", "view_name")
     root = scratch_path(spark, "sidecars")
-    K.write_schema_sidecars(schema_lines(fixture(spark, sf, "fx_dictionary"), views), root)
+    K.write_schema_sidecars(schema_lines(fixture(spark, sf, "fx_part_dictionary"), views), root)
     return spark.read.text(root).select("table_name", F.col("value").alias("line"))
 
 

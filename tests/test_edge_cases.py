@@ -108,3 +108,35 @@ def test_time_functions_ignore_session_zone(spark):
     assert a == b
     assert a.h == int(dt.datetime(2024, 3, 10, 10, tzinfo=dt.timezone.utc).timestamp() // 3600)
     assert a.p == dt.datetime(2024, 3, 10, 3, 30)  # PDT started 2024-03-10 10:00 UTC
+
+
+def _values_fixture(spark, name):
+    """A FIXTURES.md §3 VALUES fixture (hand-made input) as a DataFrame."""
+    import re
+    from conftest import ROOT
+    text = open(f"{ROOT}/FIXTURES.md").read()
+    sql = re.search(rf"-- {name}\n(.*?)```", text, re.S).group(1)
+    return spark.sql(sql)
+
+
+def test_schema_lines_on_handmade_dictionary(spark):
+    from dimflow.operators.projection import schema_lines
+    d = _values_fixture(spark, "fx_dictionary")
+    views = spark.createDataFrame([("dim", "vw_dim")], "table_name string, view_name string")
+    lines = [r.line for r in schema_lines(d, views).orderBy("ordinal").collect()]
+    end = " - \"ends '\\001'\""
+    assert lines == ["dim - - - - - - format - -"] + [
+        f"dim {c} - - - - - {t}{end}" for c, t in [
+            ("id", "long"), ("name", "string"), ("kind", "string"), ("price", "double"),
+            ("ratio", "double"), ("flag", "int"), ("n", "int"), ("made", "string"),
+            ("ora_n", "int"), ("ora_s", "string"), ("t", "time")]]
+
+
+def test_spec_columns_on_handmade_entries(spark):
+    from dimflow.operators.projection import spec_columns
+    cols = _values_fixture(spark, "fx_spec_columns")
+    got = {r.table_name: (r.columns, r.n_dropped) for r in spec_columns(cols).collect()}
+    assert got == {"a": ("id,name,clicks,cost", 1), "b": ("k", 0)}
+    sql = spark.createDataFrame([("a",)], "table_name string")
+    got_sql = {r.table_name: r.columns for r in spec_columns(cols, sql).collect()}
+    assert got_sql["a"] == "clicks,id,name,junk,cost"
