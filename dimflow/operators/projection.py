@@ -36,18 +36,19 @@ def spec_columns(spec_cols: DataFrame, sql_tables: DataFrame | None = None) -> D
         df = df.withColumn("_is_sql", F.lit(None).cast("boolean"))
     is_key = F.col("field_type") == "KEY"
     is_metric = F.col("field_type") == "METRIC"
-    entry = F.struct(F.col("pos").alias("p"), F.col("output_name").alias("n"))
-
-    def joined(cond):
-        arr = F.array_sort(F.collect_list(F.when(cond, entry)))
-        return F.array_join(F.transform(arr, lambda e: e["n"]), ",")
-
+    # one sorted list of entries per table, then three views of it
+    entry = F.struct(F.col("pos").alias("p"), F.col("field_type").alias("t"), F.col("output_name").alias("n"))
     g = df.groupBy("table_name").agg(
         F.max("_is_sql").alias("_is_sql"),
-        joined(F.lit(True)).alias("_all"),
-        joined(is_key).alias("_keys"),
-        joined(is_metric).alias("_metrics"),
+        F.array_sort(F.collect_list(entry)).alias("_e"),
         F.count_if(~(is_key | is_metric)).alias("n_dropped"))
+
+    def names(kind: str | None):
+        arr = F.col("_e") if kind is None else F.filter("_e", lambda e: e["t"] == kind)
+        return F.array_join(F.transform(arr, lambda e: e["n"]), ",")
+
+    g = g.select("table_name", "_is_sql", "n_dropped", names(None).alias("_all"),
+                 names("KEY").alias("_keys"), names("METRIC").alias("_metrics"))
     non_sql = F.when(F.col("_metrics") != "", F.concat_ws(",", "_keys", "_metrics")) \
         .otherwise(F.col("_keys"))
     return g.select(

@@ -25,6 +25,7 @@ from dimflow.operators import registry as R
 from dimflow.operators import runlog as RL
 from dimflow.operators import state as ST
 from dimflow.operators.projection import schema_lines
+from dimflow.session import ensure_checkpoint_dir
 from dimflow.sinks import files as K
 from dimflow.sinks import fs
 from dimflow.sinks import tables as TB
@@ -161,6 +162,7 @@ def load(spark: SparkSession, table: str, batch_dir: str, spec_path: str, prod_p
     written into batch-named folders, so a replay after a crash between
     publish and event rewrites instead of doubling.
     """
+    ensure_checkpoint_dir(spark)  # the parsed batch is checkpointed below
     batch_id = minute or str(hour)
     if log_path is not None and TB.current_version(spark, log_path) is not None:
         done = Q.not_yet_loaded(

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from dimflow.operators import load as L
 from dimflow.operators import quality as Q
-from dimflow.session import scratch_path
+from dimflow.session import ensure_checkpoint_dir, scratch_path
 from dimflow.sinks import tables as TB
 from dimflow.sources.files import parse_delimited
 
@@ -31,6 +31,7 @@ def stream_load(spark: SparkSession, source: str, schema, prod_path: str, sep: s
     ``reject_path``; good rows are appended to ``prod_path`` -- only keys
     not yet present when ``key`` is given (J1, insert-if-absent).
     """
+    ensure_checkpoint_dir(spark)  # each micro-batch is checkpointed once
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
