@@ -24,6 +24,7 @@ from dimflow.operators import quality as Q
 from dimflow.operators import registry as R
 from dimflow.operators import runlog as RL
 from dimflow.operators import state as ST
+from dimflow.functions.timeutil import hour_ts, parse_minute, to_pacific
 from dimflow.operators.projection import schema_lines
 from dimflow.session import ensure_checkpoint_dir
 from dimflow.sinks import files as K
@@ -37,6 +38,8 @@ from dimflow.sources.tables import scan_delta
 log = logging.getLogger("dimflow")
 
 PRIMARY = R.PRIMARY_VERSION
+# Platforms whose non-dimension loads carry a load_epoch_ts column.
+EPOCH_PLATFORMS = ("test_mysql", "test_data")
 
 
 @dataclass
@@ -154,9 +157,17 @@ def load(spark: SparkSession, table: str, batch_dir: str, spec_path: str, prod_p
          database: str = "warehouse", platform: str = "test_mysql", process: str = "LOAD",
          env: str = "prod", reject_path: str | None = None, reload: bool = False,
          local_spec: str | None = None, require_manifest: bool = False,
-         load_epoch: int | None = None) -> LoadResult:
+         load_epoch: int | None = None, summary_path: str | None = None,
+         servers: DataFrame | None = None, host: str | None = None) -> LoadResult:
     """Q8 -> M1/Q2 -> S17/S13 -> S6/S7 parse -> K8/Q5 rejects -> staging
-    (K6/Q4/Q6) -> J1 / X1 / J2 / P7 / K9 -> K11 -> L15 event.
+    (K6/Q4/Q6) -> J1 / X1 / J2 / P7 / K9 -> K11 -> L15 event -> M7.
+
+    Non-dimension loads of the ``test_mysql`` / ``test_data`` platforms carry
+    a ``load_epoch_ts`` column (P4; the current second unless given), and in a
+    staging environment a load that added no row for its epoch fails (Q6,
+    L18).  With ``summary_path``/``servers``/``host`` the summary table's
+    ``latest_loaded_date`` of ``host``'s servers advances to the loaded hour
+    (or minute) in Pacific time (M7, H3).
 
     Idempotence: a batch with a COMPLETED event is skipped (Q8); appends are
     written into batch-named folders, so a replay after a crash between
@@ -217,6 +228,8 @@ def load(spark: SparkSession, table: str, batch_dir: str, spec_path: str, prod_p
         except Q.LoadGateError:
             event("FAILED")
             raise
+    if not spec.is_dimension and load_epoch is None and platform in EPOCH_PLATFORMS:
+        load_epoch = int(time.time())
     if not spec.is_dimension and load_epoch is not None:
         good = L.with_load_epoch(good, load_epoch)
     try:
@@ -235,10 +248,21 @@ def load(spark: SparkSession, table: str, batch_dir: str, spec_path: str, prod_p
                 version = TB.full_refresh(good, target)
             else:
                 version = TB.load_direct(good, target, batch_id)
+        if load_epoch is not None and "staging" in env and not spec.is_dimension:
+            target = prod_path if spec.load_table is None else \
+                prod_path.rsplit("/", 1)[0] + "/" + spec.load_table
+            n = RL.epoch_count(TB.read_table(spark, target).where(F.col("load_epoch_ts") == load_epoch))
+            if n.isEmpty():                                                    # Q6 via L18
+                raise Q.LoadGateError(f"no rows loaded for epoch {load_epoch} of {table}")
     except Exception:
         event("FAILED")
         raise
     event("COMPLETED")
+    if summary_path is not None and servers is not None and host is not None:
+        loaded_at = to_pacific(parse_minute(F.lit(minute)) if minute else hour_ts(F.lit(hour)))
+        loads = spark.range(1).select(F.lit(table).alias("table_name"), loaded_at.alias("loaded_at"))
+        summary = TB.read_table(spark, summary_path)
+        TB.publish(L.advance_loaded_date(summary, servers, host, loads), summary_path)
     return LoadResult(table, "loaded", rejected=int(n_bad), version=version)
 
 
@@ -274,7 +298,8 @@ def refresh_dimensions(spark: SparkSession, registry_path: str, update_log_path:
                        threads: int = 8) -> dict:
     """Schema doc (U1/K4) and max hour (K5) -> E1 -> E2 per dumped table
     (full refresh when reload/always_reload/forced, else insert-if-absent);
-    only when every table loaded: M2 (markers complete) and M5 (registry)."""
+    then, for the tables that loaded, M2 (marker complete) and M5 (registry
+    ``latest_loaded_date``, ``reload_table = 0``)."""
     from dimflow.functions.timeutil import BATCH_FORMATS  # noqa: F401 (layout documented there)
     registry = TB.read_table(spark, registry_path)
     batch = dt.datetime.fromtimestamp(hour * 3600, dt.timezone.utc).strftime("%Y/%m/%d/%H")
@@ -295,7 +320,7 @@ def refresh_dimensions(spark: SparkSession, registry_path: str, update_log_path:
         except Exception as e:  # noqa: BLE001
             log.error("load of %s failed: %s", t, e)
             failed.append(t)
-    if loaded and not failed:
+    if loaded:  # each table that loaded on every target is marked, independently of the others
         done = spark.createDataFrame([(t,) for t in loaded], "table_name string")
         TB.publish(ST.mark_complete(TB.read_table(spark, update_log_path), done), update_log_path)
         now = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
@@ -304,6 +329,42 @@ def refresh_dimensions(spark: SparkSession, registry_path: str, update_log_path:
             "location": res.location}
 
 
+def dump_run(spark: SparkSession, registry: DataFrame, read_source: Callable[[str], DataFrame],
+             root: str, now_stamp: str, version: str = "other", load_log_path: str | None = None,
+             run_log_path: str | None = None, job_id: int = 0, process_id: int = 0,
+             **kw) -> ExtractResult:
+    """A dump run as the dumper's main does it: run log 'started' (L15), dim
+    load log STARTED for the run stamp (M4 insert, non-primary versions),
+    E1 into ``<root>/<now_stamp>``, then COMPLETED / FAILED on the same run
+    (M4 update) and 'completed' / 'error' in the run log."""
+    def run_event(status: str, error: str = ""):
+        if run_log_path is not None:
+            now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+            TB.append_event(spark, run_log_path, dict(
+                job_id=job_id, process_id=process_id, create_date=now, run_date=now,
+                file_name=f"dimensions_to_s3_{version}", status=status, error_message=error),
+                TB.RUN_LOG_SCHEMA, f"{now_stamp}-{status}")
+
+    def load_log(status: str, insert: bool):
+        if load_log_path is None or version == PRIMARY:
+            return
+        empty = spark.createDataFrame([], "run_time bigint, status string, platform string")
+        cur = TB.read_table(spark, load_log_path) if TB.current_version(spark, load_log_path) is not None \
+            else empty
+        TB.publish(ST.set_load_status(cur, int(now_stamp), version, status, insert=insert), load_log_path)
+
+    run_event("started")
+    load_log("STARTED", insert=True)
+    res = extract(spark, registry, read_source, root, now_stamp, version=version, **kw)
+    if res.errors:
+        run_event("error", "Tables Failed: " + ",".join(res.errors))
+        load_log("FAILED", insert=False)
+    else:
+        run_event("completed")
+        load_log("COMPLETED", insert=False)
+    return res
+
+
 def rerun_failed(spark: SparkSession, load_log_path: str, platform: str, now: int, registry: DataFrame,
                  read_source: Callable[[str], DataFrame], root: str, lag: int = 15, **kw) -> ExtractResult | None:
     """F2 picks the failed run, E1 rewrites that run's batch, M4 records

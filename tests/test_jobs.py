@@ -119,3 +119,36 @@ def test_rerun_failed_and_backfill(spark, tmp_path):
     assert st[202401010000] == "COMPLETED"
     bf = J.backfill(spark, "2023121500", reg, _sources(spark), root, threads=2)
     assert bf.location.endswith("/2023121500") and bf.successes == ["customer", "nation"]
+
+
+def test_dump_run_logs_and_load_advances_summary(spark, tmp_path):
+    ensure_checkpoint_dir(spark)
+    root, wh = str(tmp_path / "dumps"), str(tmp_path / "wh")
+    reg = _registry(spark).withColumn("status", F.lit("LIVE"))
+    ll, rl = str(tmp_path / "dim_load_log"), str(tmp_path / "run_log")
+    res = J.dump_run(spark, reg, _sources(spark), root, "202401020300", version="other",
+                     load_log_path=ll, run_log_path=rl, threads=2)
+    assert res.errors == [] and res.manifest_written
+    assert [tuple(r) for r in TB.read_table(spark, ll).collect()] == [(202401020300, "COMPLETED", "other")]
+    assert sorted(r.status for r in TB.read_table(spark, rl).collect()) == ["completed", "started"]
+    # load nation from that batch (ctrl-A dump with sidecar); summary high-water advances for host1 only
+    spec = str(tmp_path / "schema.json")
+    spec_doc = json.loads(json.dumps(SPEC))
+    spec_doc["groups"][0]["tables"][1]["delimiter"] = "\u0001"
+    fs.write_text_file(spark, spec, json.dumps(spec_doc))
+    summ = str(tmp_path / "summary")
+    TB.publish(spark.createDataFrame(
+        [("nation", 1, None), ("nation", 2, dt.datetime(2030, 1, 1)), ("other", 1, None)],
+        "table_name string, reporting_database_server_id int, latest_loaded_date timestamp_ntz"), summ)
+    servers = spark.createDataFrame([(1, "host1"), (2, "host1"), (3, "host2")], "id int, host_name string")
+    hour = int(dt.datetime(2024, 1, 2, 3, tzinfo=dt.timezone.utc).timestamp() // 3600)
+    r = J.load(spark, "nation", f"{res.location}/nation", spec, f"{wh}/nation", hour=hour,
+               platform="test_data", summary_path=summ, servers=servers, host="host1")
+    assert r.status == "loaded"
+    loaded = TB.read_table(spark, f"{wh}/nation")
+    assert loaded.count() == 25 and "load_epoch_ts" in loaded.columns        # P4 for test_data
+    got = {(x.table_name, x.reporting_database_server_id): x.latest_loaded_date
+           for x in TB.read_table(spark, summ).collect()}
+    assert got[("nation", 1)] == dt.datetime(2024, 1, 1, 19)                 # 03:00 UTC in PST
+    assert got[("nation", 2)] == dt.datetime(2030, 1, 1)                     # later value kept
+    assert got[("other", 1)] is None
