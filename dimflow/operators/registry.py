@@ -47,6 +47,23 @@ def tables_from_config(sections: DataFrame, database: str, single_table: str | N
         F.lit(1).alias("always_reload"))
 
 
+def tables_from_ini(spark, path: str) -> DataFrame:
+    """S15 input: the sections of an ini schema file as ``(table_name,
+    columns)`` -- the ``columns_mysql`` option when present, else
+    ``columns``.  A config file is driver-side metadata; it is read through
+    the cluster's filesystem and parsed with the standard library."""
+    import configparser
+
+    from dimflow.sinks.fs import read_text_file
+    cp = configparser.ConfigParser()
+    cp.read_string(read_text_file(spark, path))
+    rows = []
+    for sec in cp.sections():
+        opt = "columns_mysql" if cp.has_option(sec, "columns_mysql") else "columns"
+        rows.append((sec, cp.get(sec, opt) if cp.has_option(sec, opt) else None))
+    return spark.createDataFrame(rows, "table_name string, columns string")
+
+
 def retry_tables(work: DataFrame, errors: DataFrame) -> DataFrame:
     """only the tables of the error list, with their registry options."""
     return work.join(errors.select("table_name").distinct(), "table_name", "left_semi")

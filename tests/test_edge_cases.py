@@ -140,3 +140,17 @@ def test_spec_columns_on_handmade_entries(spark):
     sql = spark.createDataFrame([("a",)], "table_name string")
     got_sql = {r.table_name: r.columns for r in spec_columns(cols, sql).collect()}
     assert got_sql["a"] == "clicks,id,name,junk,cost"
+
+
+def test_tables_from_ini(spark, tmp_path):
+    from dimflow.operators.registry import tables_from_config, tables_from_ini
+    from dimflow.sinks import fs
+    p = str(tmp_path / "schema.ini")
+    fs.write_text_file(spark, p, "[users]\ncolumns = id,name\ncolumns_mysql = id,name,updated_at\n\n"
+                                 "[plans]\ncolumns = plan_id,price\n")
+    secs = tables_from_ini(spark, p)
+    assert sorted(map(tuple, secs.collect())) == [("plans", "plan_id,price"), ("users", "id,name,updated_at")]
+    work = tables_from_config(secs, "config")
+    assert {tuple(r) for r in work.collect()} == {("plans", "config", 0, 1, "", 1), ("users", "config", 0, 1, "", 1)}
+    one = tables_from_config(secs, "config", single_table="users").collect()
+    assert [tuple(r) for r in one] == [("users", "config", 1, 1, "", 1)]
