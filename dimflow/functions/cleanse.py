@@ -26,6 +26,11 @@ CTRL_A_RULES = [
     ("\r", ""),
     ("4294967295", "0"),
 ]
+# "oracle" (rows fetched from an Oracle source): only carriage returns go; NULL
+# cells become empty when the line is joined (to_delimited).
+ORACLE_RULES = [
+    ("\r", ""),
+]
 
 
 def separator(hex_or_char: str) -> str:
@@ -61,6 +66,8 @@ def cleanse_column(c: Column, profile: str = "pipe", sep: str = "|",
         rules = PIPE_RULES[:2] + [("\t", sep)]
     elif profile == "ctrl_a":
         rules = CTRL_A_RULES + [("\t", sep)]
+    elif profile == "oracle":
+        rules = ORACLE_RULES
     else:
         raise ValueError(f"unknown cleansing profile {profile!r}")
     return _replace_chain(c, rules, whole_cell)

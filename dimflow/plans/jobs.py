@@ -9,6 +9,7 @@ submitted from a small thread pool so their Spark jobs share the cluster.
 from __future__ import annotations
 
 import datetime as dt
+import inspect
 import logging
 import time
 from collections.abc import Callable
@@ -18,7 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimflow.functions.cleanse import cleanse
+from dimflow.functions.cleanse import cleanse, separator
 from dimflow.operators import load as L
 from dimflow.operators import quality as Q
 from dimflow.operators import registry as R
@@ -65,12 +66,14 @@ def extract(spark: SparkSession, registry: DataFrame, read_source: Callable[[str
             root: str, batch: str, update_log: DataFrame | None = None,
             version: str = PRIMARY, force_full: bool = False, only: str | None = None,
             ts_col: str = "updated_at", sep: str | None = None, threads: int = 8,
-            now: str | None = None) -> ExtractResult:
+            now: str | None = None, db_type: str = "MYSQL") -> ExtractResult:
     """S4 plan -> M3 markers (before any scan) -> per table scan (full or
     delta, through the view when named) -> cleanse -> Q7 -> K1 dump, K2
     sidecar -> K3 manifest when nothing failed.  Failed tables are retried
     once (F3).  ``update_log`` comes back with the markers appended (the
-    caller publishes it)."""
+    caller publishes it).  ``sep`` may be a character or hex text (``01``);
+    ``db_type='ORCL'`` uses the Oracle cleansing profile (carriage returns
+    only)."""
     work = R.enabled_tables(registry, version)
     if only is not None:
         work = R.only_table(work, only)
@@ -81,13 +84,18 @@ def extract(spark: SparkSession, registry: DataFrame, read_source: Callable[[str
     if update_log is not None and version == PRIMARY:
         new_log = ST.mark_downloaded(update_log, plan.where("needs_marker"), stamp)
     rows = plan.join(_columns_by_table(registry), "table_name", "left").collect()
-    profile = "pipe" if version == PRIMARY else "ctrl_a"
-    sep = sep if sep is not None else ("|" if version == PRIMARY else "\x01")
+    profile = "oracle" if db_type == "ORCL" else ("pipe" if version == PRIMARY else "ctrl_a")
+    sep = separator(sep) if sep is not None else ("|" if version == PRIMARY else "\x01")
+    # a reader may take (source_name) or (source_name, database from the registry)
+    try:
+        two_args = len(inspect.signature(read_source).parameters) >= 2
+    except (TypeError, ValueError):
+        two_args = False
 
     def one(row) -> tuple[str, float]:
         t0 = time.time()
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", "dimflow")
-        df = read_source(row.source_name)
+        df = read_source(row.source_name, row.mysql_db) if two_args else read_source(row.source_name)
         if row.columns:
             df = df.select(*[F.col(f"`{c}`") for c in row.columns])
         if row.mode == "delta":

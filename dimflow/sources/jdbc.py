@@ -76,3 +76,21 @@ def dictionary_from_schema(spark: SparkSession, df: DataFrame, table: str,
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     rows = [(table, n, types[n], i + 1) for i, n in enumerate(names) if n in types]
     return spark.createDataFrame(rows, "table_name string, column_name string, data_type string, ordinal int")
+
+
+def jdbc_reader(spark: SparkSession, url_of_db, properties: dict | None = None,
+                fetchsize: int = FETCH_SIZE, partitioning: dict | None = None):
+    """A ``read_source`` for the extract job: ``(source_name, database) ->
+    DataFrame`` over JDBC.  ``url_of_db`` maps the registry's database name
+    (``mysql_db``) to a JDBC URL (a dict or a callable); ``partitioning``
+    optionally gives per-source ``(column, lower, upper, n)`` so large tables
+    are read by several tasks."""
+    def read(source_name: str, database: str | None = None) -> DataFrame:
+        url = url_of_db(database) if callable(url_of_db) else url_of_db[database]
+        part = (partitioning or {}).get(source_name)
+        if part:
+            col, lo, hi, n = part
+            return scan_jdbc(spark, url, source_name, properties=properties, fetchsize=fetchsize,
+                             partition_column=col, lower_bound=lo, upper_bound=hi, num_partitions=n)
+        return scan_jdbc(spark, url, source_name, properties=properties, fetchsize=fetchsize)
+    return read

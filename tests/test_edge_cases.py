@@ -154,3 +154,11 @@ def test_tables_from_ini(spark, tmp_path):
     assert {tuple(r) for r in work.collect()} == {("plans", "config", 0, 1, "", 1), ("users", "config", 0, 1, "", 1)}
     one = tables_from_config(secs, "config", single_table="users").collect()
     assert [tuple(r) for r in one] == [("users", "config", 1, 1, "", 1)]
+
+
+def test_oracle_profile_and_delimited_nulls(spark):
+    from dimflow.functions.cleanse import to_delimited
+    df = spark.createDataFrame([("a\r\nb", None, 4294967295)], "s string, t string, n long")
+    out = cleanse(df, "oracle")
+    assert out.first().s == "a\nb" and out.first().n == 4294967295
+    assert to_delimited(out, separator("01")).first().line == "a\nb\x01\x014294967295"
