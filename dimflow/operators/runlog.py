@@ -41,8 +41,8 @@ def hourly_grain(log: DataFrame) -> DataFrame:
 
 def next_after(probes: DataFrame, values: DataFrame, group: list[str], probe_col: str,
                value_col: str, out: str) -> DataFrame:
-    """For every probe row, the smallest value of its group strictly greater
-    than ``probe_col`` (NULL when none or when the probe is NULL).
+    """For every probe row, the smallest value of its group strictly
+    greater than ``probe_col`` (NULL when none or when the probe is NULL).
 
     The successor search of the source's ``x > (select max ...)`` subqueries,
     done without pairing every probe with every value: probes and values are
@@ -73,7 +73,8 @@ def _tables(g: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- trf log ----
 
 def last_load_hour(log: DataFrame, process: str = "LOAD") -> DataFrame:
-    """Last COMPLETED load hour per table, 0 when none."""
+    """Last COMPLETED load hour per table, 0 when none
+    (``COALESCE(MAX(...), 0)``)."""
     g = hourly_grain(log)
     return g.groupBy(*DB_T).agg(
         F.coalesce(F.max(F.when(_is(process, "COMPLETED"), F.col(HOUR))), F.lit(0))
@@ -131,8 +132,9 @@ def sync_completed(log: DataFrame, hour: int | Column) -> DataFrame:
 
 
 def current_sync_hour(log: DataFrame) -> DataFrame:
-    """Hour being synced (a STARTED S3Sync) per table name.  The source
-    took an unordered first row; the smallest hour is the documented pick."""
+    """Hour being synced (a STARTED S3Sync) per table name.  The
+    source took an unordered first row; the smallest hour is the documented
+    pick."""
     g = hourly_grain(log)
     return g.where(_is("S3Sync", "STARTED")).groupBy("table_name") \
         .agg(F.min(HOUR).alias("current_sync_hour"))
@@ -177,7 +179,7 @@ def next_aggregate_hour(agg_log: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def next_transfer_hour(agg_log: DataFrame, log: DataFrame, targets: DataFrame) -> DataFrame:
-    """L4: for each ``(database_name, table_name, upstream_job_id)``: the
+    """For each ``(database_name, table_name, upstream_job_id)``: the
     smallest upstream hour (COMPLETED or RUNNING) above the table's last
     COMPLETED TRANSFER hour, or -- when it was never transferred -- above the
     upstream's greatest hour minus one; NULL when none."""
@@ -211,7 +213,7 @@ def latest_processing_hour(uploads: DataFrame) -> DataFrame:
 
 
 def next_contiguous_hour(uploads: DataFrame, current) -> DataFrame:
-    """Next hour to sync / transfer: the smallest load hour that is
+    """Next hour to sync / transfer: the smallest load hour that is
     COMPLETED or forced, after ``current`` and before the first unforced
     PROCESSING hour.  With no PROCESSING row the bound is NULL and there is no
     hour (kept as the source had it).  The bound is a scalar subquery."""
@@ -288,7 +290,7 @@ def watermarks(update_log: DataFrame) -> DataFrame:
 
 def failed_runs(load_log: DataFrame, now: int, lag: int = 15, platform: str | None = None,
                 true_time: bool = False, hourly: bool = False) -> DataFrame:
-    """runs to retry -- status FAILED or STARTED and older than ``now -
+    """F2/T4: runs to retry -- status FAILED or STARTED and older than ``now -
     lag``, per platform; the pick is the smallest such run (the source took
     an unordered first row).
 

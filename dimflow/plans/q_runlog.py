@@ -34,7 +34,7 @@ select database_name, table_name,
  cast(coalesce(max(case when process_name = 'LOAD' and status = 'COMPLETED' then processed_utc_hour end), 0) as bigint) as last_load_hour
  from fx_load_log group by database_name, table_name""", "fx_load_log"))
 def q_last_load_hour(spark, sf):
-    """L9."""
+    """Last loaded hour, 0 when none."""
     return RL.last_load_hour(_log(spark, sf))
 
 
@@ -104,7 +104,7 @@ def q_sync_completed(spark, sf):
 select table_name, min(processed_utc_hour) as current_sync_hour from fx_load_log
  where process_name = 'S3Sync' and status = 'STARTED' group by table_name""", "fx_load_log"))
 def q_current_sync_hour(spark, sf):
-    """L11."""
+    """Hour now being synced (smallest as the pick)."""
     return RL.current_sync_hour(_log(spark, sf))
 
 
@@ -134,7 +134,7 @@ select p.job_id, p.upstream_job_id, cast((select min(processed_utc_hour) from fx
    as next_hour
  from (select distinct job_id, 3 - job_id as upstream_job_id from fx_agg_log) p""", "fx_agg_log"))
 def q_next_aggregate_hour(spark, sf):
-    """L3: each job against the other job as its upstream."""
+    """Each job against the other job as its upstream."""
     agg = fixture(spark, sf, "fx_agg_log")
     pairs = agg.select("job_id", (F.lit(3) - F.col("job_id")).alias("upstream_job_id"))
     return RL.next_aggregate_hour(agg, pairs)
@@ -151,7 +151,7 @@ select t.database_name, t.table_name, t.upstream_job_id, cast((select min(proces
          case when database_name = 'db0' then 1 else 2 end as upstream_job_id from fx_load_log) t""",
                                               "fx_load_log", "fx_agg_log"))
 def q_next_transfer_hour(spark, sf):
-    """L4: every table of the trf log; db0 tables are fed by aggregation job 1,
+    """Every table of the trf log; db0 tables are fed by aggregation job 1,
     the others by job 2."""
     log = _log(spark, sf)
     up = F.when(F.col("database_name") == "db0", F.lit(1)).otherwise(F.lit(2))
@@ -180,7 +180,7 @@ select min(load_hour) as next_hour from fx_uploads where (status = 'COMPLETED' o
  and load_hour < (select min(m.load_hour) from fx_uploads m where m.status = 'PROCESSING' and m.is_forced = 0)
  and load_hour > TIMESTAMP '2024-01-20 00:00:00'""", "fx_uploads"))
 def q_next_contiguous_hour(spark, sf):
-    """Next hour to sync after 2024-01-20 00:00."""
+    """Next hour to sync after 2024-01-20 00:00."""
     return RL.next_contiguous_hour(fixture(spark, sf, "fx_uploads"), "2024-01-20 00:00:00")
 
 
@@ -258,7 +258,7 @@ def q_scan_delta(spark, sf):
 select platform, min(run_time) as failed_run_time, count(*) as n_failed from fx_dim_load_log
  where status in ('FAILED', 'STARTED') and run_time < (202401150000 - 15) group by platform""", "fx_dim_load_log"))
 def q_failed_runs(spark, sf):
-    """F2, literal decimal subtraction on the minute stamp."""
+    """F2/T4: literal decimal subtraction on the minute stamp."""
     return RL.failed_runs(fixture(spark, sf, "fx_dim_load_log"), 202401150000, 15)
 
 
