@@ -130,10 +130,11 @@ def assign_identity(df: DataFrame, key: str | Sequence[str], id_col: str,
     Column such as ``prod.agg(F.max("id")).scalar()``.
     """
     keys = _keys(key)
-    # Sorting on every column makes the order total: a partition recomputed
-    # after an executor loss numbers its rows exactly as before.
+    # Ranging and sorting on every column makes the order total: a hot key's
+    # rows spread over several range partitions (still in key order), and a
+    # partition recomputed after an executor loss numbers its rows as before.
     rest = [c for c in df.columns if c not in keys]
-    ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys, *rest)
+    ordered = df.repartitionByRange(*keys, *rest).sortWithinPartitions(*keys, *rest)
     t = (ordered.withColumn("_mid", F.monotonically_increasing_id())
          .withColumn("_pid", F.shiftright("_mid", 33))
          .withColumn("_local", F.col("_mid").bitwiseAND((1 << 33) - 1)))
