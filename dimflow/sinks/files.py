@@ -58,10 +58,8 @@ def write_dump(df: DataFrame, root: str, batch: str, table: str, sep: str = "|",
 
 def write_schema_sidecar(lines: DataFrame, path: str) -> str:
     """K2: one table's ``<table>.schema`` sidecar file: header first, then
-    the columns in ordinal order.  ``lines`` is P8's output for the table --
-    one row per column, so a handful of rows reach the driver."""
-    rows = lines.orderBy("ordinal").select("line").collect()
-    return fs.write_text_file(lines.sparkSession, path, "".join(r.line + "\n" for r in rows))
+    the columns in ordinal order (``lines`` is P8's output for the table)."""
+    return fs.write_single_file(lines.orderBy("ordinal").select("line"), path)
 
 
 def write_schema_sidecars(lines: DataFrame, root: str) -> str:
@@ -92,13 +90,13 @@ def write_manifest(files: DataFrame, path: str, failed: DataFrame | None = None,
                    shape: str = "url", version: str = "other") -> bool:
     """K3: write the manifest file only when no table failed (and never for
     the primary version, which loads without one).  Returns whether written.
-    The document is built by Spark; its one row is written as one file."""
+    The document is built and written by Spark; nothing passes through the
+    driver."""
     if version == "test_mysql":
         return False
     if failed is not None and not failed.isEmpty():
         return False
-    doc = manifest_json(files, shape).first().value
-    fs.write_text_file(files.sparkSession, path, doc)
+    fs.write_single_file(manifest_json(files, shape), path)
     return True
 
 
@@ -114,7 +112,7 @@ def schema_doc_json(rows: DataFrame) -> DataFrame:
 
 def write_schema_doc(rows: DataFrame, path: str) -> str:
     """K4: write schema document A (one registry-sized JSON text file)."""
-    return fs.write_text_file(rows.sparkSession, path, schema_doc_json(rows).first().value)
+    return fs.write_single_file(schema_doc_json(rows), path)
 
 
 def write_max_hour(spark: SparkSession, path: str, hour: int) -> str:

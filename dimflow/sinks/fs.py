@@ -51,3 +51,35 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(p):
         return []
     return [s.getPath().getName() for s in fs.listStatus(p)]
+
+
+def rename(spark: SparkSession, src: str, dst: str) -> None:
+    p_src, fsys = _path(spark, src)
+    p_dst, _ = _path(spark, dst)
+    if fsys.exists(p_dst):
+        fsys.delete(p_dst, False)
+    if not fsys.rename(p_src, p_dst):
+        raise IOError(f"rename {src} -> {dst} failed")
+
+
+def delete(spark: SparkSession, path: str, recursive: bool = True) -> None:
+    p, fsys = _path(spark, path)
+    if fsys.exists(p):
+        fsys.delete(p, recursive)
+
+
+def write_single_file(df, path: str) -> str:
+    """Write a one-column DataFrame of lines as exactly one file at ``path``.
+
+    One task writes the lines (a single file is one writer by nature) into a
+    side folder, then the part file is renamed into place: no data passes
+    through the driver."""
+    spark = df.sparkSession
+    tmp = path.rstrip("/") + "._writing"
+    df.coalesce(1).write.mode("overwrite").text(tmp)
+    part = [n for n in list_names(spark, tmp) if n.startswith("part-")]
+    if len(part) != 1:
+        raise IOError(f"expected one part file under {tmp}, found {part}")
+    rename(spark, f"{tmp}/{part[0]}", path)
+    delete(spark, tmp)
+    return path
