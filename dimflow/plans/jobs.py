@@ -308,7 +308,6 @@ def refresh_dimensions(spark: SparkSession, registry_path: str, update_log_path:
     (full refresh when reload/always_reload/forced, else insert-if-absent);
     then, for the tables that loaded, M2 (marker complete) and M5 (registry
     ``latest_loaded_date``, ``reload_table = 0``)."""
-    from dimflow.functions.timeutil import BATCH_FORMATS  # noqa: F401 (layout documented there)
     registry = TB.read_table(spark, registry_path)
     batch = dt.datetime.fromtimestamp(hour * 3600, dt.timezone.utc).strftime("%Y/%m/%d/%H")
     meta = f"{root.rstrip('/')}/{batch}"
