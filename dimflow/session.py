@@ -53,12 +53,17 @@ def get_session(master: str | None = None, app: str = "dimflow",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder used to cut lineage and stage written tables.
 
-    Read from ``spark.checkpoint.dir`` (the cluster's shared store).  Only when
-    it is unset -- local tests -- a fresh scratch folder is created.
+    Read from ``spark.checkpoint.dir`` (the cluster's shared store) or the
+    context's checkpoint folder.  Only a local-mode session with neither set
+    (tests) gets a fresh scratch folder; a cluster session without one is an
+    error, never a machine-local folder.
     """
     sc = spark.sparkContext
     cur = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not cur:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(dimflow checkpoints and stages files there)")
         cur = tempfile.mkdtemp(prefix="dimflow-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(cur)
