@@ -79,3 +79,9 @@ def next_minute_stamp(stamp, step_minutes: int) -> Column:
     """H4 (minute mode): last ``yyyyMMddHHmm`` stamp plus ``step`` minutes."""
     return minute_string(F.timestamp_add("MINUTE", F.lit(step_minutes),
                                          parse_minute(stamp)))
+
+
+def hour_of_minute(stamp) -> Column:
+    """H4, manual minute: a given ``yyyyMMddHHmm`` stamp is loaded as is (no
+    step) and its UTC hour is derived from it."""
+    return utc_hour(parse_minute(stamp))

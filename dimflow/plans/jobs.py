@@ -202,10 +202,7 @@ def load(spark: SparkSession, table: str, batch_dir: str, spec_path: str, prod_p
 
     def event(status: str):
         if log_path is not None:
-            TB.append_event(spark, log_path, dict(database_name=database, table_name=table,
-                                                  process_name=process, processed_utc_hour=hour,
-                                                  status=status, platform=platform, process_minute=minute),
-                            TB.TRF_LOG_SCHEMA, f"{table}-{batch_id}-{status}")
+            TB.append_load_event(spark, log_path, database, table, process, hour, status, platform, minute)
 
     spec_file = resolve_spec(spark, spec_path, local_spec or spec_path)
     specs, _ = read_table_specs(spark, spec_file)
@@ -230,7 +227,8 @@ def load(spark: SparkSession, table: str, batch_dir: str, spec_path: str, prod_p
         n_bad = Q.reject_count(parsed).first().rejected_rows
         good, bad = Q.split_rejects(parsed)
         if n_bad and (spec.write_rejects or reject_path):
-            TB.append(bad, reject_path or f"{prod_path}_rejected_data", batch_id)
+            # the source kept rejects beside the staging table: <stg>.<table>_rejected_data
+            TB.append(bad, reject_path or f"{stg_path or prod_path}_rejected_data", batch_id)
         try:
             Q.check_rejects(n_bad, spec.reject_max)
         except Q.LoadGateError:
@@ -346,11 +344,8 @@ def dump_run(spark: SparkSession, registry: DataFrame, read_source: Callable[[st
     (M4 update) and 'completed' / 'error' in the run log."""
     def run_event(status: str, error: str = ""):
         if run_log_path is not None:
-            now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-            TB.append_event(spark, run_log_path, dict(
-                job_id=job_id, process_id=process_id, create_date=now, run_date=now,
-                file_name=f"dimensions_to_s3_{version}", status=status, error_message=error),
-                TB.RUN_LOG_SCHEMA, f"{now_stamp}-{status}")
+            TB.append_run_event(spark, run_log_path, job_id, process_id, status,
+                                file_name=f"dimensions_to_s3_{version}", error=error)
 
     def load_log(status: str, insert: bool):
         if load_log_path is None or version == PRIMARY:

@@ -138,3 +138,38 @@ RUN_LOG_SCHEMA = T.StructType([
     T.StructField("error_message", T.StringType()), T.StructField("loaded_records", T.LongType()),
     T.StructField("lines_in_file", T.LongType())])
 
+
+
+def append_load_event(spark: SparkSession, path: str, database: str, table: str, process: str,
+                      hour: int, status: str, platform: str, minute: str | None = None) -> int:
+    """A load-log event (optional minute stamp) -- one per
+    (table, batch, status), so a replay rewrites it."""
+    return append_event(spark, path, dict(database_name=database, table_name=table, process_name=process,
+                                          processed_utc_hour=int(hour), status=status, platform=platform,
+                                          process_minute=minute),
+                        TRF_LOG_SCHEMA, f"{table}-{minute or hour}-{status}")
+
+
+def append_agg_event(spark: SparkSession, path: str, host: str, job_id: int, hour: int, status: str,
+                     platform: str | None = None, at=None) -> int:
+    """An aggregate-run-log event (all seven columns)."""
+    import datetime as _dt
+    at = at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    return append_event(spark, path, dict(host_name=host, job_id=int(job_id), processed_utc_hour=int(hour),
+                                          status=status, inserted_at=at, updated_at=at, platform=platform),
+                        AGG_LOG_SCHEMA, f"{host}-{job_id}-{hour}-{status}")
+
+
+def append_run_event(spark: SparkSession, path: str, job_id: int, process_id: int, status: str,
+                     row_count: int = 0, file_name: str = "", lines: int = 0, error: str = "",
+                     server: str | None = None, at=None) -> int:
+    """A run-log event -- plain, with a loaded-row count, or with a file
+    name and its line count."""
+    import datetime as _dt
+    import socket
+    at = at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    return append_event(spark, path, dict(job_id=int(job_id), process_id=int(process_id), create_date=at,
+                                          run_date=at, file_name=file_name, server_name=server or socket.gethostname(),
+                                          status=status, error_message=error, loaded_records=int(row_count),
+                                          lines_in_file=int(lines)),
+                        RUN_LOG_SCHEMA, f"{job_id}-{process_id}-{at:%Y%m%d%H%M%S%f}-{status}")

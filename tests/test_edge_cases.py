@@ -162,3 +162,27 @@ def test_oracle_profile_and_delimited_nulls(spark):
     out = cleanse(df, "oracle")
     assert out.first().s == "a\nb" and out.first().n == 4294967295
     assert to_delimited(out, separator("01")).first().line == "a\nb\x01\x014294967295"
+
+
+def test_manual_minute_hour(spark):
+    from dimflow.functions.timeutil import hour_of_minute
+    h = spark.range(1).select(hour_of_minute(F.lit("202401010045")).alias("h")).first().h
+    assert h == int(dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc).timestamp() // 3600)
+
+
+def test_log_event_appenders(spark, tmp_path):
+    from dimflow.sinks import tables as TB
+    p = str(tmp_path / "trf")
+    TB.append_load_event(spark, p, "db", "t", "LOAD", 473352, "STARTED", "x")
+    TB.append_load_event(spark, p, "db", "t", "LOAD", 473352, "COMPLETED", "x", minute="202401010045")
+    TB.append_load_event(spark, p, "db", "t", "LOAD", 473352, "STARTED", "x")      # replayed: no duplicate
+    rows = sorted((r.status, r.process_minute) for r in TB.read_table(spark, p).collect())
+    assert rows == [("COMPLETED", "202401010045"), ("STARTED", None)]
+    a = str(tmp_path / "agg")
+    TB.append_agg_event(spark, a, "h1", 7, 473352, "RUNNING", "p")
+    r = TB.read_table(spark, a).first()
+    assert (r.host_name, r.job_id, r.status, r.platform) == ("h1", 7, "RUNNING", "p") and r.inserted_at is not None
+    rl = str(tmp_path / "run")
+    TB.append_run_event(spark, rl, 1, 2, "completed", row_count=10, file_name="f.gz", lines=12)
+    r = TB.read_table(spark, rl).first()
+    assert (r.loaded_records, r.file_name, r.lines_in_file) == (10, "f.gz", 12)
