@@ -231,12 +231,13 @@ def prev_status(run_log: DataFrame, mode: str | int = "today", today: str | None
     """L1: status of each job's latest run (greatest ``run_id``), trimmed;
     ``'completed'`` when the job has no run in the window.
 
-    ``mode='today'``: runs dated ``today``; ``-1``: any time; ``n >= 0``: the
+    ``mode='today'``: runs dated ``today``; ``-1``: any time; ``n >= 1``: the
     source's predicate ``date(run_date) >= run_date - n days`` kept literally
-    (it compares a run with itself: all rows for n >= 1, midnight runs for 0).
+    (it compares a run with itself, so it keeps every run).  ``0`` is
+    "today": the source tested the interval for truthiness, and 0 is false.
     """
     jobs = run_log.select("job_id").distinct()
-    if mode == "today":
+    if mode == "today" or mode == 0 or mode is None:
         window = F.to_date("run_date") == F.to_date(F.lit(today))
     elif mode == -1 or mode == "any":
         window = F.lit(True)

@@ -204,10 +204,10 @@ def q_prev_status_any(spark, sf):
 
 
 @register("prev_status_days", with_fixtures(PREV.format(
-    cond="and cast(cast(r.run_date as date) as timestamp) >= r.run_date - interval 0 day"), "fx_run_log"))
+    cond="and cast(cast(r.run_date as date) as timestamp) >= r.run_date - interval 3 day"), "fx_run_log"))
 def q_prev_status_days(spark, sf):
-    """L1, n-day mode with n = 0 (the literal self-comparison)."""
-    return RL.prev_status(fixture(spark, sf, "fx_run_log"), 0)
+    """L1, n-day mode with n = 3 (the literal self-comparison)."""
+    return RL.prev_status(fixture(spark, sf, "fx_run_log"), 3)
 
 
 @register("last_completed_date", with_fixtures("""

@@ -186,3 +186,15 @@ def test_log_event_appenders(spark, tmp_path):
     TB.append_run_event(spark, rl, 1, 2, "completed", row_count=10, file_name="f.gz", lines=12)
     r = TB.read_table(spark, rl).first()
     assert (r.loaded_records, r.file_name, r.lines_in_file) == (10, "f.gz", 12)
+
+
+def test_prev_status_zero_interval_is_today(spark):
+    log = spark.createDataFrame([
+        (1, 7, dt.datetime(2024, 1, 14, 0, 0), "error "),
+        (2, 7, dt.datetime(2024, 1, 15, 9, 0), "started"),
+        (3, 8, dt.datetime(2024, 1, 14, 9, 0), "error")],
+        "run_id bigint, job_id int, run_date timestamp_ntz, status string")
+    today = {r.job_id: r.status for r in RL.prev_status(log, 0, "2024-01-15").collect()}
+    assert today == {7: "started", 8: "completed"}
+    anyt = {r.job_id: r.status for r in RL.prev_status(log, 5).collect()}
+    assert anyt == {7: "started", 8: "error"}
