@@ -193,7 +193,20 @@ def load(spark: SparkSession, table: str, batch_dir: str, spec_path: str, prod_p
     # completeness of the batch folder
     files = SF.list_batch(spark, batch_dir)
     if require_manifest:
-        entries, batches = SF.read_manifests(spark, f"{batch_dir}/manifest.json")
+        if fs.exists(spark, f"{batch_dir}/manifest.json"):            # loader shape, per table folder
+            entries, batches = SF.read_manifests(spark, f"{batch_dir}/manifest.json")
+            entries = entries.drop("url")
+        else:                                                          # dumper shape, per batch folder
+            parent = batch_dir.rstrip("/").rsplit("/", 1)[0]
+            if not fs.exists(spark, f"{parent}/MANIFEST"):
+                return LoadResult(table, "batch incomplete")
+            entries, batches = SF.read_manifests(spark, f"{parent}/MANIFEST")
+            here = batch_dir.rstrip("/").split(":", 1)[-1] + "/"
+            mine = F.col("url").contains(here) & ~F.col("name").isin(*Q.MANIFEST_NAMES)
+            b = files.select("batch").limit(1).collect()   # the folder as the listing spells it
+            key = b[0].batch if b else batch_dir
+            entries = entries.where(mine).select(F.lit(key).alias("batch"), "name")
+            batches = batches.select(F.lit(key).alias("batch"), "valid")
         check = Q.manifest_check(files, entries, batches.where("valid")).first()
         if check is None or not check.complete:
             return LoadResult(table, "batch incomplete")

@@ -122,8 +122,9 @@ def read_manifests(spark: SparkSession, path_glob: str):
     Each manifest is read whole (``wholetext``); ``batch`` is its folder.
     Entries may be bare names (``{"entries": ["a.gz"]}``, loader shape) or
     objects (``{"entries": [{"url": "s3://.../a.gz"}]}``, dumper shape); both
-    become the file's base name.  ``batches(batch, valid)`` marks documents
-    that did not parse as invalid (such a batch is never complete).
+    become the file's base name (``url`` keeps the entry as written).
+    ``batches(batch, valid)`` marks documents that did not parse as invalid
+    (such a batch is never complete).
     """
     raw = spark.read.option("wholetext", "true").text(path_glob) \
         .select(_parent(F.col("_metadata.file_path")).alias("batch"),
@@ -132,5 +133,5 @@ def read_manifests(spark: SparkSession, path_glob: str):
     items = raw.where(F.col("_doc.entries").isNotNull()) \
         .select("batch", F.explode("_doc.entries").alias("_e"))
     url = F.when(F.col("_e").startswith("{"), F.get_json_object("_e", "$.url")).otherwise(F.col("_e"))
-    entries = items.select("batch", F.element_at(F.split(url, "/"), -1).alias("name"))
+    entries = items.select("batch", F.element_at(F.split(url, "/"), -1).alias("name"), url.alias("url"))
     return entries, batches

@@ -182,3 +182,27 @@ def test_extract_over_jdbc_with_view_and_delta(spark, tmp_path):
     # rows of the view only, changed after the watermark (day 60 = 2024-03-01 -> keys 61..119)
     keys = sorted(int(r.value.split("|")[0]) for r in lines)
     assert keys == list(range(61, 120))
+
+
+def test_load_requires_complete_batch(spark, tmp_path):
+    """E1 (manifest written) -> E2 with the completeness gate: loads while the
+    folder matches the manifest, refuses once a listed file is missing."""
+    ensure_checkpoint_dir(spark)
+    root, wh = str(tmp_path / "dumps"), str(tmp_path / "wh")
+    reg = _registry(spark).withColumn("status", F.lit("LIVE"))
+    res = J.extract(spark, reg, _sources(spark), root, "202401020300", version="other", threads=2)
+    assert res.manifest_written
+    spec = str(tmp_path / "schema.json")
+    doc = json.loads(json.dumps(SPEC))
+    doc["groups"][0]["tables"][1]["delimiter"] = "\u0001"
+    fs.write_text_file(spark, spec, json.dumps(doc))
+    r = J.load(spark, "nation", f"{res.location}/nation", spec, f"{wh}/nation", hour=1, require_manifest=True)
+    assert r.status == "loaded"
+    # drop one data file of customer: the manifest no longer matches
+    import os
+    cdir = f"{res.location}/customer"
+    victim = sorted(n for n in os.listdir(cdir) if n.endswith(".gz"))[0]
+    os.remove(f"{cdir}/{victim}")
+    r2 = J.load(spark, "customer", cdir, spec, f"{wh}/customer", stg_path=f"{wh}/stg/customer", hour=1,
+                require_manifest=True)
+    assert r2.status == "batch incomplete"
