@@ -262,17 +262,17 @@ def load(spark: SparkSession, table: str, batch_dir: str, spec_path: str, prod_p
             finally:
                 TB.truncate(spark, stg_path, stg.schema)  # K11, on success and failure
         else:
-            target = prod_path if spec.load_table is None else prod_path.rsplit("/", 1)[0] + "/" + spec.load_table
+            # A spec may route this source into another table (load_table)
+            target = prod_path if spec.load_table is None else \
+                prod_path.rsplit("/", 1)[0] + "/" + spec.load_table
             if reload or spec.truncate_before_load:
                 version = TB.full_refresh(good, target)
             else:
                 version = TB.load_direct(good, target, batch_id)
-        if load_epoch is not None and "staging" in env and not spec.is_dimension:
-            target = prod_path if spec.load_table is None else \
-                prod_path.rsplit("/", 1)[0] + "/" + spec.load_table
-            n = RL.epoch_count(TB.read_table(spark, target).where(F.col("load_epoch_ts") == load_epoch))
-            if n.isEmpty():                                                    # Q6 via L18
-                raise Q.LoadGateError(f"no rows loaded for epoch {load_epoch} of {table}")
+            if load_epoch is not None and "staging" in env and not spec.is_dimension:
+                n = RL.epoch_count(TB.read_table(spark, target).where(F.col("load_epoch_ts") == load_epoch))
+                if n.isEmpty():                                                # Q6 via L18
+                    raise Q.LoadGateError(f"no rows loaded for epoch {load_epoch} of {table}")
     except Exception:
         event("FAILED")
         raise

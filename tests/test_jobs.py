@@ -206,3 +206,23 @@ def test_load_requires_complete_batch(spark, tmp_path):
     r2 = J.load(spark, "customer", cdir, spec, f"{wh}/customer", stg_path=f"{wh}/stg/customer", hour=1,
                 require_manifest=True)
     assert r2.status == "batch incomplete"
+
+
+def test_direct_load_routes_to_load_table_and_checks_epoch(spark, tmp_path):
+    """K10 (two sources into one table via load_table), P4 epoch column and
+    the Q6 staging-environment check on the direct path."""
+    ensure_checkpoint_dir(spark)
+    root, wh = str(tmp_path / "dumps"), str(tmp_path / "wh")
+    reg = _registry(spark)
+    res = J.extract(spark, reg, _sources(spark), root, "b", None, threads=2)
+    spec = str(tmp_path / "schema.json")
+    doc = json.loads(json.dumps(SPEC))
+    doc["groups"][0]["tables"][1]["load_table"] = "nation_all"
+    fs.write_text_file(spark, spec, json.dumps(doc))
+    for i, h in enumerate([10, 11]):
+        r = J.load(spark, "nation", f"{res.location}/nation", spec, f"{wh}/nation", hour=h,
+                   env="staging", load_epoch=1000 + i)
+        assert r.status == "loaded"
+    both = TB.read_table(spark, f"{wh}/nation_all")
+    assert both.count() == 50
+    assert sorted(r.load_epoch_ts for r in both.select("load_epoch_ts").distinct().collect()) == [1000, 1001]
