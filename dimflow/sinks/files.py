@@ -40,19 +40,23 @@ def dump_path(root: str, batch: str, table: str) -> str:
 
 def write_dump(df: DataFrame, root: str, batch: str, table: str, sep: str = "|",
                compression: str = "gzip", escape: bool = True,
-               partitions: int | None = None) -> str:
+               partitions: int | None = None, level: str | None = "BEST_SPEED") -> str:
     """K1: the table as headerless delimited text (gzip part files).
 
     Cells are text-converted like C4 (NULL -> empty); line breaks inside
     cells are escaped.  Many part files keep the later (unsplittable gzip)
-    read parallel; ``partitions`` sets their number.
+    read parallel; ``partitions`` sets their number.  gzip runs at its fastest
+    level by default (``gzip --fast``: ~20% quicker, ~20% larger files).
     """
     path = dump_path(root, batch, table)
     data = escape_cells(df, "\\\n\r") if escape else df
     lines = to_delimited(data, sep)
     if partitions:
         lines = lines.repartition(partitions)
-    lines.write.mode("overwrite").option("compression", compression).text(path)
+    w = lines.write.mode("overwrite").option("compression", compression)
+    if level and compression == "gzip":
+        w = w.option("zlib.compress.level", level)
+    w.text(path)
     return path
 
 
