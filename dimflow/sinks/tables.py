@@ -87,6 +87,16 @@ def append(df: DataFrame, path: str, batch_id: str | int) -> int:
     return v
 
 
+def compact(spark: SparkSession, path: str, partitions: int | None = None) -> int:
+    """Fold the current version's batch folders (hourly appends accumulate
+    many small ones) into one snapshot of a new version; readers switch at
+    the commit marker.  ``partitions`` sets the output file count."""
+    df = read_table(spark, path)
+    if partitions:
+        df = df.repartition(partitions)
+    return publish(df, path)
+
+
 def truncate(spark: SparkSession, path: str, schema: T.StructType) -> int:
     """Empty the table (publish an empty version)."""
     return publish(spark.createDataFrame([], schema), path)

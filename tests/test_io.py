@@ -168,3 +168,15 @@ def test_jdbc_partitioned_read_and_pushdown(spark, tmp_path):
     assert delta.count() == cust.where("c_custkey > 100").count()
     d = dictionary_from_schema(spark, df, "CUST")
     assert [r.column_name for r in d.orderBy("ordinal").collect()] == ["C_CUSTKEY", "C_NAME"]
+
+
+def test_compact_folds_appends(spark, tmp_path):
+    path = str(tmp_path / "log")
+    for h in range(5):
+        TB.append(spark.createDataFrame([(h, "x")], "h int, s string"), path, str(h))
+    v = TB.current_version(spark, path)
+    before = sorted(map(tuple, TB.read_table(spark, path).collect()))
+    v2 = TB.compact(spark, path, partitions=1)
+    assert v2 == v + 1
+    assert sorted(map(tuple, TB.read_table(spark, path).collect())) == before
+    assert [n for n in os.listdir(f"{path}/v={v2}") if n.startswith("batch_id=")] == ["batch_id=snapshot"]
