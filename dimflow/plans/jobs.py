@@ -312,13 +312,15 @@ def _publish_from_staging(spark, spec, stg: DataFrame, prod_path: str, batch_id:
 
 
 def refresh_dimensions(spark: SparkSession, registry_path: str, update_log_path: str,
-                       read_source: Callable[[str], DataFrame], root: str, warehouse: str,
+                       read_source: Callable[[str], DataFrame], root: str, warehouse: str | list[str],
                        spec_path: str, hour: int, force_full: bool = False,
                        threads: int = 8) -> dict:
     """Schema doc (U1/K4) and max hour (K5) -> E1 -> E2 per dumped table
-    (full refresh when reload/always_reload/forced, else insert-if-absent);
-    then, for the tables that loaded, M2 (marker complete) and M5 (registry
-    ``latest_loaded_date``, ``reload_table = 0``)."""
+    into every warehouse target (full refresh when reload/always_reload/
+    forced, else insert-if-absent); then, for each table that loaded on
+    *all* targets, M2 (marker complete) and M5 (registry
+    ``latest_loaded_date``, ``reload_table = 0``).  ``failed`` lists
+    ``(table, target)`` pairs."""
     registry = TB.read_table(spark, registry_path)
     batch = dt.datetime.fromtimestamp(hour * 3600, dt.timezone.utc).strftime("%Y/%m/%d/%H")
     meta = f"{root.rstrip('/')}/{batch}"
@@ -328,16 +330,24 @@ def refresh_dimensions(spark: SparkSession, registry_path: str, update_log_path:
     res = extract(spark, registry, read_source, root, batch, upd, force_full=force_full, threads=threads)
     if res.update_log is not None:
         TB.publish(res.update_log, update_log_path)
+    targets = [warehouse] if isinstance(warehouse, str) else list(warehouse)
     loaded, failed = [], []
     for t in res.successes:
-        try:
-            r = load(spark, t, f"{res.location}/{t}", spec_path, f"{warehouse}/{t}",
-                     stg_path=f"{warehouse}/stg/{t}", hour=hour,
-                     reload=bool(res.reload_flags.get(t)) or force_full)
-            (loaded if r.status == "loaded" else failed).append(t)
-        except Exception as e:  # noqa: BLE001
-            log.error("load of %s failed: %s", t, e)
-            failed.append(t)
+        ok = True
+        for wh in targets:
+            try:
+                r = load(spark, t, f"{res.location}/{t}", spec_path, f"{wh}/{t}",
+                         stg_path=f"{wh}/stg/{t}", hour=hour,
+                         reload=bool(res.reload_flags.get(t)) or force_full)
+                ok = ok and r.status == "loaded"
+                if r.status != "loaded":
+                    failed.append((t, wh))
+            except Exception as e:  # noqa: BLE001 -- one target's failure is recorded, others still load
+                log.error("load of %s into %s failed: %s", t, wh, e)
+                failed.append((t, wh))
+                ok = False
+        if ok:
+            loaded.append(t)
     if loaded:  # each table that loaded on every target is marked, independently of the others
         done = spark.createDataFrame([(t,) for t in loaded], "table_name string")
         TB.publish(ST.mark_complete(TB.read_table(spark, update_log_path), done), update_log_path)

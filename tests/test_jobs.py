@@ -226,3 +226,26 @@ def test_direct_load_routes_to_load_table_and_checks_epoch(spark, tmp_path):
     both = TB.read_table(spark, f"{wh}/nation_all")
     assert both.count() == 50
     assert sorted(r.load_epoch_ts for r in both.select("load_epoch_ts").distinct().collect()) == [1000, 1001]
+
+
+def test_refresh_marks_only_tables_loaded_on_every_target(spark, tmp_path):
+    ensure_checkpoint_dir(spark)
+    root = str(tmp_path / "dumps")
+    reg_path, upd_path = str(tmp_path / "registry"), str(tmp_path / "update_log")
+    TB.publish(_registry(spark), reg_path)
+    TB.publish(spark.createDataFrame([], UPDATE_LOG), upd_path)
+    spec = str(tmp_path / "schema.json")
+    fs.write_text_file(spark, spec, json.dumps(SPEC))
+    good_wh, bad_wh = str(tmp_path / "wh1"), str(tmp_path / "wh2")
+    # the second cluster's customer staging table is not empty: its load must fail (Q4)
+    TB.publish(spark.createDataFrame([(1, "x", 1.0, dt.datetime(2024, 1, 1))],
+                                     "c_custkey bigint, c_name string, c_acctbal double, updated_at timestamp_ntz"),
+               f"{bad_wh}/stg/customer")
+    out = J.refresh_dimensions(spark, reg_path, upd_path, _sources(spark), root, [good_wh, bad_wh], spec,
+                               473400, threads=2)
+    assert out["loaded"] == ["nation"] and out["failed"] == [("customer", bad_wh)]
+    assert TB.read_table(spark, f"{good_wh}/customer").count() == 150     # the good cluster got it
+    reg = {r.table_name: r for r in TB.read_table(spark, reg_path).collect()}
+    assert reg["customer"].latest_loaded_date is None and reg["nation"].latest_loaded_date is not None
+    upd = TB.read_table(spark, upd_path).collect()
+    assert [(r.table_name, r.uploaded_to_vertica) for r in upd] == [("customer", "downloaded")]
