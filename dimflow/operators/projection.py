@@ -71,9 +71,12 @@ def column_dictionary(dictionary: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def order_by_list(df: DataFrame, col: str, names: Sequence[str], rank_col: str = "list_rank") -> DataFrame:
     """Rank rows by the position of ``col`` in an explicit list (1-based,
-    0 when absent) and sort by it."""
+    0 when absent) and sort by it.  Ties are broken by the value and then
+    every other column: a rank shared by a third of the rows would otherwise
+    fall into a single range partition of the sort."""
     rank = F.array_position(F.array(*[F.lit(n) for n in names]), F.col(col))
-    return df.withColumn(rank_col, rank).orderBy(rank_col)
+    others = [c for c in df.columns if c != col]
+    return df.withColumn(rank_col, rank).orderBy(rank_col, col, *others)
 
 
 def schema_lines(dictionary: DataFrame, views: DataFrame | None = None) -> DataFrame:
