@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimflow.functions.typemap import normalise_type
@@ -17,6 +17,31 @@ from dimflow.functions.typemap import normalise_type
 SIDECAR_END = " - \"ends '\\001'\""
 
 
+def column_list(entries: Column, is_sql: Column, sql_entries: Column | None = None):
+    """P2/P3 on one table's entries: ``(columns text, n_dropped)``.
+
+    ``entries`` is an array of ``struct(p, t, n)`` -- position, field type,
+    output name.  Non-SQL: all KEYs, then all METRICs, each in position order
+    (``keys + ',' + metrics`` when there are metrics, as the source joined
+    them); other types are dropped and counted.  SQL (``is_sql``): the
+    entries of ``sql_entries`` (default all) in order, nothing dropped.
+    Array functions only: no join, no second aggregate.
+    """
+    e = F.array_sort(entries)
+    sql_e = e if sql_entries is None else F.array_sort(sql_entries)
+
+    def names(arr):
+        return F.array_join(F.transform(arr, lambda x: x["n"]), ",")
+
+    keys = names(F.filter(e, lambda x: x["t"] == "KEY"))
+    metrics = names(F.filter(e, lambda x: x["t"] == "METRIC"))
+    non_sql = F.when(metrics != "", F.concat_ws(",", keys, metrics)).otherwise(keys)
+    sql = F.coalesce(is_sql, F.lit(False))
+    dropped = F.size(F.filter(e, lambda x: ~x["t"].isin("KEY", "METRIC")))
+    return (F.when(sql, names(sql_e)).otherwise(non_sql),
+            F.when(sql, F.lit(0)).otherwise(dropped).cast("bigint"))
+
+
 def spec_columns(spec_cols: DataFrame, sql_tables: DataFrame | None = None) -> DataFrame:
     """The load column list of each table spec.
 
@@ -34,28 +59,13 @@ def spec_columns(spec_cols: DataFrame, sql_tables: DataFrame | None = None) -> D
         df = df.join(flag, F.col("table_name") == F.col("_st"), "left").drop("_st")
     else:
         df = df.withColumn("_is_sql", F.lit(None).cast("boolean"))
-    is_key = F.col("field_type") == "KEY"
-    is_metric = F.col("field_type") == "METRIC"
-    # one sorted list of entries per table, then three views of it
+    # one list of entries per table (a table's own columns), then array views of it
     entry = F.struct(F.col("pos").alias("p"), F.col("field_type").alias("t"), F.col("output_name").alias("n"))
-    g = df.groupBy("table_name").agg(
-        F.max("_is_sql").alias("_is_sql"),
-        F.array_sort(F.collect_list(entry)).alias("_e"),
-        F.count_if(~(is_key | is_metric)).alias("n_dropped"))
-
-    def names(kind: str | None):
-        arr = F.col("_e") if kind is None else F.filter("_e", lambda e: e["t"] == kind)
-        return F.array_join(F.transform(arr, lambda e: e["n"]), ",")
-
-    g = g.select("table_name", "_is_sql", "n_dropped", names(None).alias("_all"),
-                 names("KEY").alias("_keys"), names("METRIC").alias("_metrics"))
-    non_sql = F.when(F.col("_metrics") != "", F.concat_ws(",", "_keys", "_metrics")) \
-        .otherwise(F.col("_keys"))
-    return g.select(
-        "table_name",
-        F.coalesce(F.col("_is_sql"), F.lit(False)).alias("is_sql"),
-        F.when(F.col("_is_sql"), F.col("_all")).otherwise(non_sql).alias("columns"),
-        F.when(F.col("_is_sql"), F.lit(0)).otherwise(F.col("n_dropped")).cast("bigint").alias("n_dropped"))
+    g = df.groupBy("table_name").agg(F.max("_is_sql").alias("_is_sql"),
+                                     F.collect_list(entry).alias("_e"))
+    columns, dropped = column_list(F.col("_e"), F.col("_is_sql"))
+    return g.select("table_name", F.coalesce(F.col("_is_sql"), F.lit(False)).alias("is_sql"),
+                    columns.alias("columns"), dropped.alias("n_dropped"))
 
 
 def column_dictionary(dictionary: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -218,7 +218,7 @@ def load(spark: SparkSession, table: str, batch_dir: str, spec_path: str, prod_p
             TB.append_load_event(spark, log_path, database, table, process, hour, status, platform, minute)
 
     spec_file = resolve_spec(spark, spec_path, local_spec or spec_path)
-    specs, _ = read_table_specs(spark, spec_file)
+    specs, _ = read_table_specs(spark, spec_file, with_columns=False)
     spec = specs.where(F.col("name") == table).first()
     if spec is None or not spec.columns:
         event("FAILED")

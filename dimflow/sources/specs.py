@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimflow.operators.projection import spec_columns
+from dimflow.operators.projection import column_list
 from dimflow.sinks import fs
 
 _S = T.StringType()
@@ -69,8 +69,10 @@ def read_spec_columns(spark: SparkSession, path: str) -> DataFrame:
                     F.col("c.output_name").alias("output_name"), F.col("_sql").alias("is_sql_entry"))
 
 
-def read_table_specs(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """``(specs, spec_cols)`` from a version B document.
+def read_table_specs(spark: SparkSession, path: str,
+                     with_columns: bool = True) -> tuple[DataFrame, DataFrame | None]:
+    """``(specs, spec_cols)`` from a version B document (``spec_cols``
+    is None when ``with_columns`` is off).
 
     ``specs`` columns: name, version, delimiter ('|' default), file_format,
     compression ('' -> NULL), is_sql, columns (P2/P3 list text),
@@ -83,24 +85,26 @@ def read_table_specs(spark: SparkSession, path: str) -> tuple[DataFrame, DataFra
     """
     occ = _occurrences(spark, path)
     order = F.col("_gi") * 1_000_000 + F.col("_ti")
+    base = F.col("_gi").cast("bigint") * 1_000_000_000 + F.col("_ti").cast("bigint") * 1_000_000
+    is_sql_occ = F.col("t.sql").isNotNull()
+    entries = F.transform("t.columns", lambda c, i: F.struct(
+        (base + i).alias("p"), c["field_type"].alias("t"), c["output_name"].alias("n"), is_sql_occ.alias("s")))
+    # One aggregate per table: the last occurrence's options, whether any
+    # occurrence is SQL, and every occurrence's column entries in order.
     last = occ.groupBy(F.col("t.name").alias("name")).agg(
         F.max_by(F.struct("version", "t"), order).alias("_l"),
-        F.max(F.col("t.sql").isNotNull()).alias("is_sql"))
-    cols_all = read_spec_columns(spark, path)
-    # A SQL spec keeps the entries of its SQL occurrences in order; a non-SQL
-    # spec groups KEYs then METRICs over all occurrences.
-    sql_cols = cols_all.join(last.where("is_sql").select(F.col("name").alias("table_name")), "table_name",
-                             "left_semi").where("is_sql_entry")
-    other_cols = cols_all.join(last.where(~F.col("is_sql")).select(F.col("name").alias("table_name")),
-                               "table_name", "left_semi")
-    lists = spec_columns(sql_cols.unionByName(other_cols).drop("is_sql_entry"),
-                         last.where("is_sql").select(F.col("name").alias("table_name")))
+        F.max(is_sql_occ).alias("is_sql"),
+        F.flatten(F.collect_list(entries)).alias("_e"))
+    # A SQL spec keeps the entries of its SQL occurrences; a non-SQL spec
+    # groups KEYs then METRICs over all occurrences.
+    cols_text, _ = column_list(F.col("_e"), F.col("is_sql"), F.filter("_e", lambda x: x["s"]))
+    last = last.withColumn("columns", cols_text)
     t = F.col("_l.t")
     dim = t["dimension"]
     op = F.when(dim["operation"].isin("Insert", "Merge"), dim["operation"])
     op_col = F.when(dim["operation_column"] != "", dim["operation_column"])
     ins = F.struct(F.col("name").alias("n"), F.col("columns").alias("c"))
-    specs = last.join(lists.select(F.col("table_name").alias("name"), "columns"), "name", "left").select(
+    specs = last.select(
         "name", F.col("_l.version").alias("version"),
         F.coalesce(t["delimiter"], F.lit("|")).alias("delimiter"),
         t["file_format"].alias("file_format"),
@@ -126,7 +130,8 @@ def read_table_specs(spark: SparkSession, path: str) -> tuple[DataFrame, DataFra
                            .otherwise(F.concat(ins["n"], F.lit("."), c)))).alias("insert_columns"),
         t["reject_max"].alias("reject_max"),
         F.coalesce(t["write_rejects"], F.lit(False)).alias("write_rejects"))
-    return specs, cols_all.drop("is_sql_entry")
+    cols = read_spec_columns(spark, path).drop("is_sql_entry") if with_columns else None
+    return specs, cols
 
 
 def resolve_spec(spark: SparkSession, batch_path: str, local_path: str,
