@@ -123,6 +123,38 @@ def next_realtime_hour(log: DataFrame) -> DataFrame:
     return j.groupBy(*DB_T).agg(F.coalesce(nxt, F.lit(0)).cast("bigint").alias("next_realtime_hour"))
 
 
+def table_status(log: DataFrame) -> DataFrame:
+    """L6/L7/L9/L10/L14 in one pass: per (database, table) the last loaded
+    hour and minute, the next hour to load, the next real-time hour and the
+    greatest sync hour.
+
+    The log is reduced to hourly grain once; one shuffle by ``table_name``
+    then serves both windows -- per table name (L7's TRANSFER maximum, taken
+    over every database) and per (database, table), whose clustering the
+    same partitioning satisfies -- and the final per-table aggregate.  Every
+    group holds hourly-grain rows only, however hot the table.
+    """
+    g = hourly_grain(log)
+    by_t = Window.partitionBy("table_name")
+    by_dt = Window.partitionBy(*DB_T)
+    load_done = _is("LOAD", "COMPLETED")
+    # the coarser window first: its hash(table_name) partitioning also
+    # clusters (database, table), so neither the second window nor the
+    # final aggregate shuffles again
+    g = (g.withColumn("_trf", F.max(F.when(_is("TRANSFER", "COMPLETED"), F.col(HOUR))).over(by_t))
+          .withColumn("_last", F.max(F.when(load_done, F.col(HOUR))).over(by_dt)))
+    last = F.coalesce(F.col("_last"), F.lit(0))
+    nxt_load = F.min(F.when(_is("TRANSFER", "COMPLETED") & (F.col(HOUR) > last), F.col(HOUR)))
+    nxt_rt = F.min(F.when(_is("S3Sync", "COMPLETED", "STARTED") & (F.col(HOUR) > F.col("_trf")), F.col(HOUR)))
+    best = F.max(F.when(load_done, F.struct(F.col(HOUR).alias("h"), F.col("max_minute").alias("m"))))
+    return g.groupBy(*DB_T).agg(
+        F.coalesce(F.max(F.when(load_done, F.col(HOUR))), F.lit(0)).cast("bigint").alias("last_load_hour"),
+        best["m"].alias("last_load_minute"),
+        F.coalesce(nxt_load, F.lit(0)).cast("bigint").alias("next_load_hour"),
+        F.coalesce(nxt_rt, F.lit(0)).cast("bigint").alias("next_realtime_hour"),
+        F.max(F.when(F.col("process_name") == "S3Sync", F.col(HOUR))).alias("max_sync_hour"))
+
+
 def sync_completed(log: DataFrame, hour: int | Column) -> DataFrame:
     """Whether S3Sync is COMPLETED for ``hour``, per table."""
     h = hour if isinstance(hour, Column) else F.lit(hour)

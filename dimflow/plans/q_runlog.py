@@ -303,3 +303,30 @@ select database_name, table_name, last_load_hour, last_load_minute,
 def q_next_interval_minutes(spark, sf):
     """H4/H5: next 15-minute batch per table, literal hour carry."""
     return RL.next_interval(_log(spark, sf), "minutes", 15)
+
+
+@register("table_status", with_fixtures(f"""
+select t.database_name, t.table_name,
+ cast(coalesce((select max(processed_utc_hour) from fx_load_log y where y.process_name = 'LOAD' and y.status = 'COMPLETED'
+   and y.table_name = t.table_name and y.database_name = t.database_name), 0) as bigint) as last_load_hour,
+ (select max(process_minute) from fx_load_log x where x.process_name = 'LOAD' and x.status = 'COMPLETED'
+   and x.table_name = t.table_name and x.database_name = t.database_name
+   and x.processed_utc_hour = (select max(processed_utc_hour) from fx_load_log y where y.process_name = 'LOAD'
+     and y.status = 'COMPLETED' and y.table_name = t.table_name and y.database_name = t.database_name)) as last_load_minute,
+ cast(coalesce((select min(processed_utc_hour) from fx_load_log x
+   where x.status in ('COMPLETED') and x.database_name = t.database_name and x.table_name = t.table_name
+     and x.process_name = 'TRANSFER' and x.processed_utc_hour >
+       (select coalesce(max(processed_utc_hour), 0) from fx_load_log y where y.process_name = 'LOAD'
+          and y.table_name = t.table_name and y.status = 'COMPLETED' and y.database_name = t.database_name)), 0) as bigint)
+   as next_load_hour,
+ cast(coalesce((select min(trf.processed_utc_hour) from fx_load_log trf
+   where trf.status in ('COMPLETED', 'STARTED') and trf.table_name = t.table_name and trf.database_name = t.database_name
+     and trf.process_name = 'S3Sync' and trf.processed_utc_hour >
+       (select max(run.processed_utc_hour) from fx_load_log run where run.table_name = t.table_name
+          and run.process_name = 'TRANSFER' and run.status = 'COMPLETED')), 0) as bigint) as next_realtime_hour,
+ (select max(processed_utc_hour) from fx_load_log s where s.process_name = 'S3Sync'
+   and s.table_name = t.table_name and s.database_name = t.database_name) as max_sync_hour
+ from {TABLES} t""", "fx_load_log"))
+def q_table_status(spark, sf):
+    """Every table's load status from one pass over the log."""
+    return RL.table_status(_log(spark, sf))

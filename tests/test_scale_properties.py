@@ -85,3 +85,13 @@ def test_log_analytics_hot_table(spark):
         trf = g[(g.process_name == "TRANSFER") & (g.status == "COMPLETED")].processed_utc_hour
         nxt = trf[trf > last]
         assert v == (nxt.min() if len(nxt) else 0)
+
+
+def test_table_status_is_one_pass(spark):
+    """Five per-table answers from the log: the grain shuffle (after map-side
+    partial aggregation) plus one shuffle by table name, nothing else."""
+    import re
+    plan = _plan(entry.queries()["table_status"](spark, SF_SMALL))
+    exchanges = re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition)", plan)
+    assert len(exchanges) == 2, plan
+    assert "partial_" in plan
