@@ -150,6 +150,29 @@ def _sidecar_schema(spark: SparkSession, path: str):
     return out
 
 
+def _batch_complete(spark: SparkSession, batch_dir: str) -> bool:
+    """M1 for one table folder: its files equal its manifest -- the loader's
+    ``manifest.json`` in the folder, else the dump step's batch-level
+    ``MANIFEST`` restricted to this folder's entries."""
+    files = SF.list_batch(spark, batch_dir)
+    if fs.exists(spark, f"{batch_dir}/manifest.json"):
+        entries, batches = SF.read_manifests(spark, f"{batch_dir}/manifest.json")
+        entries = entries.drop("url")
+    else:
+        parent = batch_dir.rstrip("/").rsplit("/", 1)[0]
+        if not fs.exists(spark, f"{parent}/MANIFEST"):
+            return False
+        entries, batches = SF.read_manifests(spark, f"{parent}/MANIFEST")
+        here = batch_dir.rstrip("/").split(":", 1)[-1] + "/"
+        mine = F.col("url").contains(here) & ~F.col("name").isin(*Q.MANIFEST_NAMES)
+        b = files.select("batch").limit(1).collect()   # the folder as the listing spells it
+        key = b[0].batch if b else batch_dir
+        entries = entries.where(mine).select(F.lit(key).alias("batch"), "name")
+        batches = batches.select(F.lit(key).alias("batch"), "valid")
+    check = Q.manifest_check(files, entries, batches.where("valid")).first()
+    return bool(check is not None and check.complete)
+
+
 @dataclass
 class LoadResult:
     table: str
@@ -166,7 +189,8 @@ def load(spark: SparkSession, table: str, batch_dir: str, spec_path: str, prod_p
          env: str = "prod", reject_path: str | None = None, reload: bool = False,
          local_spec: str | None = None, require_manifest: bool = False,
          load_epoch: int | None = None, summary_path: str | None = None,
-         servers: DataFrame | None = None, host: str | None = None) -> LoadResult:
+         servers: DataFrame | None = None, host: str | None = None,
+         dependent_dir: str | None = None, trust_success_marker: bool = False) -> LoadResult:
     """Q8 -> M1/Q2 -> S17/S13 -> S6/S7 parse -> K8/Q5 rejects -> staging
     (K6/Q4/Q6) -> J1 / X1 / J2 / P7 / K9 -> K11 -> L15 event -> M7.
 
@@ -177,6 +201,12 @@ def load(spark: SparkSession, table: str, batch_dir: str, spec_path: str, prod_p
     ``latest_loaded_date`` of ``host``'s servers advances to the loaded hour
     (or minute) in Pacific time (M7, H3).
 
+    With ``require_manifest`` the batch folder must match its manifest (M1);
+    with ``dependent_dir`` the batch of the table this one depends on must be
+    complete first (Q1).  With ``trust_success_marker`` (output on HDFS,
+    written by a committing job) a ``_SUCCESS`` marker in the batch folder
+    short-circuits both (Q3).
+
     Idempotence: a batch with a COMPLETED event is skipped (Q8); appends are
     written into batch-named folders, so a replay after a crash between
     publish and event rewrites instead of doubling.
@@ -190,27 +220,15 @@ def load(spark: SparkSession, table: str, batch_dir: str, spec_path: str, prod_p
             TB.read_table(spark, log_path), process)
         if done.isEmpty():
             return LoadResult(table, "already loaded")
-    # completeness of the batch folder
-    files = SF.list_batch(spark, batch_dir)
-    if require_manifest:
-        if fs.exists(spark, f"{batch_dir}/manifest.json"):            # loader shape, per table folder
-            entries, batches = SF.read_manifests(spark, f"{batch_dir}/manifest.json")
-            entries = entries.drop("url")
-        else:                                                          # dumper shape, per batch folder
-            parent = batch_dir.rstrip("/").rsplit("/", 1)[0]
-            if not fs.exists(spark, f"{parent}/MANIFEST"):
+    # completeness of the batch folder (Q3 marker, Q1 dependency, M1 manifest, Q2 any file)
+    if require_manifest or dependent_dir is not None:
+        has_marker = trust_success_marker and SF.success_markers(spark, [batch_dir]).first().has_success
+        if not has_marker:
+            if dependent_dir is not None and not _batch_complete(spark, dependent_dir):
+                return LoadResult(table, "dependency incomplete")
+            if not _batch_complete(spark, batch_dir):
                 return LoadResult(table, "batch incomplete")
-            entries, batches = SF.read_manifests(spark, f"{parent}/MANIFEST")
-            here = batch_dir.rstrip("/").split(":", 1)[-1] + "/"
-            mine = F.col("url").contains(here) & ~F.col("name").isin(*Q.MANIFEST_NAMES)
-            b = files.select("batch").limit(1).collect()   # the folder as the listing spells it
-            key = b[0].batch if b else batch_dir
-            entries = entries.where(mine).select(F.lit(key).alias("batch"), "name")
-            batches = batches.select(F.lit(key).alias("batch"), "valid")
-        check = Q.manifest_check(files, entries, batches.where("valid")).first()
-        if check is None or not check.complete:
-            return LoadResult(table, "batch incomplete")
-    elif not Q.has_files(files).where("has_files").take(1):
+    elif not Q.has_files(SF.list_batch(spark, batch_dir)).where("has_files").take(1):
         return LoadResult(table, "no files")
 
     def event(status: str):

@@ -249,3 +249,26 @@ def test_refresh_marks_only_tables_loaded_on_every_target(spark, tmp_path):
     assert reg["customer"].latest_loaded_date is None and reg["nation"].latest_loaded_date is not None
     upd = TB.read_table(spark, upd_path).collect()
     assert [(r.table_name, r.uploaded_to_vertica) for r in upd] == [("customer", "downloaded")]
+
+
+def test_load_waits_for_dependency_unless_success_marker(spark, tmp_path):
+    """Q1: a table loads only after the batch it depends on is complete; Q3:
+    a _SUCCESS marker (trusted for HDFS output) short-circuits the checks."""
+    import os
+    ensure_checkpoint_dir(spark)
+    root, wh = str(tmp_path / "dumps"), str(tmp_path / "wh")
+    reg = _registry(spark).withColumn("status", F.lit("LIVE"))
+    res = J.extract(spark, reg, _sources(spark), root, "202401020300", version="other", threads=2)
+    spec = str(tmp_path / "schema.json")
+    doc = json.loads(json.dumps(SPEC))
+    doc["groups"][0]["tables"][1]["delimiter"] = "\u0001"
+    fs.write_text_file(spark, spec, json.dumps(doc))
+    cdir, ndir = f"{res.location}/customer", f"{res.location}/nation"
+    victim = sorted(n for n in os.listdir(cdir) if n.endswith(".gz"))[0]
+    os.remove(f"{cdir}/{victim}")                       # the dependency is now incomplete
+    r = J.load(spark, "nation", ndir, spec, f"{wh}/nation", hour=1, dependent_dir=cdir)
+    assert r.status == "dependency incomplete"
+    assert os.path.exists(f"{ndir}/_SUCCESS")            # written by the committing dump job
+    r2 = J.load(spark, "nation", ndir, spec, f"{wh}/nation", hour=1, dependent_dir=cdir,
+                trust_success_marker=True)
+    assert r2.status == "loaded"
