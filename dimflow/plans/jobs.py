@@ -305,27 +305,34 @@ def load(spark: SparkSession, table: str, batch_dir: str, spec_path: str, prod_p
 
 def _publish_from_staging(spark, spec, stg: DataFrame, prod_path: str, batch_id: str,
                           lookups: dict[str, DataFrame], reload: bool) -> int:
-    """Staging -> production by the spec's operation."""
-    have_prod = TB.current_version(spark, prod_path) is not None
-    if reload or not have_prod:
-        return TB.full_refresh(stg, prod_path)
-    prod = TB.read_table(spark, prod_path)
+    """Staging -> production by the spec's operation.  A reload, or a first
+    load into a table that does not exist yet, publishes the transformed
+    staging rows as the whole table (K9); otherwise the operation runs
+    against the current production rows."""
+    fresh = reload or TB.current_version(spark, prod_path) is None
+    prod = None if fresh else TB.read_table(spark, prod_path)
     if spec.is_dimension:
-        key = spec.operation_column
-        if spec.operation == "Merge":
+        key, ident = spec.operation_column, spec.identity_column
+        if fresh:
+            rows = stg
+            if ident and ident not in stg.columns:
+                rows = L.assign_identity(stg, key, ident, 0)                   # P5 from 1
+            return TB.full_refresh(rows, prod_path)
+        if spec.operation == "Merge":                                        # X1
             return TB.publish(L.upsert(prod, stg.select(*prod.columns), key), prod_path)
         new = L.insert_new(stg, prod, key)                                   # J1
-        if spec.identity_column:
-            start = prod.agg(F.max(spec.identity_column)).scalar()
-            new = L.assign_identity(new.drop(spec.identity_column) if spec.identity_column in new.columns
-                                    else new, key, spec.identity_column, start)
+        if ident:
+            start = prod.agg(F.max(ident)).scalar()                          # P5
+            new = L.assign_identity(new.drop(ident) if ident in new.columns else new, key, ident, start)
         return TB.append(new.select(*prod.columns), prod_path, batch_id)
-    if spec.join_table is not None:                                          # J2
+    if spec.join_table is not None:                                          # J2 + P6
         unwanted = spec.unwanted_key.split(".")[-1]
         wanted = spec.wanted_key.split(".")[-1]
         out = L.insert_with_lookup(stg, lookups[spec.join_table], spec.join_key, spec.join_key,
                                    unwanted, wanted)
-        return TB.append(out, prod_path, batch_id)
+        return TB.full_refresh(out, prod_path) if fresh else TB.append(out, prod_path, batch_id)
+    if fresh:
+        return TB.full_refresh(stg, prod_path)
     return TB.append(L.insert_positional(stg, prod.columns), prod_path, batch_id)   # P7
 
 

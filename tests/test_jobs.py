@@ -272,3 +272,55 @@ def test_load_waits_for_dependency_unless_success_marker(spark, tmp_path):
     r2 = J.load(spark, "nation", ndir, spec, f"{wh}/nation", hour=1, dependent_dir=cdir,
                 trust_success_marker=True)
     assert r2.status == "loaded"
+
+
+def test_load_staging_branches_lookup_positional_identity(spark, tmp_path):
+    """E2 through staging for the remaining operations: J2 (custom insert with
+    a lookup join, key swapped), P7 (positional insert) and P5 (dimension
+    insert with an identity column continuing production's)."""
+    from dimflow.sinks import files as K
+    ensure_checkpoint_dir(spark)
+    wh = str(tmp_path / "wh")
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select("l_orderkey", "l_partkey", "l_linenumber")
+    part = spark.read.parquet(f"{SF_SMALL}/part.parquet")
+    cust = spark.read.parquet(f"{SF_SMALL}/customer.parquet").select("c_custkey", "c_name")
+    dumps = str(tmp_path / "dumps")
+    dirs = {"fact_lines": K.write_dump(li, dumps, "b", "fact_lines", partitions=2),
+            "fact_plain": K.write_dump(li, dumps, "b", "fact_plain", partitions=2),
+            "dim_cust": K.write_dump(cust, dumps, "b", "dim_cust", partitions=2)}
+    li_cols = [{"field_type": "KEY", "output_name": c} for c in ["l_orderkey", "l_partkey", "l_linenumber"]]
+    spec = {"version": "1", "groups": [{"tables": [
+        {"name": "fact_lines", "db_name": "f", "db_name_stg": "stg", "sql": "x", "columns": li_cols,
+         "custom_insert_sql": {"replace_keys": {"unwanted_key": "fact_lines.l_partkey", "wanted_key": "part.p_brand"},
+                               "join_table": "part", "join_key": "l_partkey"}},
+        {"name": "fact_plain", "db_name": "f", "db_name_stg": "stg", "sql": "x", "columns": li_cols},
+        {"name": "dim_cust", "db_name": "d", "db_name_stg": "stg", "sql": "x",
+         "columns": [{"field_type": "KEY", "output_name": c} for c in ["c_custkey", "c_name"]],
+         "dimension": {"operation": "Insert", "operation_column": "c_custkey", "identity_column": "sk"}}]}]}
+    sp = str(tmp_path / "schema.json")
+    fs.write_text_file(spark, sp, json.dumps(spec))
+    types = {"l_orderkey": "long", "l_partkey": "long", "l_linenumber": "int", "c_custkey": "long", "c_name": "string"}
+    for t, d in dirs.items():
+        cols = ["c_custkey", "c_name"] if t == "dim_cust" else ["l_orderkey", "l_partkey", "l_linenumber"]
+        lines = [f"{t} - - - - - - format - -"] + [f"{t} {c} - - - - - {types[c]} - x" for c in cols]
+        fs.write_text_file(spark, f"{d}/{t}.schema", "\n".join(lines) + "\n")
+    joined = li.join(part, li.l_partkey == part.p_partkey).count()
+    # The first load creates the table from the lookup output, the second appends to it
+    lookup = {"part": part.withColumnRenamed("p_partkey", "l_partkey")}
+    for h in (1, 2):
+        assert J.load(spark, "fact_lines", dirs["fact_lines"], sp, f"{wh}/fact_lines",
+                      stg_path=f"{wh}/stg/fact_lines", hour=h, lookups=lookup, platform="other").status == "loaded"
+    out = TB.read_table(spark, f"{wh}/fact_lines")
+    assert out.count() == 2 * joined and out.where(~F.col("l_partkey").startswith("Brand#")).count() == 0
+    # The second load inserts by position into the table the first created
+    for h in (1, 2):
+        J.load(spark, "fact_plain", dirs["fact_plain"], sp, f"{wh}/fact_plain",
+               stg_path=f"{wh}/stg/fact_plain", hour=h, platform="other")
+    assert TB.read_table(spark, f"{wh}/fact_plain").count() == 2 * li.count()
+    # P5: production holds sk 1..50 for the first customers; new ones continue the sequence
+    first = cust.where("c_custkey < 50")
+    TB.publish(first.withColumn("sk", (F.col("c_custkey") + 1).cast("bigint")), f"{wh}/dim_cust")
+    J.load(spark, "dim_cust", dirs["dim_cust"], sp, f"{wh}/dim_cust", stg_path=f"{wh}/stg/dim_cust", hour=1)
+    dim = TB.read_table(spark, f"{wh}/dim_cust")
+    assert dim.count() == cust.count()
+    assert sorted(r.sk for r in dim.collect()) == list(range(1, cust.count() + 1))
