@@ -83,3 +83,16 @@ def write_single_file(df, path: str) -> str:
     rename(spark, f"{tmp}/{part[0]}", path)
     delete(spark, tmp)
     return path
+
+
+def create_new(spark: SparkSession, path: str) -> bool:
+    """Create an empty file only if it does not exist; False when it does.
+    (An atomic claim on HDFS and similar filesystems.)"""
+    p, fsys = _path(spark, path)
+    try:
+        fsys.create(p, False).close()
+        return True
+    except Exception as e:  # noqa: BLE001 -- FileAlreadyExistsException arrives as a Py4J error
+        if "FileAlreadyExists" in str(e) or fsys.exists(p):
+            return False
+        raise

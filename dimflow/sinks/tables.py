@@ -58,12 +58,21 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(f"{path}/v={v}").drop("batch_id")
 
 
+def _claim_version(spark: SparkSession, path: str) -> int:
+    """The next version number, claimed by creating ``v=<n>/_CLAIMED`` only
+    if absent: two publishers never write into the same version."""
+    known = _versions(spark, path)
+    v = (max(known) + 1) if known else 1
+    while not fs.create_new(spark, f"{path}/v={v}/_CLAIMED"):
+        v += 1
+    return v
+
+
 def publish(df: DataFrame, path: str) -> int:
     """K9 (and every snapshot transform): write a new version, then commit.
     Returns the new version number."""
     spark = df.sparkSession
-    known = _versions(spark, path)
-    v = (max(known) + 1) if known else 1
+    v = _claim_version(spark, path)
     df.write.mode("overwrite").parquet(f"{path}/v={v}/batch_id={SNAPSHOT}")
     fs.write_text_file(spark, f"{path}/v={v}/{MARKER}", "")
     return v
@@ -78,8 +87,7 @@ def append(df: DataFrame, path: str, batch_id: str | int) -> int:
     spark = df.sparkSession
     v = current_version(spark, path)
     if v is None:
-        known = _versions(spark, path)
-        v = (max(known) + 1) if known else 1
+        v = _claim_version(spark, path)
         df.write.mode("overwrite").parquet(f"{path}/v={v}/batch_id={batch_id}")
         fs.write_text_file(spark, f"{path}/v={v}/{MARKER}", "")
         return v

@@ -180,3 +180,13 @@ def test_compact_folds_appends(spark, tmp_path):
     assert v2 == v + 1
     assert sorted(map(tuple, TB.read_table(spark, path).collect())) == before
     assert [n for n in os.listdir(f"{path}/v={v2}") if n.startswith("batch_id=")] == ["batch_id=snapshot"]
+
+
+def test_versions_are_claimed_once(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+    path = str(tmp_path / "t")
+    dfs = [spark.createDataFrame([(i,)], "k int") for i in range(4)]
+    with ThreadPoolExecutor(4) as ex:
+        versions = list(ex.map(lambda d: TB.publish(d, path), dfs))
+    assert sorted(versions) == [1, 2, 3, 4]
+    assert TB.read_table(spark, path).count() == 1
