@@ -87,8 +87,21 @@ def write_single_file(df, path: str) -> str:
 
 def create_new(spark: SparkSession, path: str) -> bool:
     """Create an empty file only if it does not exist; False when it does.
-    (An atomic claim on HDFS and similar filesystems.)"""
+
+    Atomic either way: on a local filesystem through the OS's exclusive
+    create (``O_CREAT | O_EXCL``), elsewhere through the filesystem's
+    create-if-absent (atomic on HDFS, where the name node decides)."""
+    import os
     p, fsys = _path(spark, path)
+    q = fsys.makeQualified(p).toUri()
+    if q.getScheme() in (None, "file"):
+        local = q.getPath()
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        try:
+            os.close(os.open(local, os.O_CREAT | os.O_EXCL | os.O_WRONLY))
+            return True
+        except FileExistsError:
+            return False
     try:
         fsys.create(p, False).close()
         return True

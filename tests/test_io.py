@@ -185,8 +185,8 @@ def test_compact_folds_appends(spark, tmp_path):
 def test_versions_are_claimed_once(spark, tmp_path):
     from concurrent.futures import ThreadPoolExecutor
     path = str(tmp_path / "t")
-    dfs = [spark.createDataFrame([(i,)], "k int") for i in range(4)]
-    with ThreadPoolExecutor(4) as ex:
+    dfs = [spark.createDataFrame([(i,)], "k int") for i in range(8)]
+    with ThreadPoolExecutor(8) as ex:
         versions = list(ex.map(lambda d: TB.publish(d, path), dfs))
-    assert sorted(versions) == [1, 2, 3, 4]
+    assert sorted(versions) == list(range(1, 9))
     assert TB.read_table(spark, path).count() == 1
