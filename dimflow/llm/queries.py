@@ -25,3 +25,32 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 4-word shingle sets have Jaccard >= 0.85."""
     from dimflow.llm.op1_ngram_join import ngram_join
     return ngram_join(read_table(spark, sf_dir, "documents"), n=4, num=85, den=100)
+
+
+@register
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document."""
+    from dimflow.llm.op3_secrets import scan_secrets
+    return scan_secrets(read_table(spark, sf_dir, "documents"))
+
+
+@register
+def op4_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """24 contiguous shards of near equal bytes over all documents."""
+    from dimflow.llm.op4_shards import shard_documents
+    return shard_documents(read_table(spark, sf_dir, "documents"), shards=24)
+
+
+@register
+def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of every document, and the text decoded from them."""
+    from dimflow.llm.op9_bpe import encode_documents
+    return encode_documents(read_table(spark, sf_dir, "documents"))
+
+
+@register
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count rules and content share of every document."""
+    from dimflow.llm.op10_quality import quality_rules, train
+    docs = read_table(spark, sf_dir, "documents")
+    return quality_rules(docs, train(docs, read_table(spark, sf_dir, "labels")))
