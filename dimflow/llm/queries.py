@@ -54,3 +54,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from dimflow.llm.op10_quality import quality_rules, train
     docs = read_table(spark, sf_dir, "documents")
     return quality_rules(docs, train(docs, read_table(spark, sf_dir, "labels")))
+
+
+@register
+def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of embeddings with cosine >= 0.95."""
+    from dimflow.llm.op5_vectors import near_vectors
+    return near_vectors(read_table(spark, sf_dir, "embeddings"), threshold=0.95)
