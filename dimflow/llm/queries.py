@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dimflow.llm.common import read_table
 
@@ -61,3 +62,33 @@ def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of embeddings with cosine >= 0.95."""
     from dimflow.llm.op5_vectors import near_vectors
     return near_vectors(read_table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+@register
+def op2_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fuzzy passages that documents share with earlier documents."""
+    from dimflow.llm.op2_passages import repeated_passages
+    return repeated_passages(read_table(spark, sf_dir, "documents"))
+
+
+@register
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those not held out."""
+    from dimflow.llm.op6_langid import identify, train
+    docs = read_table(spark, sf_dir, "documents")
+    return identify(docs, train(docs))
+
+
+@register
+def op7_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and disclosing terms of every document."""
+    from dimflow.llm.op7_pii import sanitise
+    out = sanitise(read_table(spark, sf_dir, "documents"))
+    return out.withColumn("clean_sha256", F.sha2("clean_text", 256)).drop("clean_text")
+
+
+@register
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raked weight, probability and choice of every document."""
+    from dimflow.llm.op8_mixing import mix_sources
+    return mix_sources(read_table(spark, sf_dir, "documents"))
