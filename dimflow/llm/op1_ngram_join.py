@@ -14,9 +14,12 @@ verified on the whole sets.
 
 Documents with equal sets are one node from the start.  In a bucket of up to
 SMALL nodes all pairs are candidates; in larger ones each node is first paired
-with the bucket's hub, and only pairs that are not yet in one component are
-paired further, so a group of near copies costs about its size.  Components
-are exact: no pair in different components stays unverified.
+with the bucket's hub, and later with a node of another component, so a group
+of near copies costs about its size.  What is then left of large buckets, pairs
+in different components, is compared inside tasks by parity bitmaps: two sets'
+bitmaps differ in at most |r - s| + |s - r| bits, so a pair that differs in more
+than H bits cannot link, and only the others leave the task to be verified.
+Components are exact: no pair in different components stays untested.
 """
 
 from __future__ import annotations
@@ -34,6 +37,8 @@ from dimflow.llm.common import components, cut, id_filter, map_arrow, maybe, par
 SUBSET, DELETED, PROBE, PROBE_TWO, PROBE_DELETED = 1, 2, 4, 8, 16
 POOL = 2
 SMALL = 8
+#: Nodes of a block when what is left of a large bucket is compared in a task.
+BLOCK = 4096
 #: Cost model of the allocation: chance that a shingle of one set is in an
 #: unrelated set.
 SHARED = 0.05
@@ -78,7 +83,8 @@ def allocate(counts: np.ndarray, need: int, pool: int) -> np.ndarray:
     """
     m = len(counts)
     value = np.ones(m, dtype=np.int8)
-    order = np.argsort(counts, kind="stable")
+    order = np.argsort(counts.astype(np.uint16) if counts.max() < 65536 else counts,
+                       kind="stable")
     value[order[:m - need]] = 0
     rest = order[m - need:]
     taken = 0
@@ -109,7 +115,8 @@ def signatures(u: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarra
             hi, m, key, seed = layout(num, den, band)
             if band < own and -(-num * n // den) > hi:
                 continue
-            seg = ((tk.mix(u ^ seed) >> _U(32)) * _U(m) >> _U(32)).astype(np.int64)
+            seg = ((tk.mix(u ^ seed) >> _U(32)) * _U(m) >> _U(32)).astype(
+                np.uint16 if m < 65536 else np.int64)      # 16 bits: radix sort
             order = np.argsort(seg, kind="stable")
             counts = np.bincount(seg, minlength=m)
             total = np.concatenate([[_U(0)], np.cumsum(content[order], dtype=_U)])
@@ -146,48 +153,44 @@ def _sets(batch: pa.RecordBatch, n: int):
         yield from tk.shingle_sets(texts, n, tk.LOWER_VALUES)
 
 
-def _members(docs: DataFrame, n: int) -> DataFrame:
-    def run(batches):
-        for batch in batches:
-            got = [(len(u), set_node(u) if len(u) else None) for _, u in _sets(batch, n)]
-            if got:
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array([g[0] for g in got], pa.int64()),
-                     pa.array([g[1] for g in got], pa.int64())],
-                    ["doc_id", "n_shingles", "node"])
-    return map_arrow(docs, run, "doc_id long, n_shingles long, node long")
-
-
 def _entries(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """(sig, node, late, role); each task emits a set once however many copies
-    it reads.  ``late`` sorts entries that only index after those that probe."""
+    """Index entries (sig, node, role, 0), each set once a task however many
+    copies the task reads, and one member row (doc_id, node, 0, size) for each
+    document (node 0 if the set is empty)."""
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
-            sigs, nodes, roles, held = [], [], [], 0
-            for _, u in _sets(batch, n):
-                if not len(u) or (node := set_node(u)) in seen:
-                    continue
-                seen.add(node)
-                s, r = signatures(u, num, den)
+            ids = batch.column("doc_id").to_numpy()
+            sigs, nodes, roles, sizes = [], [], [], []
+            held = 0
+            for row, u in _sets(batch, n):
+                node = set_node(u) if len(u) else 0
+                s, r = np.array([ids[row]]).view(_U), np.zeros(1, dtype=np.int64)
+                if len(u) and node not in seen:
+                    seen.add(node)
+                    more = signatures(u, num, den)
+                    s, r = np.concatenate([s, more[0]]), np.concatenate([r, more[1]])
+                size = np.zeros(len(s), dtype=np.int32)
+                size[0] = len(u)
                 sigs.append(s)
                 roles.append(r)
+                sizes.append(size)
                 nodes.append(np.full(len(s), node, dtype=np.int64))
                 held += len(s)
                 if held > 200_000:
-                    yield _entry_batch(sigs, nodes, roles)
-                    sigs, nodes, roles, held = [], [], [], 0
+                    yield _entry_batch(sigs, nodes, roles, sizes)
+                    sigs, nodes, roles, sizes = [], [], [], []
+                    held = 0
             if held:
-                yield _entry_batch(sigs, nodes, roles)
-    return map_arrow(docs, run, "sig long, node long, late byte, role byte")
+                yield _entry_batch(sigs, nodes, roles, sizes)
+    return map_arrow(docs, run, "sig long, node long, role byte, size int")
 
 
-def _entry_batch(sigs, nodes, roles) -> pa.RecordBatch:
-    role = np.concatenate(roles).astype(np.int8)
-    late = (role & (PROBE | PROBE_TWO | PROBE_DELETED) == 0).astype(np.int8)
+def _entry_batch(sigs, nodes, roles, sizes) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(nodes)),
-         pa.array(late), pa.array(role)], ["sig", "node", "late", "role"])
+         pa.array(np.concatenate(roles).astype(np.int8)), pa.array(np.concatenate(sizes))],
+        ["sig", "node", "role", "size"])
 
 
 def _may_match(ra: np.ndarray, rb: np.ndarray) -> np.ndarray:
@@ -200,66 +203,69 @@ def _may_match(ra: np.ndarray, rb: np.ndarray) -> np.ndarray:
 
 
 def _candidates(entries: DataFrame) -> DataFrame:
-    """One pass over entries sorted by (sig, late, node): rows (big, a, b, sig,
-    role).  big = 0: candidate pair a < b.  big = 1: entry (b, role) of a large
-    bucket whose hub is a."""
+    """One pass over entries sorted by (sig, role descending, node), so that
+    entries that probe come first: rows (kind, a, b, sig, role).  kind 0:
+    candidate pair a < b.  kind 1: entry (b, role) of a large bucket whose hub
+    is a.  kind 2: document a with set b of sig shingles."""
     def run(batches):
-        carry = None          # rows of the last, unfinished bucket (at most SMALL + 1)
+        carry = None          # rows of the last, unfinished bucket (at most SMALL)
         large = None          # (sig, hub, hub's role) of an unfinished large bucket
         for batch in batches:
-            sig, node, late, role = (batch.column(i).to_numpy(zero_copy_only=False)
-                                     for i in range(4))
-            if large is not None:
+            sig, node, role, size = (batch.column(i).to_numpy() for i in range(4))
+            member = role == 0
+            if member.any():
+                yield _rows(2, sig[member], node[member], size[member].astype(np.int64),
+                            role[member])
+                sig, node, role = sig[~member], node[~member], role[~member]
+            if large is not None and len(sig):
                 k = len(sig) if sig[-1] == large[0] else int(np.argmax(sig != large[0]))
                 if k:
                     yield _rows_large(large, node[:k], role[:k])
-                sig, node, late, role = sig[k:], node[k:], late[k:], role[k:]
-                if not len(sig):
-                    continue
-                large = None
+                sig, node, role = sig[k:], node[k:], role[k:]
+                if len(sig):
+                    large = None
+            if not len(sig):
+                continue
             if carry is not None:
-                sig, node, late, role = (np.concatenate(x) for x in
-                                         zip(carry, (sig, node, late, role)))
+                sig, node, role = (np.concatenate(x) for x in zip(carry, (sig, node, role)))
                 carry = None
             new = np.concatenate([[True], (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])])
-            sig, node, late, role = sig[new], node[new], late[new], role[new]
+            sig, node, role = sig[new], node[new], role[new]
             starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
             sizes = np.diff(np.concatenate([starts, [len(sig)]]))
             tail = int(starts[-1])
-            yield from _rows_done(sig[:tail], node[:tail], late[:tail], role[:tail],
-                                  starts[:-1], sizes[:-1])
+            yield from _rows_done(sig[:tail], node[:tail], role[:tail], starts[:-1], sizes[:-1])
             if sizes[-1] <= SMALL:
-                carry = (sig[tail:], node[tail:], late[tail:], role[tail:])
+                carry = (sig[tail:], node[tail:], role[tail:])
             else:
-                large = (sig[tail], node[tail], role[tail], late[tail])
+                large = (sig[tail], node[tail], role[tail])
                 yield _rows_large(large, node[tail:], role[tail:])
         if carry is not None:
-            sig, node, late, role = carry
-            yield from _rows_done(sig, node, late, role, np.array([0]), np.array([len(sig)]))
-    n = max(partitions(entries.sparkSession), 1)
-    rows = entries.repartition(n, "sig").sortWithinPartitions("sig", "late", "node")
-    return map_arrow(rows, run, "big byte, a long, b long, sig long, role byte")
+            yield from _rows_done(*carry, np.array([0]), np.array([len(carry[0])]))
+    rows = entries.repartition(partitions(entries.sparkSession), "sig").sortWithinPartitions(
+        "sig", F.desc("role"), "node")
+    return map_arrow(rows, run, "kind byte, a long, b long, sig long, role byte")
 
 
-def _rows(big, a, b, sig, role) -> pa.RecordBatch:
+def _rows(kind, a, b, sig, role) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(a), big, dtype=np.int8)), pa.array(a), pa.array(b),
-         pa.array(sig), pa.array(role)], ["big", "a", "b", "sig", "role"])
+        [pa.array(np.full(len(a), kind, dtype=np.int8)), pa.array(a), pa.array(b),
+         pa.array(sig), pa.array(role)], ["kind", "a", "b", "sig", "role"])
 
 
 def _rows_large(large, node, role) -> pa.RecordBatch:
-    sig, hub, _, late = large
-    if late:                                     # nobody probes this bucket
+    sig, hub, first = large
+    if first < PROBE:                            # nobody probes this bucket
         node, role = node[:0], role[:0]
     k = len(node)
     return _rows(1, np.full(k, hub), node, np.full(k, sig), role)
 
 
-def _rows_done(sig, node, late, role, starts, sizes):
+def _rows_done(sig, node, role, starts, sizes):
     """Pairs of complete small buckets; hub rows of complete large ones."""
     if not len(starts):
         return
-    live = (late[starts] == 0) & (sizes > 1)
+    live = (role[starts] >= PROBE) & (sizes > 1)
     size = np.repeat(np.where(live, sizes, 0), sizes)
     at = np.repeat(starts, sizes)
     pairs = []
@@ -280,9 +286,9 @@ def _rows_done(sig, node, late, role, starts, sizes):
         yield _rows(1, node[at[i]], node[i], sig[i], role[i])
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) of document ids whose whole sets reach the similarity."""
-    wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+def _sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """(doc_id, items) of the wanted documents: a fixed-size filter first, so
+    that no other document's set leaves its task, then an exact semi-join."""
     bits = id_filter(wanted, "doc_id")
 
     def run(batches):
@@ -297,8 +303,14 @@ def _verified(pairs: DataFrame, docs: DataFrame, n: int, num: int, den: int) ->
                         [batch.column("doc_id").slice(texts.first, len(sets)),
                          pa.ListArray.from_arrays(pa.array(offs), pa.array(flat))],
                         ["doc_id", "items"])
-    sets = map_arrow(docs.select("doc_id", "text", slot_of("doc_id")), run,
+    return map_arrow(docs.select("doc_id", "text", slot_of("doc_id")), run,
                      "doc_id long, items array<long>").join(wanted, "doc_id", "left_semi")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of document ids whose whole sets reach the similarity."""
+    wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    sets = _sets_of(docs, wanted, n)
     common = F.size(F.array_intersect("x", "y"))
     return (pairs.select("a", "b")
             .join(sets.select(F.col("doc_id").alias("b"), F.col("items").alias("y")), "b")
@@ -307,6 +319,122 @@ def _verified(pairs: DataFrame, docs: DataFrame, n: int, num: int, den: int) ->
             .where(F.expr(f"{den}L * common >= {num}L * (total - common)")).select("a", "b"))
 
 
+def bitmap(u: np.ndarray) -> np.ndarray:
+    """Parity bitmap of a set: the shingle's bit is flipped; at least two bits
+    for each shingle, a power of two of 64-bit words."""
+    words = 1 << max(0, (len(u) // 32).bit_length())
+    with np.errstate(over="ignore"):
+        bit = tk.mix(u + _U(0x2545F4914F6CDD1D)) & _U(words * 64 - 1)
+    odd = (np.bincount(bit.astype(np.int64), minlength=words * 64) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(_U)
+
+
+def _folded(data: bytes, words: int) -> np.ndarray:
+    b = np.frombuffer(data, dtype=_U)
+    while len(b) > words:                        # bit index modulo a smaller power of two
+        b = b[:len(b) // 2] ^ b[len(b) // 2:]
+    return b
+
+
+def _labelled(large: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Entries of large buckets with their component, and the buckets that hold
+    several (least and greatest entry by component)."""
+    rows = large.join(labels, large["rep"] == labels["v"], "left").select(
+        "sig", "rep", "role", F.coalesce("component", "rep").alias("c"))
+    ends = rows.groupBy("sig").agg(F.min(F.struct("c", "rep")).alias("lo"),
+                                   F.max(F.struct("c", "rep")).alias("hi"),
+                                   F.count("*").alias("n")).where("lo.c <> hi.c")
+    return rows, ends
+
+
+def _hub_pairs(large: DataFrame, labels: DataFrame, tried: DataFrame) -> DataFrame:
+    """Each entry of a large bucket with the bucket's least (or greatest)
+    document of another component."""
+    rows, ends = _labelled(large, labels)
+    j = rows.join(ends, "sig").select(
+        "rep", F.when(F.col("c") == F.col("lo.c"), F.col("hi.rep"))
+        .otherwise(F.col("lo.rep")).alias("hub"))
+    new = j.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b"))
+    return new.distinct().join(tried, ["a", "b"], "left_anti")
+
+
+def _left_pairs(large: DataFrame, labels: DataFrame, tried: DataFrame, docs: DataFrame,
+                n: int, num: int, den: int) -> DataFrame:
+    """All other pairs of large buckets in different components that the sizes
+    and parity bitmaps do not rule out."""
+    rows, ends = _labelled(large, labels)
+    rows = cut(rows.join(ends.select("sig", F.ceil(F.col("n") / BLOCK).cast("int")
+                                     .alias("blocks")), "sig"))
+    sets = _sets_of(docs, cut(rows.select(F.col("rep").alias("doc_id")).distinct()), n)
+
+    def sketch(batches):
+        for batch in batches:
+            items = batch.column("items")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array([len(x) for x in items], pa.int32()),
+                 pa.array([bitmap(x.values.to_numpy().view(_U)).tobytes() for x in items],
+                          pa.binary())], ["rep", "size", "bits"])
+    sketches = map_arrow(sets, sketch, "rep long, size int, bits binary")
+    members = (rows.withColumn("block", F.expr("cast(pmod(xxhash64(rep), blocks) as int)"))
+               .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+               .join(sketches, "rep")
+               .select("sig", F.least("block", "other").alias("bi"),
+                       F.greatest("block", "other").alias("bj"), "block", "rep", "role", "c",
+                       "size", "bits"))
+
+    def compare(held):
+        block, bi, bj, rep, role, c, size = (np.concatenate([h[k] for h in held])
+                                             for k in (2, 0, 1, 3, 4, 5, 6))
+        raw = [b for h in held for b in h[7]]
+        words = min(map(len, raw)) // 8
+        bits = np.stack([_folded(b, words) for b in raw])
+        for lo in range(0, len(rep), 64):
+            rows = slice(lo, lo + 64)
+            i, j = np.nonzero(
+                (c[rows, None] != c) & (rep[rows, None] < rep)
+                & (num * np.maximum(size[rows, None], size)
+                   <= den * np.minimum(size[rows, None], size)))
+            i += lo
+            ok = _may_match(role[i], role[j])
+            if bi[0] != bj[0]:
+                ok &= block[i] != block[j]
+            i, j = i[ok], j[ok]
+            if len(i):
+                differ = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64)
+                near = differ <= (den - num) * (size[i] + size[j]) // (den + num)
+                if near.any():
+                    yield rep[i[near]], rep[j[near]]
+
+    def run(batches):
+        held, key = [], None
+        for batch in batches:
+            keys = [batch.column(i).to_numpy() for i in range(3)]
+            edge = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1 \
+                if batch.num_rows else []
+            cuts = [0, *list(edge), batch.num_rows]
+            for lo, hi in zip(cuts, cuts[1:]):
+                if lo == hi:
+                    continue
+                now = tuple(int(k[lo]) for k in keys)
+                if now != key:
+                    yield from flush(held)
+                    held, key = [], now
+                part = batch.slice(lo, hi - lo)
+                held.append([part.column(i).to_numpy() for i in range(1, 8)]
+                            + [part.column(8).to_pylist()])
+        yield from flush(held)
+
+    def flush(held):
+        found = list(compare(held)) if held else []
+        if found:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(x)) for x in zip(*found)], ["a", "b"])
+    members = members.repartition(partitions(docs.sparkSession), "sig", "bi", "bj") \
+        .sortWithinPartitions("sig", "bi", "bj")
+    return (map_arrow(members, run, "a long, b long").distinct()
+            .join(tried, ["a", "b"], "left_anti"))
+
+
 def ngram_join(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_copies) for every document.
 
@@ -318,67 +446,56 @@ def ngram_join(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) -> Da
     without words have an empty set, no links, and are their own component.
     Documents with one set (copies, ties) are linked; ``n_copies`` counts them.
     Repeated rows each give a row.  An empty table gives no rows.  A row with a
-    null id gets the component of its set, if another document has that set.
+    null id is its own class: it links with nothing, its component is null.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text"))
-    members = cut(_members(docs, n))
-    nodes = cut(members.where("node is not null and doc_id is not null").groupBy("node")
-                .agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_copies")))
+    nameless = docs.where("doc_id is null")
+    docs = docs.where("doc_id is not null")
     found = cut(_candidates(_entries(docs, n, num, den)))
+    members = found.where("kind = 2").select(
+        F.col("a").alias("doc_id"), F.col("sig").alias("n_shingles"),
+        F.when(F.col("sig") > 0, F.col("b")).alias("node"))
+    nodes = cut(members.where("node is not null").groupBy("node")
+                .agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_copies")))
 
-    def named(pairs: DataFrame) -> DataFrame:
-        rep = nodes.select("node", "rep")
-        return (pairs.join(rep.withColumnsRenamed({"node": "a", "rep": "ra"}), "a")
+    rep = nodes.select("node", "rep")
+    pairs = cut(found.where("kind < 2 and a <> b")
+                .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+                .join(rep.withColumnsRenamed({"node": "a", "rep": "ra"}), "a")
                 .join(rep.withColumnsRenamed({"node": "b", "rep": "rb"}), "b")
                 .select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")))
-
-    ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    pairs = cut(named(found.where("a <> b").select(*ends).distinct()))
     links = cut(_verified(pairs, docs, n, num, den))
     labels = cut(components(links))
-    large = found.where("big = 1").select("sig", F.col("b").alias("node"), "role").distinct()
-    if not found.where("big = 1").isEmpty():
-        large = cut(large.join(nodes.select("node", "rep"), "node").select("sig", "rep", "role"))
+    large = cut(found.where("kind = 1").select("sig", F.col("b").alias("node"), "role").distinct()
+                .join(rep, "node").select("sig", "rep", "role"))
+    if not large.isEmpty():
         tried = pairs
-        for hubs_only in (True, True, True, False):
-            pairs = cut(_open_pairs(large, labels, tried, hubs_only))
+        for step in range(3):
+            pairs = cut(_hub_pairs(large, labels, tried) if step < 2 else
+                        _left_pairs(large, labels, tried, docs, n, num, den))
+            if pairs.isEmpty():
+                continue
             more = cut(_verified(pairs, docs, n, num, den))
-            if not more.isEmpty():
-                links = links.unionAll(more)
-                labels = cut(components(links))
             tried = tried.unionAll(pairs)
+            if not more.isEmpty():
+                known = labels.select(F.col("v").alias("a"), F.col("component").alias("b"))
+                labels = cut(components(known.unionAll(more)))
     top = nodes.join(labels, nodes["rep"] == labels["v"], "left").select(
         "node", "n_copies", F.coalesce("component", "rep").alias("component"))
-    return (members.join(top, "node", "left")
-            .select("doc_id", "n_shingles",
-                    F.coalesce("component", "doc_id").alias("component_id"),
-                    F.coalesce("n_copies", F.lit(1)).alias("n_copies")))
+    done = members.join(top, "node", "left").select(
+        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
+        F.coalesce("n_copies", F.lit(1)).alias("n_copies"))
+    null = F.lit(None).cast("long")
+    return done.unionAll(_sizes(nameless, n).select(
+        null.alias("doc_id"), "n_shingles", null.alias("component_id"),
+        F.lit(1).cast("long").alias("n_copies")))
 
 
-def _open_pairs(large: DataFrame, labels: DataFrame, tried: DataFrame,
-                hubs_only: bool) -> DataFrame:
-    """Pairs of large buckets that are in different components and untried:
-    with ``hubs_only`` each entry against the least document of another
-    component of its bucket, else all of them."""
-    rows = large.join(labels, large["rep"] == labels["v"], "left").select(
-        "sig", "rep", "role", F.coalesce("component", "rep").alias("c"))
-    ends = rows.groupBy("sig").agg(F.min(F.struct("c", "rep")).alias("lo"),
-                                   F.max(F.struct("c", "rep")).alias("hi"))
-    ends = ends.where("lo.c <> hi.c")
-    if hubs_only:
-        j = rows.join(ends, "sig").select(
-            "rep", F.when(F.col("c") == F.col("lo.c"), F.col("hi.rep"))
-            .otherwise(F.col("lo.rep")).alias("hub"))
-    else:
-        rows = rows.join(ends.select("sig"), "sig")
-        other = rows.select("sig", F.col("rep").alias("hub"), F.col("role").alias("role2"),
-                            F.col("c").alias("c2"))
-
-        def hit(p, i):
-            return (f"(({p} & {PROBE | PROBE_TWO | PROBE_DELETED}) > 0 and ({i} & {SUBSET}) > 0"
-                    f" or ({p} & {PROBE_TWO}) > 0 and ({i} & {DELETED}) > 0)")
-        j = (rows.join(other, "sig").where("c < c2")
-             .where(hit("role", "role2") + " or " + hit("role2", "role")).select("rep", "hub"))
-    new = j.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
-    return new.join(tried, ["a", "b"], "left_anti")
+def _sizes(docs: DataFrame, n: int) -> DataFrame:
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([len(u) for _, u in _sets(batch, n)], pa.int64())], ["n_shingles"])
+    return map_arrow(docs, run, "n_shingles long")
