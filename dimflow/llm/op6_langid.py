@@ -42,14 +42,12 @@ def features(text: str) -> Iterator[np.ndarray]:
     no letter."""
     letters = _letters()
     tail = np.array([32], dtype=np.uint64)
-    seen = False
     for i in range(0, len(text), _BLOCK):
         c = np.frombuffer(text[i:i + _BLOCK].lower().encode("utf-32-le", "surrogatepass"),
                           dtype=np.uint32)
         keep = letters[c]
-        if not keep.any():
+        if not keep.any() and tail[-1] == 32:
             continue
-        seen = True
         c = np.where(keep, c, 32).astype(np.uint64)
         c = np.concatenate([tail, c])
         blank = c == 32
@@ -62,8 +60,6 @@ def features(text: str) -> Iterator[np.ndarray]:
             gram = gram[max(0, len(tail) - k):]
             yield ((gram * _MULT[k]) >> np.uint64(64 - HASH_BITS)).astype(np.int64)
         tail = c[-2:]
-    if not seen:
-        return
 
 
 def _document_counts(docs: DataFrame) -> np.ndarray:
