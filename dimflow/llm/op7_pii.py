@@ -143,8 +143,8 @@ def disclosing_terms(docs: DataFrame, marked: DataFrame, support: int, remove: f
     words = F.array_distinct(F.split(F.lower(F.col("text")), r"[\x20\t-\r]+"))
     terms = (docs.select(F.explode(words).alias("term")).groupBy("term")
              .agg(F.count("*").alias("df_t")))
-    total = docs.select(F.count("*").alias("n"))
-    scored = (co.join(terms, "term").join(entities, "entity").crossJoin(F.broadcast(total))
+    scored = (co.join(terms, "term").join(entities, "entity")
+              .withColumn("n", docs.agg(F.count("*")).scalar())
               .withColumn("ratio", F.log2(F.col("co") * F.col("n") / (F.col("df_t") * F.col("df_e")))
                           / F.log2(F.col("n") / F.col("df_e"))))
     return contexts, (scored.where((F.col("n") > F.col("df_e")) & (F.col("ratio") >= generalise))

@@ -57,9 +57,8 @@ def default_targets(cells: DataFrame) -> dict[str, DataFrame]:
     for d in DIMS:
         sums = cells.groupBy(d).agg(F.pow(F.sum("tokens").cast("double"), F.lit(TEMPER))
                                     .alias("raw"))
-        total = sums.agg(F.sum("raw").alias("all"))
-        out[d] = sums.crossJoin(F.broadcast(total)).select(d, (F.col("raw") / F.col("all"))
-                                                           .alias("target"))
+        total = sums.agg(F.sum("raw")).scalar()
+        out[d] = sums.select(d, (F.col("raw") / total).alias("target"))
     return out
 
 
