@@ -13,14 +13,15 @@ from pyspark.sql import types as T
 
 # The two cleansing profiles, applied in this order.
 # "pipe" (primary version): the separator is '|', so a '|' inside a cell
-# becomes '-', the zero datetime becomes a loadable one, tab becomes '|'.
+# becomes '-', the zero datetime becomes a loadable one.  The tabs that the
+# source turned into separators stood between cells (its client escapes tabs
+# inside them); here cells are joined by the separator when the line is made.
 PIPE_RULES = [
     ("|", "-"),
     ("0000-00-00 00:00:00", "1970-01-01 12:00:00"),
-    ("\t", "|"),
 ]
 # "ctrl_a" (other versions): text NULL becomes empty, carriage returns go,
-# the unsigned -1 sentinel 4294967295 becomes 0; tab becomes the separator.
+# the unsigned -1 sentinel 4294967295 becomes 0.
 CTRL_A_RULES = [
     ("NULL", ""),
     ("\r", ""),
@@ -63,9 +64,9 @@ def cleanse_column(c: Column, profile: str = "pipe", sep: str = "|",
     only rewrites cells equal to the pattern.
     """
     if profile == "pipe":
-        rules = PIPE_RULES[:2] + [("\t", sep)]
+        rules = PIPE_RULES
     elif profile == "ctrl_a":
-        rules = CTRL_A_RULES + [("\t", sep)]
+        rules = CTRL_A_RULES
     elif profile == "oracle":
         rules = ORACLE_RULES
     else:

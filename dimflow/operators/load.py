@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from dimflow.session import ensure_checkpoint_dir
+
 
 def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
@@ -98,11 +100,11 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order_col: str) -> D
 
 
 def upsert(prod: DataFrame, stg: DataFrame, key: str | Sequence[str],
-           order_col: str | None = None) -> DataFrame:
+           order_col: str = "updated_at") -> DataFrame:
     """X1 (``operation: Merge``): staging rows replace production rows with the
     same key, production rows without a staging match are kept, new keys are
     inserted.  Staging is first reduced to one row per key (greatest
-    ``order_col``, ties by all columns).  Rows with a NULL key never match and
+    ``order_col``, which must be named and present; ties by all columns).  Rows with a NULL key never match and
     are all kept, as in J1.  Returns the new production snapshot.
     """
     keys = _keys(key)
@@ -111,8 +113,8 @@ def upsert(prod: DataFrame, stg: DataFrame, key: str | Sequence[str],
         null_key = null_key | F.col(k).isNull()
     stg = stg.select(*prod.columns)
     keyed = stg.where(~null_key)
-    if order_col is None:
-        order_col = next(c for c in prod.columns if c not in keys)
+    if order_col not in prod.columns:
+        raise ValueError(f"merge needs an order column to pick the latest row; {order_col!r} is absent")
     latest = latest_per_key(keyed, keys, order_col)
     kept = insert_new(prod, latest, keys, prod.columns)
     return kept.unionByName(latest).unionByName(stg.where(null_key))
@@ -123,7 +125,9 @@ def assign_identity(df: DataFrame, key: str | Sequence[str], id_col: str,
     """P5: a dense identity ``start + 1, start + 2, ...`` in key order.
 
     Distributed, no single-partition window: rows are range-partitioned and
-    sorted by key; ``monotonically_increasing_id`` then carries the partition
+    sorted by key and kept once in the shared checkpoint folder (counting and
+    numbering must see one and the same partitioning, whatever exchanges the
+    optimizer reuses); ``monotonically_increasing_id`` carries the partition
     index (upper bits) and the position in the partition (lower 33 bits).  A
     count per partition (one row per partition -- a proven-small side,
     broadcast) gives each partition its offset.  ``start`` may be a scalar
@@ -138,6 +142,8 @@ def assign_identity(df: DataFrame, key: str | Sequence[str], id_col: str,
     t = (ordered.withColumn("_mid", F.monotonically_increasing_id())
          .withColumn("_pid", F.shiftright("_mid", 33))
          .withColumn("_local", F.col("_mid").bitwiseAND((1 << 33) - 1)))
+    ensure_checkpoint_dir(df.sparkSession)
+    t = t.checkpoint(eager=True)
     counts = t.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))

@@ -87,10 +87,14 @@ def ready_batches(checks: DataFrame, deps: DataFrame | None = None,
     return out.select("batch", ready.alias("ready"))
 
 
+BATCH_KEYS = ("database_name", "table_name", "processed_utc_hour")
+
+
 def not_yet_loaded(candidates: DataFrame, log: DataFrame, process: str = "LOAD",
-                   keys=("database_name", "table_name", "processed_utc_hour")) -> DataFrame:
+                   keys=BATCH_KEYS) -> DataFrame:
     """Q8: candidate batches with no COMPLETED ``process`` event (a batch
-    already loaded never loads again)."""
+    already loaded never loads again).  Minute batches are told apart by
+    ``process_minute`` as a further key."""
     done = log.where((F.col("process_name") == process) & (F.col("status") == "COMPLETED")) \
         .select(*keys).distinct()
     return candidates.join(done, list(keys), "left_anti")

@@ -115,19 +115,32 @@ def extract_columns(registry: DataFrame) -> DataFrame:
     return registry.select("table_name", F.posexplode(F.split(text, ",")).alias("pos", "column_name"))
 
 
-def explode_list(df: DataFrame, col: str, max_items: int = 1000, item: str = "item",
+def explode_list(df: DataFrame, col: str, item: str = "item",
                  keep: list[str] | None = None) -> DataFrame:
-    """One row per comma-separated item (``n`` from 1), items after
-    ``max_items`` dropped as the source's 1..1000 number table did -- no
-    number table and no cross join here, just ``explode``."""
-    parts = F.slice(F.split(F.col(col), ","), 1, max_items)
+    """One row per comma-separated item (``n`` from 1), however long the
+    list -- no number table and no cross join, just ``explode``."""
+    parts = F.split(F.col(col), ",")
     return df.select(*(keep if keep is not None else [col]),
                      F.posexplode(parts).alias("n", item)) \
         .withColumn("n", F.col("n") + 1)
 
 
-def distinct_items_df(registry: DataFrame, cols: str | list[str], enabled_only: bool = True,
-                      max_items: int = 1000) -> DataFrame:
+def distinct_items(registry: DataFrame, cols: str | list[str],
+                   enabled_only: bool = True) -> DataFrame:
+    """A1 as rows: the distinct ``(list_name, item)`` of every enabled table's
+    lists; deduplicated map-side, no row holds more than one item."""
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    src = registry.where(F.col("is_loading_enabled") == 1) if enabled_only else registry
+    legs = None
+    for c in cols:
+        leg = explode_list(src.select(c).distinct(), c, "item", keep=[]) \
+            .select(F.lit(c).alias("list_name"), "item")
+        legs = leg if legs is None else legs.unionByName(leg)
+    return legs.distinct()
+
+
+def distinct_items_df(registry: DataFrame, cols: str | list[str],
+                      enabled_only: bool = True) -> DataFrame:
     """A1: ``GROUP_CONCAT(DISTINCT item)`` over every enabled table's list, one
     output column per input column, in a single one-row aggregate.
 
@@ -137,14 +150,8 @@ def distinct_items_df(registry: DataFrame, cols: str | list[str], enabled_only:
     reaches the final one-row aggregate.
     """
     cols = [cols] if isinstance(cols, str) else list(cols)
-    src = registry.where(F.col("is_loading_enabled") == 1) if enabled_only else registry
-    legs = None
-    for c in cols:
-        leg = explode_list(src.select(c).distinct(), c, max_items, "item", keep=[]) \
-            .select(F.lit(c).alias("_src"), "item")
-        legs = leg if legs is None else legs.unionByName(leg)
-    items = legs.distinct()
-    aggs = [F.sort_array(F.collect_list(F.when(F.col("_src") == c, F.col("item")))).alias(c)
+    items = distinct_items(registry, cols, enabled_only)
+    aggs = [F.sort_array(F.collect_list(F.when(F.col("list_name") == c, F.col("item")))).alias(c)
             for c in cols]
     return items.agg(*aggs).select(*[F.when(F.size(c) > 0, F.array_join(c, ",")).alias(c)
                                      for c in cols])

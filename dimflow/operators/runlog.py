@@ -34,9 +34,21 @@ HOUR = "processed_utc_hour"
 
 def hourly_grain(log: DataFrame) -> DataFrame:
     """The trf log reduced to one row per (db, table, process, status, hour),
-    keeping the latest ``process_minute`` of each."""
+    keeping the latest ``process_minute`` of each, as a number (a hash
+    aggregate; stamps of twelve digits keep their order)."""
     return log.groupBy(*DB_T, "process_name", "status", HOUR) \
-        .agg(F.max("process_minute").alias("max_minute"))
+        .agg(F.max(F.col("process_minute").cast("bigint")).alias("max_minute"))
+
+
+def _minute_text(c: Column) -> Column:
+    return F.lpad(c.cast("string"), 12, "0")
+
+
+def _hour_minute(done: Column) -> Column:
+    """The greatest (hour, minute) of the ``done`` rows in one number: the hour
+    times 10**12 plus the minute stamp plus one (0: no stamp)."""
+    return F.max(F.when(done, F.col(HOUR) * F.lit(10 ** 12)
+                        + F.coalesce(F.col("max_minute") + 1, F.lit(0))))
 
 
 def next_after(probes: DataFrame, values: DataFrame, group: list[str], probe_col: str,
@@ -48,28 +60,28 @@ def next_after(probes: DataFrame, values: DataFrame, group: list[str], probe_col
     done without pairing every probe with every value: probes and values are
     unioned and one running ``min`` over the group, sorted descending, hands
     each probe the smallest value seen above it -- linear in the group, one
-    sort.  Groups are values already reduced to distinct hours.
+    sort.  Probes and values are reduced to distinct ones first, so a group
+    holds hours only, however many probe rows share it; the answers are joined
+    back to the rows.
     """
-    pcols = [c for c in probes.columns if c not in group]
-    p = probes.select(*group, F.col(probe_col).alias("_x"), F.lit(0).alias("_k"),
-                      F.struct(*[F.col(c) for c in pcols]).alias("_probe"))
-    v = values.select(*group, F.col(value_col).alias("_x"), F.lit(1).alias("_k"),
-                      F.lit(None).cast(p.schema["_probe"].dataType).alias("_probe"))
+    p = probes.select(*group, F.col(probe_col).alias("_x")).distinct().withColumn("_k", F.lit(0))
+    v = values.select(*group, F.col(value_col).alias("_x")).distinct().withColumn("_k", F.lit(1))
     w = (Window.partitionBy(*group).orderBy(F.col("_x").desc_nulls_last(), F.col("_k").asc())
          .rowsBetween(Window.unboundedPreceding, -1))
     nxt = F.min(F.when(F.col("_k") == 1, F.col("_x"))).over(w)
     u = p.unionByName(v).withColumn(out, F.when(F.col("_x").isNotNull(), nxt))
-    return u.where(F.col("_k") == 0).select(*group, *[F.col(f"_probe.{c}").alias(c) for c in pcols], out)
+    found = u.where((F.col("_k") == 0) & F.col(out).isNotNull()).select(
+        *[F.col(c).alias(f"_g{i}") for i, c in enumerate(group)], "_x", out)
+    same = F.col(probe_col) == F.col("_x")
+    for i, c in enumerate(group):
+        same = same & (F.col(c) == F.col(f"_g{i}"))
+    return probes.join(found, same, "left").select(*probes.columns, out)
 
 
 def _is(process: str, *statuses: str) -> Column:
     return (F.col("process_name") == process) & F.col("status").isin(*statuses)
 
 
-def _tables(g: DataFrame) -> DataFrame:
-    return g.select(*DB_T).distinct()
-
-
 # ---------------------------------------------------------------- trf log ----
 
 def last_load_hour(log: DataFrame, process: str = "LOAD") -> DataFrame:
@@ -90,37 +102,28 @@ def last_load_minute(log: DataFrame, hour: int | None = None, process: str = "LO
     g = hourly_grain(log)
     done = _is(process, "COMPLETED")
     if hour is None:
-        best = F.max(F.when(done, F.struct(F.col(HOUR).alias("h"), F.col("max_minute").alias("m"))))
-        return g.groupBy(*DB_T).agg(best.alias("_b")).select(
-            *DB_T, F.coalesce(F.col("_b.h"), F.lit(0)).cast("bigint").alias("last_load_hour"),
-            F.col("_b.m").alias("last_load_minute"))
+        minute = F.expr("_b % 1000000000000")
+        return g.groupBy(*DB_T).agg(_hour_minute(done).alias("_b")).select(
+            *DB_T, F.coalesce(F.expr("_b div 1000000000000"), F.lit(0)).cast("bigint")
+            .alias("last_load_hour"),
+            F.when(minute > 0, _minute_text(minute - 1)).alias("last_load_minute"))
     return g.groupBy(*DB_T).agg(
         F.lit(hour).cast("bigint").alias("last_load_hour"),
-        F.max(F.when(done & (F.col(HOUR) == hour), F.col("max_minute"))).alias("last_load_minute"))
+        F.max(F.when(done & (F.col(HOUR) == hour), F.col("max_minute"))).alias("_m")) \
+        .select(*DB_T, "last_load_hour", _minute_text(F.col("_m")).alias("last_load_minute"))
 
 
 def next_load_hour(log: DataFrame) -> DataFrame:
     """First COMPLETED TRANSFER hour after the last COMPLETED LOAD hour
     (0 stands for "no load yet"), 0 when there is none."""
-    g = hourly_grain(log)
-    loads = g.where(_is("LOAD", "COMPLETED")).groupBy(*DB_T).agg(F.max(HOUR).alias("_last"))
-    trf = g.where(_is("TRANSFER", "COMPLETED")).select(*DB_T, F.col(HOUR).alias("_h")).distinct()
-    j = _tables(g).join(loads, DB_T, "left").join(trf, DB_T, "left")
-    nxt = F.min(F.when(F.col("_h") > F.coalesce(F.col("_last"), F.lit(0)), F.col("_h")))
-    return j.groupBy(*DB_T).agg(F.coalesce(nxt, F.lit(0)).cast("bigint").alias("next_load_hour"))
+    return table_status(log).select(*DB_T, "next_load_hour")
 
 
 def next_realtime_hour(log: DataFrame) -> DataFrame:
     """First S3Sync hour (COMPLETED or STARTED) after the table's last
     COMPLETED TRANSFER hour; that maximum is taken over the table name in any
     database, with no fallback, so a table never transferred gets 0."""
-    g = hourly_grain(log)
-    trf = g.where(_is("TRANSFER", "COMPLETED")).groupBy("table_name").agg(F.max(HOUR).alias("_trf"))
-    syncs = g.where(_is("S3Sync", "COMPLETED", "STARTED")) \
-        .select(*DB_T, F.col(HOUR).alias("_h")).distinct()
-    j = _tables(g).join(trf, "table_name", "left").join(syncs, DB_T, "left")
-    nxt = F.min(F.when(F.col("_h") > F.col("_trf"), F.col("_h")))
-    return j.groupBy(*DB_T).agg(F.coalesce(nxt, F.lit(0)).cast("bigint").alias("next_realtime_hour"))
+    return table_status(log).select(*DB_T, "next_realtime_hour")
 
 
 def table_status(log: DataFrame) -> DataFrame:
@@ -146,13 +149,16 @@ def table_status(log: DataFrame) -> DataFrame:
     last = F.coalesce(F.col("_last"), F.lit(0))
     nxt_load = F.min(F.when(_is("TRANSFER", "COMPLETED") & (F.col(HOUR) > last), F.col(HOUR)))
     nxt_rt = F.min(F.when(_is("S3Sync", "COMPLETED", "STARTED") & (F.col(HOUR) > F.col("_trf")), F.col(HOUR)))
-    best = F.max(F.when(load_done, F.struct(F.col(HOUR).alias("h"), F.col("max_minute").alias("m"))))
+    minute = F.expr("_b % 1000000000000")
     return g.groupBy(*DB_T).agg(
         F.coalesce(F.max(F.when(load_done, F.col(HOUR))), F.lit(0)).cast("bigint").alias("last_load_hour"),
-        best["m"].alias("last_load_minute"),
+        _hour_minute(load_done).alias("_b"),
         F.coalesce(nxt_load, F.lit(0)).cast("bigint").alias("next_load_hour"),
         F.coalesce(nxt_rt, F.lit(0)).cast("bigint").alias("next_realtime_hour"),
-        F.max(F.when(F.col("process_name") == "S3Sync", F.col(HOUR))).alias("max_sync_hour"))
+        F.max(F.when(F.col("process_name") == "S3Sync", F.col(HOUR))).alias("max_sync_hour")) \
+        .select(*DB_T, "last_load_hour",
+                F.when(minute > 0, _minute_text(minute - 1)).alias("last_load_minute"),
+                "next_load_hour", "next_realtime_hour", "max_sync_hour")
 
 
 def sync_completed(log: DataFrame, hour: int | Column) -> DataFrame:
@@ -268,7 +274,6 @@ def prev_status(run_log: DataFrame, mode: str | int = "today", today: str | None
     (it compares a run with itself, so it keeps every run).  ``0`` is
     "today": the source tested the interval for truthiness, and 0 is false.
     """
-    jobs = run_log.select("job_id").distinct()
     if mode == "today" or mode == 0 or mode is None:
         window = F.to_date("run_date") == F.to_date(F.lit(today))
     elif mode == -1 or mode == "any":
@@ -277,9 +282,9 @@ def prev_status(run_log: DataFrame, mode: str | int = "today", today: str | None
         n = int(mode)
         window = F.to_timestamp_ntz(F.to_date("run_date").cast("string")) >= \
             F.timestamp_add("DAY", F.lit(-n), F.col("run_date"))
-    latest = run_log.where(window).groupBy("job_id").agg(
-        F.max(F.struct("run_id", "status")).alias("_l"))
-    return jobs.join(latest, "job_id", "left").select(
+    latest = run_log.groupBy("job_id").agg(
+        F.max(F.when(window, F.struct("run_id", "status"))).alias("_l"))
+    return latest.select(
         "job_id", F.coalesce(F.trim(F.col("_l.status")), F.lit("completed")).alias("status"))
 
 
@@ -357,13 +362,21 @@ def next_interval(log: DataFrame, interval: str = "hourly", step: int = 1,
     """H4/H5 + K12: the next batch to load for every table.
 
     hourly: last loaded hour (L9) + ``step``; batch folder ``yyyyMMddHH``
-    (``yyyyMMddHH00`` in staging).  minutes: last loaded minute (L10) +
+    (``yyyyMMddHH00`` in staging).  daily: last loaded hour + ``step``
+    hours (24 for a day); batch folder ``date=yyyy-MM-dd``.  minutes: last loaded minute (L10) +
     ``step`` minutes; the hour moves on by one only when the new minute is
     ``00`` (``carry='literal'``: a step jumping past ``00`` leaves it stale) or
     is derived from the new minute (``carry='true'``); a table with no loaded
     minute has nothing to do.  H5: hour 0 means nothing to load -> dropped.
     """
-    if interval == "hourly":
+    if interval not in ("hourly", "daily", "minutes"):
+        raise ValueError(f"unknown interval {interval!r}")
+    if interval == "daily":
+        last = last_load_hour(log).withColumn("next_hour", F.col("last_load_hour") + step)
+        out = last.select(*DB_T, "last_load_hour", F.lit(None).cast("string").alias("last_load_minute"),
+                          "next_hour", F.lit(None).cast("string").alias("next_minute"),
+                          F.date_format(hour_ts("next_hour"), "'date='yyyy-MM-dd").alias("batch"))
+    elif interval == "hourly":
         last = last_load_hour(log)
         nxt = last.withColumn("next_hour", F.col("last_load_hour") + step)
         out = nxt.select(*DB_T, "last_load_hour", F.lit(None).cast("string").alias("last_load_minute"),

@@ -25,11 +25,13 @@ def _table_set(tables: DataFrame | None, alias: str = "_tn") -> DataFrame | None
 
 
 def mark_complete(update_log: DataFrame, tables: DataFrame | None = None,
-                  tie_break: str | None = "log_id") -> DataFrame:
+                  tie_break: str | None = None) -> DataFrame:
     """M2: for each table (of ``tables``, else all), its newest
     ``downloaded`` row becomes ``complete`` (``ORDER BY update_date DESC
     LIMIT 1``).  Ties on ``update_date`` are broken by ``tie_break``
-    descending.  ``update_date`` itself is left as it was."""
+    descending if given, by ``log_id`` if the log has that column, else all
+    tied rows are marked.  ``update_date`` itself is left as it was."""
+    tie_break = tie_break or ("log_id" if "log_id" in update_log.columns else None)
     dl = update_log.where(F.col("uploaded_to_vertica") == "downloaded")
     ts = _table_set(tables)
     if ts is not None:

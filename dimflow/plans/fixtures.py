@@ -47,10 +47,23 @@ select concat('dim_', cast(p_partkey as string)) as table_name, case when p_part
  case when p_partkey % 13 = 0 then 0 else 1 end as is_loading_enabled, case when p_partkey % 4 = 1 then 'OFF' else 'LIVE' end as status,
  case when p_partkey % 4 = 0 then null else 'id,name,updated_at' end as mysql_keys,
  concat(p_brand, ',', p_type) as stats_keys, case when p_partkey % 6 = 0 then null else 'clicks,cost' end as measures from @T(part)""",
+    # two thirds of the customers are in production; all of them are staged
     "fx_cust_prod": """
 select * from @T(customer) where c_custkey % 3 <> 0""",
     "fx_cust_stg": """
-select c_custkey, c_name, c_nationkey, c_acctbal + 100 as c_acctbal, c_mktsegment from @T(customer) where c_custkey % 2 = 0""",
+select c_custkey, c_name, c_nationkey, c_acctbal + 100 as c_acctbal, c_mktsegment from @T(customer)""",
+    # staging with several rows for every third key, told apart by updated_at
+    "fx_cust_versions": """
+select c_custkey, concat(c_name, '-old') as c_name, c_nationkey, c_acctbal, c_mktsegment, @TS'2024-01-01 00:00:00' as updated_at from @T(customer) where c_custkey % 3 = 0
+union all
+select c_custkey, c_name, c_nationkey, c_acctbal + 1, c_mktsegment, @TS'2024-06-01 00:00:00' as updated_at from @T(customer)""",
+    # documents whose cells hold every pattern that cleansing rewrites
+    "fx_cells": """
+select doc_id, case when doc_id % 5 = 0 then concat(text, '|0000-00-00 00:00:00|') when doc_id % 5 = 1 then concat('NULL', chr(9), text, 'ANNULLED')
+  when doc_id % 5 = 2 then concat(text, chr(13), '14294967295', chr(9)) else text end as text,
+ case when doc_id % 4 = 0 then concat(lang, '|', chr(9)) else lang end as lang,
+ case when doc_id % 6 = 0 then concat(source, chr(13)) else source end as source,
+ case when doc_id % 7 = 0 then 4294967295 else n_chars end as n_chars from @T(documents)""",
     "fx_files": """
 select distinct cast(event_id % 40 as int) as batch, concat('part-', cast(user_id % 50 as string), '.gz') as name from @T(events)""",
     "fx_manifest": """
@@ -82,7 +95,7 @@ select concat('vw_dim_', cast(p_size as string)) as table_name, concat('c', cast
     # Columns a dump asks for, per table, in the requested order.
     "fx_wanted_columns": """
 select concat('vw_dim_', cast(p_size as string)) as table_name, concat('c', cast(p_partkey as string)) as column_name,
- cast(round(p_retailprice * 100) as bigint) * 10000 + p_partkey as pos from @T(part) where p_brand < 'Brand#3'""",
+ cast(round(p_retailprice * 100) as bigint) * 10000 + p_partkey as pos from @T(part)""",
     # Table-spec column entries (schema document B, flattened): KEY entries from
     # stats_keys, METRIC entries from measures, an OTHER entry per table;
     # positions interleave so that KEY-before-METRIC ordering matters.

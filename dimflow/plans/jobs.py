@@ -66,24 +66,35 @@ def extract(spark: SparkSession, registry: DataFrame, read_source: Callable[[str
             root: str, batch: str, update_log: DataFrame | None = None,
             version: str = PRIMARY, force_full: bool = False, only: str | None = None,
             ts_col: str = "updated_at", sep: str | None = None, threads: int = 8,
-            now: str | None = None, db_type: str = "MYSQL") -> ExtractResult:
+            now: str | None = None, db_type: str = "MYSQL",
+            publish_log: Callable[[DataFrame], object] | None = None,
+            sections: DataFrame | None = None) -> ExtractResult:
     """S4 plan -> M3 markers (before any scan) -> per table scan (full or
     delta, through the view when named) -> cleanse -> Q7 -> K1 dump, K2
     sidecar -> K3 manifest when nothing failed.  Failed tables are retried
-    once (F3).  ``update_log`` comes back with the markers appended (the
-    caller publishes it).  ``sep`` may be a character or hex text (``01``);
+    once (F3).  ``update_log`` comes back with the markers appended;
+    ``publish_log`` publishes it before the first table is read.
+    ``sections(table_name, columns)`` of an ini schema file replace the
+    registry as the work list (S15), with their own column lists.  ``sep`` may be a character or hex text (``01``);
     ``db_type='ORCL'`` uses the Oracle cleansing profile (carriage returns
     only)."""
-    work = R.enabled_tables(registry, version)
-    if only is not None:
-        work = R.only_table(work, only)
+    if sections is not None:
+        work = R.tables_from_config(sections, "config", only)
+    else:
+        work = R.enabled_tables(registry, version)
+        if only is not None:
+            work = R.only_table(work, only)
     wm = RL.watermarks(update_log) if update_log is not None else None
     plan = R.extract_mode(work, wm, force_full, version)
     stamp = now or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     new_log = None
     if update_log is not None and version == PRIMARY:
         new_log = ST.mark_downloaded(update_log, plan.where("needs_marker"), stamp)
-    rows = plan.join(_columns_by_table(registry), "table_name", "left").collect()
+        if publish_log is not None:
+            publish_log(new_log)
+    by_table = _columns_by_table(registry) if sections is None else sections.select(
+        "table_name", F.split("columns", r"\s*,\s*").alias("columns"))
+    rows = plan.join(by_table, "table_name", "left").collect()
     profile = "oracle" if db_type == "ORCL" else ("pipe" if version == PRIMARY else "ctrl_a")
     sep = separator(sep) if sep is not None else ("|" if version == PRIMARY else "\x01")
     # a reader may take (source_name) or (source_name, database from the registry)
@@ -151,26 +162,40 @@ def _sidecar_schema(spark: SparkSession, path: str):
 
 
 def _batch_complete(spark: SparkSession, batch_dir: str) -> bool:
-    """M1 for one table folder: its files equal its manifest -- the loader's
+    """M1 for one table folder with all its sub-folders: its files, by their
+    names relative to the folder, equal its manifest -- the loader's
     ``manifest.json`` in the folder, else the dump step's batch-level
     ``MANIFEST`` restricted to this folder's entries."""
-    files = SF.list_batch(spark, batch_dir)
+    key = batch_dir.rstrip("/")
+    leaf = f"/{key.rsplit('/', 1)[-1]}/"
+
+    def relative(col: str):
+        return F.substring_index(F.col(col), leaf, -1)
+    files = SF.list_batch(spark, batch_dir).select(
+        F.lit(key).alias("batch"), relative("path").alias("name"))
     if fs.exists(spark, f"{batch_dir}/manifest.json"):
         entries, batches = SF.read_manifests(spark, f"{batch_dir}/manifest.json")
-        entries = entries.drop("url")
     else:
         parent = batch_dir.rstrip("/").rsplit("/", 1)[0]
         if not fs.exists(spark, f"{parent}/MANIFEST"):
             return False
         entries, batches = SF.read_manifests(spark, f"{parent}/MANIFEST")
-        here = batch_dir.rstrip("/").split(":", 1)[-1] + "/"
-        mine = F.col("url").contains(here) & ~F.col("name").isin(*Q.MANIFEST_NAMES)
-        b = files.select("batch").limit(1).collect()   # the folder as the listing spells it
-        key = b[0].batch if b else batch_dir
-        entries = entries.where(mine).select(F.lit(key).alias("batch"), "name")
-        batches = batches.select(F.lit(key).alias("batch"), "valid")
-    check = Q.manifest_check(files, entries, batches.where("valid")).first()
-    return bool(check is not None and check.complete)
+        here = key.split(":", 1)[-1] + "/"
+        entries = entries.where(F.col("url").contains(here)
+                                & ~F.col("name").isin(*Q.MANIFEST_NAMES))
+    entries = entries.select(F.lit(key).alias("batch"), relative("url").alias("name"))
+    batches = batches.select(F.lit(key).alias("batch"), "valid")
+    checks = Q.manifest_check(files, entries, batches.where("valid")).collect()   # one row
+    return bool(checks) and all(c.complete for c in checks)
+
+
+def _batch_id(spark: SparkSession, table: str, batch_dir: str, stamp: str) -> str:
+    """The identity of a batch: its source table, hour or minute, and the names
+    and sizes of its files.  The same files give the same id (a replay), another
+    dump of the hour or another source of a shared target a new one."""
+    print_of = SF.list_batch(spark, batch_dir).agg(
+        F.sum(F.xxhash64("path", "length").cast("decimal(38,0)")).alias("s")).first().s
+    return f"{table}-{stamp}-{int(print_of or 0) & 0xFFFFFFFFFF:010x}"
 
 
 @dataclass
@@ -207,17 +232,23 @@ def load(spark: SparkSession, table: str, batch_dir: str, spec_path: str, prod_p
     written by a committing job) a ``_SUCCESS`` marker in the batch folder
     short-circuits both (Q3).
 
-    Idempotence: a batch with a COMPLETED event is skipped (Q8); appends are
-    written into batch-named folders, so a replay after a crash between
-    publish and event rewrites instead of doubling.
+    Idempotence: a batch with a COMPLETED event is skipped (Q8, by hour, for
+    minute loads by minute).  Appends go into a folder named after the batch
+    (``_batch_id``), and what is new (J1, P5) is decided against the target
+    without that folder, so loading a batch again rewrites the same rows.
+
+    Columns take the types of the production table if it exists, else of the
+    batch's sidecar, else text; cells that do not cast are rejects, counted
+    before anything is published.
     """
     ensure_checkpoint_dir(spark)  # the parsed batch is checkpointed below
-    batch_id = minute or str(hour)
     if log_path is not None and TB.current_version(spark, log_path) is not None:
         done = Q.not_yet_loaded(
-            spark.createDataFrame([(database, table, hour)],
-                                  "database_name string, table_name string, processed_utc_hour bigint"),
-            TB.read_table(spark, log_path), process)
+            spark.createDataFrame([(database, table, hour, minute)],
+                                  "database_name string, table_name string, processed_utc_hour bigint, "
+                                  "process_minute string"),
+            TB.read_table(spark, log_path, TB.TRF_LOG_SCHEMA), process,
+            (*Q.BATCH_KEYS, "process_minute") if minute else Q.BATCH_KEYS)
         if done.isEmpty():
             return LoadResult(table, "already loaded")
     # completeness of the batch folder (Q3 marker, Q1 dependency, M1 manifest, Q2 any file)
@@ -245,32 +276,39 @@ def load(spark: SparkSession, table: str, batch_dir: str, spec_path: str, prod_p
         event("FAILED")
         raise Q.LoadGateError(f"dimension {table} has no operation column")
     event("STARTED")
+    batch_id = _batch_id(spark, table, batch_dir, minute or str(hour))
+    staged = stg_path is not None and spec.db_name_stg is not None
+    # A spec may route this source into another table (load_table)
+    target = prod_path if staged or spec.load_table is None else \
+        prod_path.rsplit("/", 1)[0] + "/" + spec.load_table
     cols = spec.columns.split(",")
     side = f"{batch_dir}/{table}.schema"
     types = dict(_sidecar_schema(spark, side)) if fs.exists(spark, side) else {}
+    if TB.current_version(spark, target) is not None:
+        known = {f.name: f.dataType for f in TB.read_table(spark, target).schema.fields}
+        types = {**types, **{c: known[c] for c in cols if c in known}}
     schema = [(c, types.get(c, "string")) for c in cols]
     if spec.file_format == "orc":
-        good = SF.read_orc(spark, batch_dir, cols)
-        n_bad = 0
+        parsed = SF.type_columns(SF.read_orc(spark, batch_dir, cols), schema)
     else:
         parsed = SF.read_delimited(spark, f"{batch_dir}/*.gz", schema, spec.delimiter)
-        parsed = parsed.checkpoint(eager=True)  # one read of the batch for counts, rejects and load
-        n_bad = Q.reject_count(parsed).first().rejected_rows
-        good, bad = Q.split_rejects(parsed)
-        if n_bad and (spec.write_rejects or reject_path):
-            # the source kept rejects beside the staging table: <stg>.<table>_rejected_data
-            TB.append(bad, reject_path or f"{stg_path or prod_path}_rejected_data", batch_id)
-        try:
-            Q.check_rejects(n_bad, spec.reject_max)
-        except Q.LoadGateError:
-            event("FAILED")
-            raise
+    parsed = parsed.checkpoint(eager=True)  # one read of the batch for counts, rejects and load
+    n_bad = Q.reject_count(parsed).first().rejected_rows
+    good, bad = Q.split_rejects(parsed)
+    if n_bad and (spec.write_rejects or reject_path):
+        # the source kept rejects beside the staging table: <stg>.<table>_rejected_data
+        TB.append(bad, reject_path or f"{stg_path or prod_path}_rejected_data", batch_id)
+    try:
+        Q.check_rejects(n_bad, spec.reject_max)
+    except Q.LoadGateError:
+        event("FAILED")
+        raise
     if not spec.is_dimension and load_epoch is None and platform in EPOCH_PLATFORMS:
         load_epoch = int(time.time())
     if not spec.is_dimension and load_epoch is not None:
         good = L.with_load_epoch(good, load_epoch)
     try:
-        if stg_path is not None and spec.db_name_stg is not None:
+        if staged:
             TB.load_staging(good, stg_path)
             stg = TB.read_table(spark, stg_path)
             if "staging" in env and not spec.is_dimension:
@@ -280,9 +318,6 @@ def load(spark: SparkSession, table: str, batch_dir: str, spec_path: str, prod_p
             finally:
                 TB.truncate(spark, stg_path, stg.schema)  # K11, on success and failure
         else:
-            # A spec may route this source into another table (load_table)
-            target = prod_path if spec.load_table is None else \
-                prod_path.rsplit("/", 1)[0] + "/" + spec.load_table
             if reload or spec.truncate_before_load:
                 version = TB.full_refresh(good, target)
             else:
@@ -310,7 +345,8 @@ def _publish_from_staging(spark, spec, stg: DataFrame, prod_path: str, batch_id:
     staging rows as the whole table (K9); otherwise the operation runs
     against the current production rows."""
     fresh = reload or TB.current_version(spark, prod_path) is None
-    prod = None if fresh else TB.read_table(spark, prod_path)
+    # production apart from this batch: a batch loaded again finds its own rows new
+    prod = None if fresh else TB.read_table(spark, prod_path, without_batch=batch_id)
     if spec.is_dimension:
         key, ident = spec.operation_column, spec.identity_column
         if fresh:
@@ -319,13 +355,15 @@ def _publish_from_staging(spark, spec, stg: DataFrame, prod_path: str, batch_id:
                 rows = L.assign_identity(stg, key, ident, 0)                   # P5 from 1
             return TB.full_refresh(rows, prod_path)
         if spec.operation == "Merge":                                        # X1
-            return TB.publish(L.upsert(prod, stg.select(*prod.columns), key), prod_path)
+            return TB.publish(L.upsert(prod, stg.select(*prod.columns), key, spec.order_column),
+                              prod_path)
         new = L.insert_new(stg, prod, key)                                   # J1
         if ident:
             start = prod.agg(F.max(ident)).scalar()                          # P5
             new = L.assign_identity(new.drop(ident) if ident in new.columns else new, key, ident, start)
         return TB.append(new.select(*prod.columns), prod_path, batch_id)
-    if spec.join_table is not None:                                          # J2 + P6
+    # J2 + P6; a join without replacement keys is dropped, as the source did
+    if spec.join_table is not None and spec.unwanted_key and spec.wanted_key:
         unwanted = spec.unwanted_key.split(".")[-1]
         wanted = spec.wanted_key.split(".")[-1]
         out = L.insert_with_lookup(stg, lookups[spec.join_table], spec.join_key, spec.join_key,
@@ -339,12 +377,18 @@ def _publish_from_staging(spark, spec, stg: DataFrame, prod_path: str, batch_id:
 def refresh_dimensions(spark: SparkSession, registry_path: str, update_log_path: str,
                        read_source: Callable[[str], DataFrame], root: str, warehouse: str | list[str],
                        spec_path: str, hour: int, force_full: bool = False,
-                       threads: int = 8) -> dict:
-    """Schema doc (U1/K4) and max hour (K5) -> E1 -> E2 per dumped table
-    into every warehouse target (full refresh when reload/always_reload/
-    forced, else insert-if-absent); then, for each table that loaded on
+                       threads: int = 8, load_threads: int = 8, log_path: str | None = None,
+                       database: str = "warehouse", require_manifest: bool = False,
+                       summary_path: str | None = None, servers: DataFrame | None = None,
+                       host: str | None = None) -> dict:
+    """Schema doc (U1/K4) and max hour (K5) -> E1 (M3 markers published
+    before any scan) -> E2 per dumped table into every warehouse target (full
+    refresh when reload/always_reload/forced, else insert-if-absent), up to
+    ``load_threads`` loads at a time; then, for each table that loaded on
     *all* targets, M2 (marker complete) and M5 (registry
-    ``latest_loaded_date``, ``reload_table = 0``).  ``failed`` lists
+    ``latest_loaded_date``, ``reload_table = 0``).  Each load runs with the
+    log (L15, Q8), the manifest gate (M1) and the summary (M7) if given;
+    a target's log database is ``<database>:<target>``.  ``failed`` lists
     ``(table, target)`` pairs."""
     registry = TB.read_table(spark, registry_path)
     batch = dt.datetime.fromtimestamp(hour * 3600, dt.timezone.utc).strftime("%Y/%m/%d/%H")
@@ -352,27 +396,35 @@ def refresh_dimensions(spark: SparkSession, registry_path: str, update_log_path:
     K.write_schema_doc(R.schema_doc_rows(registry), f"{meta}/schema/schema.json")
     K.write_max_hour(spark, f"{meta}/data_max_utc_hour/part-00000-data_max_utc_hour.csv", hour)
     upd = TB.read_table(spark, update_log_path)
-    res = extract(spark, registry, read_source, root, batch, upd, force_full=force_full, threads=threads)
-    if res.update_log is not None:
-        TB.publish(res.update_log, update_log_path)
+    res = extract(spark, registry, read_source, root, batch, upd, force_full=force_full, threads=threads,
+                  publish_log=lambda df: TB.publish(df, update_log_path))
     targets = [warehouse] if isinstance(warehouse, str) else list(warehouse)
-    loaded, failed = [], []
-    for t in res.successes:
-        ok = True
-        for wh in targets:
-            try:
-                r = load(spark, t, f"{res.location}/{t}", spec_path, f"{wh}/{t}",
-                         stg_path=f"{wh}/stg/{t}", hour=hour,
-                         reload=bool(res.reload_flags.get(t)) or force_full)
-                ok = ok and r.status == "loaded"
-                if r.status != "loaded":
-                    failed.append((t, wh))
-            except Exception as e:  # noqa: BLE001 -- one target's failure is recorded, others still load
-                log.error("load of %s into %s failed: %s", t, wh, e)
-                failed.append((t, wh))
-                ok = False
-        if ok:
-            loaded.append(t)
+    if log_path is not None and TB.current_version(spark, log_path) is None:
+        TB.publish(spark.createDataFrame([], TB.TRF_LOG_SCHEMA), log_path)   # before loads share it
+
+    def one(t: str, wh: str) -> bool:
+        try:
+            r = load(spark, t, f"{res.location}/{t}", spec_path, f"{wh}/{t}",
+                     stg_path=f"{wh}/stg/{t}", hour=hour, log_path=log_path,
+                     database=f"{database}:{wh.rstrip('/').rsplit('/', 1)[-1]}",
+                     require_manifest=require_manifest,
+                     reload=bool(res.reload_flags.get(t)) or force_full)
+            return r.status in ("loaded", "already loaded")
+        except Exception as e:  # noqa: BLE001 -- one target's failure is recorded, others still load
+            log.error("load of %s into %s failed: %s", t, wh, e)
+            return False
+
+    pairs = [(t, wh) for t in res.successes for wh in targets]
+    with ThreadPoolExecutor(max_workers=max(1, load_threads)) as ex:
+        outcome = dict(zip(pairs, ex.map(lambda p: one(*p), pairs)))
+    failed = [p for p in pairs if not outcome[p]]
+    loaded = [t for t in res.successes if all(outcome[t, wh] for wh in targets)]
+    if loaded and summary_path is not None and servers is not None and host is not None:
+        at = to_pacific(hour_ts(F.lit(hour)))                                 # M7, one update a run
+        loads = spark.createDataFrame([(t,) for t in loaded], "table_name string") \
+            .select("table_name", at.alias("loaded_at"))
+        TB.publish(L.advance_loaded_date(TB.read_table(spark, summary_path), servers, host, loads),
+                   summary_path)
     if loaded:  # each table that loaded on every target is marked, independently of the others
         done = spark.createDataFrame([(t,) for t in loaded], "table_name string")
         TB.publish(ST.mark_complete(TB.read_table(spark, update_log_path), done), update_log_path)
@@ -393,7 +445,7 @@ def dump_run(spark: SparkSession, registry: DataFrame, read_source: Callable[[st
     def run_event(status: str, error: str = ""):
         if run_log_path is not None:
             TB.append_run_event(spark, run_log_path, job_id, process_id, status,
-                                file_name=f"dimensions_to_s3_{version}", error=error)
+                                file_name=f"dimension_dump_{version}", error=error)
 
     def load_log(status: str, insert: bool):
         if load_log_path is None or version == PRIMARY:

@@ -77,7 +77,8 @@ def _spec(operation: str) -> dict:
     return {"version": "1", "groups": [{"tables": [{
         "name": "customer", "db_name": "dim", "db_name_stg": "stg", "sql": "select",
         "columns": [{"field_type": "KEY", "output_name": c} for c in CUST_COLS.split(", ")],
-        "dimension": {"operation": operation, "operation_column": "c_custkey"}}]}]}
+        "dimension": {"operation": operation, "operation_column": "c_custkey",
+                      "order_column": "c_acctbal"}}]}]}
 
 
 def _load_job(spark, sf, operation: str):

@@ -1,7 +1,7 @@
 """Queries for the load-log analytics.
 
-The oracles keep the source's correlated-subquery form, evaluated for every
-table of the fixture log; the Spark side answers all tables in one pass.
+The oracles state each rule as grouped aggregates and joins over the whole
+fixture log, for every table at once.
 """
 
 from __future__ import annotations
@@ -22,7 +22,6 @@ def _hour(y, m, d, h=0) -> int:
 
 
 SYNC_HOUR = _hour(2024, 1, 15, 10)
-TABLES = "(select distinct database_name, table_name from fx_load_log)"
 
 
 def _log(spark, sf):
@@ -38,15 +37,42 @@ def q_last_load_hour(spark, sf):
     return RL.last_load_hour(_log(spark, sf))
 
 
+# Hours of each table by what happened in them: loaded, transferred, synced.
+HOURS = """
+hours as (
+ select database_name, table_name, processed_utc_hour as h, process_minute as m,
+  process_name = 'LOAD' and status = 'COMPLETED' as loaded,
+  process_name = 'TRANSFER' and status = 'COMPLETED' as transferred,
+  process_name = 'S3Sync' and status in ('COMPLETED', 'STARTED') as syncing,
+  process_name = 'S3Sync' as sync
+ from fx_load_log),
+done as (
+ select database_name, table_name, cast(coalesce(max(h) filter (where loaded), 0) as bigint) as last_load_hour,
+  max(h) filter (where sync) as max_sync_hour
+ from hours group by all)"""
+
 LAST_MINUTE = f"""
-select t.database_name, t.table_name,
- cast(coalesce((select max(processed_utc_hour) from fx_load_log y where y.process_name = 'LOAD' and y.status = 'COMPLETED'
-   and y.table_name = t.table_name and y.database_name = t.database_name), 0) as bigint) as last_load_hour,
- (select max(process_minute) from fx_load_log x where x.process_name = 'LOAD' and x.status = 'COMPLETED'
-   and x.table_name = t.table_name and x.database_name = t.database_name
-   and x.processed_utc_hour = (select max(processed_utc_hour) from fx_load_log y where y.process_name = 'LOAD'
-     and y.status = 'COMPLETED' and y.table_name = t.table_name and y.database_name = t.database_name)) as last_load_minute
- from {TABLES} t"""
+with {HOURS}
+select d.database_name, d.table_name, d.last_load_hour, max(x.m) as last_load_minute
+ from done d left join hours x on x.database_name = d.database_name and x.table_name = d.table_name
+  and x.loaded and x.h = d.last_load_hour
+ group by all"""
+
+NEXT_LOAD = f"""
+with {HOURS}
+select d.database_name, d.table_name, cast(coalesce(min(x.h), 0) as bigint) as next_load_hour
+ from done d left join hours x on x.database_name = d.database_name and x.table_name = d.table_name
+  and x.transferred and x.h > d.last_load_hour
+ group by all"""
+
+NEXT_REALTIME = f"""
+with {HOURS},
+sent as (select table_name, max(h) as sent_hour from hours where transferred group by all)
+select d.database_name, d.table_name, cast(coalesce(min(x.h), 0) as bigint) as next_realtime_hour
+ from done d left join sent on sent.table_name = d.table_name
+ left join hours x on x.database_name = d.database_name and x.table_name = d.table_name
+  and x.syncing and x.h > sent.sent_hour
+ group by all"""
 
 
 @register("last_load_minute", with_fixtures(LAST_MINUTE, "fx_load_log"))
@@ -56,45 +82,30 @@ def q_last_load_minute(spark, sf):
 
 
 @register("last_load_minute_at_hour", with_fixtures(f"""
-select t.database_name, t.table_name, cast({SYNC_HOUR} as bigint) as last_load_hour,
- (select max(process_minute) from fx_load_log x where x.process_name = 'LOAD' and x.status = 'COMPLETED'
-   and x.table_name = t.table_name and x.database_name = t.database_name and x.processed_utc_hour = {SYNC_HOUR}) as last_load_minute
- from {TABLES} t""", "fx_load_log"))
+with {HOURS}
+select database_name, table_name, cast({SYNC_HOUR} as bigint) as last_load_hour,
+ max(m) filter (where loaded and h = {SYNC_HOUR}) as last_load_minute from hours group by all""", "fx_load_log"))
 def q_last_load_minute_at_hour(spark, sf):
     """L10 for a given hour."""
     return RL.last_load_minute(_log(spark, sf), hour=SYNC_HOUR)
 
 
-@register("next_load_hour", with_fixtures(f"""
-select t.database_name, t.table_name, cast(coalesce((select min(processed_utc_hour) from fx_load_log x
-   where x.status in ('COMPLETED') and x.database_name = t.database_name and x.table_name = t.table_name
-     and x.process_name = 'TRANSFER' and x.processed_utc_hour >
-       (select coalesce(max(processed_utc_hour), 0) from fx_load_log y where y.process_name = 'LOAD'
-          and y.table_name = t.table_name and y.status = 'COMPLETED' and y.database_name = t.database_name)), 0) as bigint)
-   as next_load_hour
- from {TABLES} t""", "fx_load_log"))
+@register("next_load_hour", with_fixtures(NEXT_LOAD, "fx_load_log"))
 def q_next_load_hour(spark, sf):
     """L6."""
     return RL.next_load_hour(_log(spark, sf))
 
 
-@register("next_realtime_hour", with_fixtures(f"""
-select t.database_name, t.table_name, cast(coalesce((select min(trf.processed_utc_hour) from fx_load_log trf
-   where trf.status in ('COMPLETED', 'STARTED') and trf.table_name = t.table_name and trf.database_name = t.database_name
-     and trf.process_name = 'S3Sync' and trf.processed_utc_hour >
-       (select max(run.processed_utc_hour) from fx_load_log run where run.table_name = t.table_name
-          and run.process_name = 'TRANSFER' and run.status = 'COMPLETED')), 0) as bigint) as next_realtime_hour
- from {TABLES} t""", "fx_load_log"))
+@register("next_realtime_hour", with_fixtures(NEXT_REALTIME, "fx_load_log"))
 def q_next_realtime_hour(spark, sf):
     """L7."""
     return RL.next_realtime_hour(_log(spark, sf))
 
 
 @register("sync_completed", with_fixtures(f"""
-select t.database_name, t.table_name, coalesce((select min(trf.processed_utc_hour - {SYNC_HOUR}) from fx_load_log trf
-   where trf.status in ('COMPLETED') and trf.table_name = t.table_name and trf.process_name = 'S3Sync'
-     and trf.database_name = t.database_name and trf.processed_utc_hour = {SYNC_HOUR}), -1) = 0 as sync_completed
- from {TABLES} t""", "fx_load_log"))
+select database_name, table_name,
+ bool_or(process_name = 'S3Sync' and status = 'COMPLETED' and processed_utc_hour = {SYNC_HOUR}) as sync_completed
+ from fx_load_log group by all""", "fx_load_log"))
 def q_sync_completed(spark, sf):
     """L8 for 2024-01-15 10:00 UTC."""
     return RL.sync_completed(_log(spark, sf), SYNC_HOUR)
@@ -117,10 +128,13 @@ def q_max_sync_hour(spark, sf):
 
 
 @register("hours_to_sync", with_fixtures("""
-select distinct cast(floor(epoch(bcn.load_hour) / 3600) as bigint) as processed_utc_hour from fx_uploads bcn
- where bcn.load_hour > (select max(b.load_hour) - interval 1 hour from fx_uploads b)
-   and not exists (select 1 from fx_load_log sync where bcn.load_hour = make_timestamp(sync.processed_utc_hour * 3600 * 1000000)
-     and sync.process_name = 'S3Sync' and sync.status = 'COMPLETED' and sync.table_name = 'click' and sync.database_name = 'db0')""",
+with recent as (
+ select load_hour, max(load_hour) over () as newest from fx_uploads)
+select cast(floor(epoch(load_hour) / 3600) as bigint) as processed_utc_hour from recent
+ where load_hour > newest - interval 1 hour
+except
+select processed_utc_hour from fx_load_log
+ where process_name = 'S3Sync' and status = 'COMPLETED' and table_name = 'click' and database_name = 'db0'""",
                                          "fx_uploads", "fx_load_log"))
 def q_hours_to_sync(spark, sf):
     """Recent upload hours not yet synced for db0.click."""
@@ -128,11 +142,14 @@ def q_hours_to_sync(spark, sf):
 
 
 @register("next_aggregate_hour", with_fixtures("""
-select p.job_id, p.upstream_job_id, cast((select min(processed_utc_hour) from fx_agg_log a
-   where a.status in ('COMPLETED', 'RUNNING') and a.job_id = p.upstream_job_id and a.processed_utc_hour >
-     (select coalesce(max(processed_utc_hour), 0) from fx_agg_log b where b.job_id = p.job_id and b.status = 'COMPLETED')) as bigint)
-   as next_hour
- from (select distinct job_id, 3 - job_id as upstream_job_id from fx_agg_log) p""", "fx_agg_log"))
+with own as (
+ select job_id, 3 - job_id as upstream_job_id,
+  coalesce(max(processed_utc_hour) filter (where status = 'COMPLETED'), 0) as reached
+ from fx_agg_log group by all)
+select own.job_id, own.upstream_job_id, cast(min(up.processed_utc_hour) as bigint) as next_hour
+ from own left join fx_agg_log up on up.job_id = own.upstream_job_id
+  and up.status in ('COMPLETED', 'RUNNING') and up.processed_utc_hour > own.reached
+ group by all""", "fx_agg_log"))
 def q_next_aggregate_hour(spark, sf):
     """Each job against the other job as its upstream."""
     agg = fixture(spark, sf, "fx_agg_log")
@@ -141,14 +158,16 @@ def q_next_aggregate_hour(spark, sf):
 
 
 @register("next_transfer_hour", with_fixtures("""
-select t.database_name, t.table_name, t.upstream_job_id, cast((select min(processed_utc_hour) from fx_agg_log a
-   where a.status in ('COMPLETED', 'RUNNING') and a.job_id = t.upstream_job_id and a.processed_utc_hour >
-     coalesce((select max(processed_utc_hour) from fx_load_log l where l.process_name = 'TRANSFER'
-                 and l.table_name = t.table_name and l.status = 'COMPLETED' and l.database_name = t.database_name),
-              (select max(processed_utc_hour) - 1 from fx_agg_log b where b.status in ('COMPLETED', 'RUNNING')
-                 and b.job_id = t.upstream_job_id))) as bigint) as next_transfer_hour
- from (select distinct database_name, table_name,
-         case when database_name = 'db0' then 1 else 2 end as upstream_job_id from fx_load_log) t""",
+with targets as (
+ select database_name, table_name, if(database_name = 'db0', 1, 2) as upstream_job_id,
+  max(processed_utc_hour) filter (where process_name = 'TRANSFER' and status = 'COMPLETED') as sent
+ from fx_load_log group by all),
+upstream as (
+ select job_id, processed_utc_hour as h, max(processed_utc_hour) over (partition by job_id) as newest
+ from fx_agg_log where status in ('COMPLETED', 'RUNNING'))
+select t.database_name, t.table_name, t.upstream_job_id, cast(min(u.h) as bigint) as next_transfer_hour
+ from targets t left join upstream u on u.job_id = t.upstream_job_id and u.h > coalesce(t.sent, u.newest - 1)
+ group by all""",
                                               "fx_load_log", "fx_agg_log"))
 def q_next_transfer_hour(spark, sf):
     """Every table of the trf log; db0 tables are fed by aggregation job 1,
@@ -176,35 +195,36 @@ def q_latest_processing_hour(spark, sf):
 
 
 @register("next_contiguous_hour", with_fixtures("""
-select min(load_hour) as next_hour from fx_uploads where (status = 'COMPLETED' or is_forced = 1)
- and load_hour < (select min(m.load_hour) from fx_uploads m where m.status = 'PROCESSING' and m.is_forced = 0)
- and load_hour > TIMESTAMP '2024-01-20 00:00:00'""", "fx_uploads"))
+with bounds as (
+ select min(load_hour) filter (where status = 'PROCESSING' and is_forced = 0) as stop from fx_uploads)
+select min(load_hour) as next_hour from fx_uploads join bounds
+  on load_hour > TIMESTAMP '2024-01-20 00:00:00' and load_hour < stop
+ where status = 'COMPLETED' or is_forced = 1""", "fx_uploads"))
 def q_next_contiguous_hour(spark, sf):
     """Next hour to sync after 2024-01-20 00:00."""
     return RL.next_contiguous_hour(fixture(spark, sf, "fx_uploads"), "2024-01-20 00:00:00")
 
 
 PREV = """
-select j.job_id, coalesce((select trim(status) from fx_run_log r where r.job_id = j.job_id {cond}
-   order by run_id desc limit 1), 'completed') as status
- from (select distinct job_id from fx_run_log) j"""
+select job_id, coalesce(trim(arg_max(status, run_id) filter (where {cond})), 'completed') as status
+ from fx_run_log group by job_id"""
 
 
 @register("prev_status_today", with_fixtures(
-    PREV.format(cond="and cast(r.run_date as date) = DATE '2024-01-15'"), "fx_run_log"))
+    PREV.format(cond="cast(run_date as date) = DATE '2024-01-15'"), "fx_run_log"))
 def q_prev_status_today(spark, sf):
     """L1, today's runs only (today = 2024-01-15)."""
     return RL.prev_status(fixture(spark, sf, "fx_run_log"), "today", "2024-01-15")
 
 
-@register("prev_status_any", with_fixtures(PREV.format(cond=""), "fx_run_log"))
+@register("prev_status_any", with_fixtures(PREV.format(cond="true"), "fx_run_log"))
 def q_prev_status_any(spark, sf):
     """L1, any time (-1)."""
     return RL.prev_status(fixture(spark, sf, "fx_run_log"), -1)
 
 
 @register("prev_status_days", with_fixtures(PREV.format(
-    cond="and cast(cast(r.run_date as date) as timestamp) >= r.run_date - interval 3 day"), "fx_run_log"))
+    cond="cast(cast(run_date as date) as timestamp) >= run_date - interval 3 day"), "fx_run_log"))
 def q_prev_status_days(spark, sf):
     """L1, n-day mode with n = 3 (the literal self-comparison)."""
     return RL.prev_status(fixture(spark, sf, "fx_run_log"), 3)
@@ -264,12 +284,11 @@ def q_failed_runs(spark, sf):
 
 @register("failed_runs_true_time", with_fixtures("""
 select platform, min(run_time) as failed_run_time, count(*) as n_failed from fx_dim_load_log
- where status in ('FAILED', 'STARTED') and run_time < 202401142345 and platform = 'p1' group by platform""",
+ where status in ('FAILED', 'STARTED') and run_time < 202401142345 group by platform""",
                                                  "fx_dim_load_log"))
 def q_failed_runs_true_time(spark, sf):
-    """F2 with real minutes, one platform."""
-    return RL.failed_runs(fixture(spark, sf, "fx_dim_load_log"), 202401150000, 15, platform="p1",
-                          true_time=True)
+    """F2 with real minutes, every platform."""
+    return RL.failed_runs(fixture(spark, sf, "fx_dim_load_log"), 202401150000, 15, true_time=True)
 
 
 @register("epoch_count", """
@@ -293,6 +312,17 @@ def q_next_interval_hourly(spark, sf):
     return RL.next_interval(_log(spark, sf), "hourly", 1)
 
 
+@register("next_interval_daily", with_fixtures(f"""
+with {HOURS}
+select database_name, table_name, last_load_hour, cast(null as varchar) as last_load_minute,
+ last_load_hour + 24 as next_hour, cast(null as varchar) as next_minute,
+ strftime(make_timestamp((last_load_hour + 24) * 3600 * 1000000), 'date=%Y-%m-%d') as batch from done""",
+                                               "fx_load_log"))
+def q_next_interval_daily(spark, sf):
+    """Next daily batch per table."""
+    return RL.next_interval(_log(spark, sf), "daily", 24)
+
+
 @register("next_interval_minutes", with_fixtures(f"""
 select database_name, table_name, last_load_hour, last_load_minute,
  cast(case when strftime(strptime(last_load_minute, '%Y%m%d%H%M') + interval 15 minute, '%M') = '00'
@@ -306,27 +336,12 @@ def q_next_interval_minutes(spark, sf):
 
 
 @register("table_status", with_fixtures(f"""
-select t.database_name, t.table_name,
- cast(coalesce((select max(processed_utc_hour) from fx_load_log y where y.process_name = 'LOAD' and y.status = 'COMPLETED'
-   and y.table_name = t.table_name and y.database_name = t.database_name), 0) as bigint) as last_load_hour,
- (select max(process_minute) from fx_load_log x where x.process_name = 'LOAD' and x.status = 'COMPLETED'
-   and x.table_name = t.table_name and x.database_name = t.database_name
-   and x.processed_utc_hour = (select max(processed_utc_hour) from fx_load_log y where y.process_name = 'LOAD'
-     and y.status = 'COMPLETED' and y.table_name = t.table_name and y.database_name = t.database_name)) as last_load_minute,
- cast(coalesce((select min(processed_utc_hour) from fx_load_log x
-   where x.status in ('COMPLETED') and x.database_name = t.database_name and x.table_name = t.table_name
-     and x.process_name = 'TRANSFER' and x.processed_utc_hour >
-       (select coalesce(max(processed_utc_hour), 0) from fx_load_log y where y.process_name = 'LOAD'
-          and y.table_name = t.table_name and y.status = 'COMPLETED' and y.database_name = t.database_name)), 0) as bigint)
-   as next_load_hour,
- cast(coalesce((select min(trf.processed_utc_hour) from fx_load_log trf
-   where trf.status in ('COMPLETED', 'STARTED') and trf.table_name = t.table_name and trf.database_name = t.database_name
-     and trf.process_name = 'S3Sync' and trf.processed_utc_hour >
-       (select max(run.processed_utc_hour) from fx_load_log run where run.table_name = t.table_name
-          and run.process_name = 'TRANSFER' and run.status = 'COMPLETED')), 0) as bigint) as next_realtime_hour,
- (select max(processed_utc_hour) from fx_load_log s where s.process_name = 'S3Sync'
-   and s.table_name = t.table_name and s.database_name = t.database_name) as max_sync_hour
- from {TABLES} t""", "fx_load_log"))
+with {HOURS}
+select d.database_name, d.table_name, d.last_load_hour, m.last_load_minute, n.next_load_hour,
+ r.next_realtime_hour, d.max_sync_hour
+ from done d join ({LAST_MINUTE}) m using (database_name, table_name)
+ join ({NEXT_LOAD}) n using (database_name, table_name)
+ join ({NEXT_REALTIME}) r using (database_name, table_name)""", "fx_load_log"))
 def q_table_status(spark, sf):
     """Every table's load status from one pass over the log."""
     return RL.table_status(_log(spark, sf))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from dimflow.functions.cleanse import cleanse, separator, to_delimited
 from dimflow.functions import timeutil as TU
 from dimflow.plans.catalog import register
-from dimflow.plans.fixtures import table
+from dimflow.plans.fixtures import fixture, table, with_fixtures
 from dimflow.sources.tables import row_count, scan_full
 
 
@@ -32,33 +32,41 @@ def q_row_count(spark, sf):
     return row_count(table(spark, sf, "lineitem"))
 
 
-@register("cleanse_pipe", """
-select doc_id, replace(replace(replace(text, '|', '-'), '0000-00-00 00:00:00', '1970-01-01 12:00:00'), chr(9), '|') as text,
- replace(replace(replace(lang, '|', '-'), '0000-00-00 00:00:00', '1970-01-01 12:00:00'), chr(9), '|') as lang,
- n_chars from documents""")
+def _piped(col: str) -> str:
+    return f"replace(replace({col}, '|', '-'), '0000-00-00 00:00:00', '1970-01-01 12:00:00') as {col}"
+
+
+def _stripped(col: str) -> str:
+    text = f"cast({col} as varchar)"
+    return f"replace(replace(replace({text}, 'NULL', ''), chr(13), ''), '4294967295', '0') as {col}"
+
+
+@register("cleanse_pipe", with_fixtures(
+    f"select doc_id, {_piped('text')}, {_piped('lang')}, {_piped('source')}, n_chars from fx_cells",
+    "fx_cells"))
 def q_cleanse_pipe(spark, sf):
-    """Primary-version cleansing of whole document texts."""
-    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "n_chars")
-    return cleanse(docs, "pipe")
+    """Primary-version cleansing of every cell; the cells hold separators,
+    tabs and zero datetimes."""
+    return cleanse(fixture(spark, sf, "fx_cells"), "pipe")
 
 
-@register("cleanse_ctrl_a", """
-select doc_id,
- replace(replace(replace(replace(text, 'NULL', ''), chr(13), ''), '4294967295', '0'), chr(9), chr(1)) as text,
- replace(replace(replace(replace(cast(n_chars as varchar), 'NULL', ''), chr(13), ''), '4294967295', '0'), chr(9), chr(1)) as n_chars
- from documents""")
+@register("cleanse_ctrl_a", with_fixtures("select " + ", ".join(
+    _stripped(c) for c in ("doc_id", "text", "lang", "source", "n_chars")) + " from fx_cells", "fx_cells"))
 def q_cleanse_ctrl_a(spark, sf):
-    """Other-version cleansing (substring rules, numbers as text)."""
-    docs = table(spark, sf, "documents").select("doc_id", "text", "n_chars")
-    return cleanse(docs, "ctrl_a", columns=["text", "n_chars"])
+    """Other-version cleansing of every cell (substring rules, numbers as
+    text); the cells hold NULL texts, carriage returns and unsigned -1."""
+    return cleanse(fixture(spark, sf, "fx_cells"), "ctrl_a")
 
 
 @register("to_delimited", """
 select concat_ws(chr(1), coalesce(cast(c_custkey as varchar), ''), coalesce(c_name, ''),
- coalesce(cast(c_nationkey as varchar), ''), coalesce(c_mktsegment, '')) as line from customer""")
+ coalesce(cast(c_nationkey as varchar), ''), coalesce(c_mktsegment, ''),
+ printf('%.2f', c_acctbal)) as line from customer""")
 def q_to_delimited(spark, sf):
     """Rows to ctrl-A delimited lines, the separator given as hex '01'."""
-    cust = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    cust = table(spark, sf, "customer").select(
+        "c_custkey", "c_name", "c_nationkey", "c_mktsegment",
+        F.format_string("%.2f", F.col("c_acctbal").cast("double")).alias("c_acctbal"))
     return to_delimited(cust, separator("01"))
 
 

@@ -10,6 +10,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Settings every dimflow job relies on.  AQE re-plans joins from runtime sizes
@@ -25,28 +26,40 @@ _DEFAULTS = {
 }
 
 
+def _given(builder) -> dict[str, str]:
+    """Settings that the caller's builder or spark-submit has made."""
+    given = {}
+    if "PYSPARK_GATEWAY_PORT" in os.environ:              # started by spark-submit
+        SparkContext._ensure_initialized()
+        given.update(SparkConf().getAll())
+    given.update(builder._options)
+    return given
+
+
 def get_session(master: str | None = None, app: str = "dimflow",
-                shuffle_partitions: int | None = None) -> SparkSession:
-    """Return the active session, or build a local one for tests / bench."""
+                shuffle_partitions: int | None = None, builder=None) -> SparkSession:
+    """Return the active session, or build one: what ``builder`` or
+    spark-submit sets stays; only for a local master (tests, bench) are memory,
+    partitions and a checkpoint folder filled in."""
     active = SparkSession.getActiveSession()
     if active is not None:
         return active
     cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = (
-        SparkSession.builder.master(master or f"local[{cpus}]")
-        .appName(app)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
-        .config("spark.sql.shuffle.partitions",
-                str(shuffle_partitions or int(cpus)))
-    )
-    for k, v in _DEFAULTS.items():
-        builder = builder.config(k, v)
-    # Local runs only: a cluster names its shared folder in spark.checkpoint.dir.
-    builder = builder.config("spark.checkpoint.dir",
-                             tempfile.mkdtemp(prefix="dimflow-ckpt-"))
-    spark = builder.getOrCreate()
+    builder = builder or SparkSession.builder
+    given = _given(builder)
+    master = master or given.get("spark.master") or f"local[{cpus}]"
+    fill = {"spark.app.name": app, **_DEFAULTS}
+    if shuffle_partitions:
+        fill["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master.startswith("local"):
+        fill = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+                "spark.driver.memory": "16g", "spark.sql.shuffle.partitions": cpus, **fill}
+        if "spark.checkpoint.dir" not in given:
+            fill["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="dimflow-ckpt-")
+    for k, v in fill.items():
+        if k not in given:
+            builder = builder.config(k, v)
+    spark = builder.master(master).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark

@@ -7,7 +7,7 @@ instead of adding a second copy.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,13 +43,14 @@ def write_dump(df: DataFrame, root: str, batch: str, table: str, sep: str = "|",
                partitions: int | None = None, level: str | None = "BEST_SPEED") -> str:
     """K1: the table as headerless delimited text (gzip part files).
 
-    Cells are text-converted like C4 (NULL -> empty); line breaks inside
-    cells are escaped.  Many part files keep the later (unsplittable gzip)
+    Cells are text-converted like C4 (NULL -> empty in every profile); line
+    breaks, tabs, NUL characters and backslashes inside cells are escaped and
+    come back as they were (S6).  Many part files keep the later (unsplittable gzip)
     read parallel; ``partitions`` sets their number.  gzip runs at its fastest
     level by default (``gzip --fast``: ~20% quicker, ~20% larger files).
     """
     path = dump_path(root, batch, table)
-    data = escape_cells(df, "\\\n\r") if escape else df
+    data = escape_cells(df, "\\\n\r\t\x00") if escape else df
     lines = to_delimited(data, sep)
     if partitions:
         lines = lines.repartition(partitions)
@@ -74,20 +75,38 @@ def write_schema_sidecars(lines: DataFrame, root: str) -> str:
     return root
 
 
+def _document(items: DataFrame, key: str, item: str, order: Column, head: str) -> DataFrame:
+    """The lines of a JSON document ``{"head": [item, ...]}`` in order: a head
+    line, one line an item (``item``: its JSON text, ``key``: unique), a tail
+    line.  No row holds more than one item."""
+    first = items.agg(F.max_by(key, order)).scalar() if head == "tables" else \
+        items.agg(F.min_by(key, order)).scalar()
+    line = F.concat(F.when(F.col(key) == first, F.lit("")).otherwise(F.lit(",")), F.col(item))
+    body = items.select(F.lit(1).alias("part"), order.alias("o"), line.alias("value"))
+    ends = items.sparkSession.createDataFrame(
+        [(0, f'{{"{head}":['), (2, "]}")], "part int, value string")
+    ends = ends.select("part", F.lit(None).cast(body.schema["o"].dataType).alias("o"), "value")
+    by = F.col("o").desc() if head == "tables" else F.col("o").asc()
+    return ends.unionByName(body).orderBy("part", by).select("value")
+
+
 def manifest_json(files: DataFrame, shape: str = "url") -> DataFrame:
-    """K3 content: one JSON document listing every file of the batch.
+    """K3 content: the lines of a JSON document listing every file of the
+    batch, by name.
 
     ``files(url)``; ``shape='url'`` gives ``{"entries":[{"url":..}]}`` (dump
-    side), ``'name'`` gives ``{"entries":["name",..]}`` (load side).  A
-    manifest is one document by definition; its size is the batch's file
-    count.
+    side), ``'name'`` gives ``{"entries":["name",..]}`` (load side).
     """
-    if shape == "url":
-        item = F.struct(F.col("url"))
-    else:
-        item = F.element_at(F.split(F.col("url"), "/"), -1)
-    return files.agg(F.sort_array(F.collect_list(item)).alias("entries")) \
-        .select(F.to_json(F.struct("entries")).alias("value"))
+    name = F.element_at(F.split(F.col("url"), "/"), -1)
+    # a JSON string of the bare name: its object form without the key
+    bare = F.regexp_extract(F.to_json(F.struct(name.alias("n"))), r'^\{"n":(.*)\}$', 1)
+    item = F.to_json(F.struct("url")) if shape == "url" else bare
+    # equal entries are told apart by their count, so that each has its line
+    rows = files.groupBy("url").count().select(
+        "url", F.explode(F.sequence(F.lit(1), F.col("count"))).alias("i"))
+    rows = rows.select(F.concat_ws("#", "url", "i").alias("key"), F.struct("url", "i").alias("at"),
+                       item.alias("item"))
+    return _document(rows, "key", "item", F.col("at"), "entries")
 
 
 def write_manifest(files: DataFrame, path: str, failed: DataFrame | None = None,
@@ -105,13 +124,14 @@ def write_manifest(files: DataFrame, path: str, failed: DataFrame | None = None,
 
 
 def schema_doc_json(rows: DataFrame) -> DataFrame:
-    """K4 content: schema document A -- ``{"tables": [{name, keys[], metrics,
-    db_name}, ...]}`` from U1's rows, in U1's order (name descending)."""
+    """K4 content: the lines of schema document A -- ``{"tables": [{name,
+    keys[], metrics, db_name}, ...]}`` from U1's rows, in U1's order (name
+    descending)."""
     t = F.struct(F.col("table_name").alias("name"), F.split(F.col("stats_keys"), ",").alias("keys"),
                  F.col("measures").alias("metrics"), F.col("database_name").alias("db_name"))
-    return rows.agg(F.sort_array(F.collect_list(F.struct(F.col("table_name").alias("_k"), t.alias("_t"))),
-                                 asc=False).alias("_all")) \
-        .select(F.to_json(F.struct(F.transform("_all", lambda e: e["_t"]).alias("tables"))).alias("value"))
+    items = rows.select(F.to_json(t).alias("item"),
+                        F.struct("table_name", "stats_keys", "measures").alias("at"))
+    return _document(items.distinct(), "item", "item", F.col("at"), "tables")
 
 
 def write_schema_doc(rows: DataFrame, path: str) -> str:

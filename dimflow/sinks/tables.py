@@ -23,6 +23,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimflow.sinks import fs
@@ -44,9 +45,12 @@ def current_version(spark: SparkSession, path: str) -> int | None:
     return None
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
+               without_batch: str | None = None) -> DataFrame:
     """The current version's rows (``batch_id`` dropped).  A table never
-    published reads as empty with ``schema`` when one is given."""
+    published reads as empty with ``schema`` when one is given.
+    ``without_batch`` leaves out one batch's folder: what the table holds apart
+    from a batch that is about to be written (again)."""
     v = current_version(spark, path)
     if v is None:
         if schema is None:
@@ -55,7 +59,11 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     reader = spark.read.option("basePath", f"{path}/v={v}")
     if schema is not None:
         reader = reader.schema(T.StructType(schema.fields + [T.StructField("batch_id", T.StringType())]))
-    return reader.parquet(f"{path}/v={v}").drop("batch_id")
+    # the folder name is text, also where all of them look like numbers
+    df = reader.parquet(f"{path}/v={v}").withColumn("batch_id", F.col("batch_id").cast("string"))
+    if without_batch is not None:
+        df = df.where(F.col("batch_id") != without_batch)
+    return df.drop("batch_id")
 
 
 def _claim_version(spark: SparkSession, path: str) -> int:
@@ -158,14 +166,26 @@ RUN_LOG_SCHEMA = T.StructType([
 
 
 
+def append_events(events: DataFrame, path: str, run: str, schema: T.StructType) -> int:
+    """L15 for many events: one batch folder for all events of a run (missing
+    fields NULL), so a log grows by runs, not by events.  The same run again
+    rewrites its events."""
+    names = set(events.columns)
+    return append(events.select(*[
+        (F.col(f.name) if f.name in names else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in schema.fields]), path, f"run-{run}")
+
+
 def append_load_event(spark: SparkSession, path: str, database: str, table: str, process: str,
                       hour: int, status: str, platform: str, minute: str | None = None) -> int:
-    """A load-log event (optional minute stamp) -- one per
-    (table, batch, status), so a replay rewrites it."""
+    """A load-log event (optional minute stamp) -- one per (platform,
+    database, table, process, batch, status), so a replay rewrites it and no
+    other event does."""
     return append_event(spark, path, dict(database_name=database, table_name=table, process_name=process,
                                           processed_utc_hour=int(hour), status=status, platform=platform,
                                           process_minute=minute),
-                        TRF_LOG_SCHEMA, f"{table}-{minute or hour}-{status}")
+                        TRF_LOG_SCHEMA,
+                        f"{platform}-{database}-{table}-{process}-{minute or hour}-{status}")
 
 
 def append_agg_event(spark: SparkSession, path: str, host: str, job_id: int, hour: int, status: str,
@@ -175,7 +195,7 @@ def append_agg_event(spark: SparkSession, path: str, host: str, job_id: int, hou
     at = at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     return append_event(spark, path, dict(host_name=host, job_id=int(job_id), processed_utc_hour=int(hour),
                                           status=status, inserted_at=at, updated_at=at, platform=platform),
-                        AGG_LOG_SCHEMA, f"{host}-{job_id}-{hour}-{status}")
+                        AGG_LOG_SCHEMA, f"{platform}-{host}-{job_id}-{hour}-{status}")
 
 
 def append_run_event(spark: SparkSession, path: str, job_id: int, process_id: int, status: str,

@@ -31,8 +31,40 @@ def _schema(schema) -> T.StructType:
     return T.StructType(fields)
 
 
+# What an escaped letter stands for in a delimited dump; any
+# other escaped character stands for itself.
+_UNESCAPES = [("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t"), ("\\0", "\x00")]
+
+
+def unescape(cell):
+    """The cell that ``escape_cells`` wrote: pieces between escaped
+    backslashes are restored one by one, then joined by a backslash."""
+    def restore(x):
+        for old, new in _UNESCAPES:
+            x = F.replace(x, F.lit(old), F.lit(new))
+        return F.regexp_replace(x, r"\\(.)", "$1")
+    pieces = F.transform(F.split(cell, r"\\\\", -1), restore)
+    return F.when(F.contains(cell, F.lit("\\")), F.array_join(pieces, "\\")).otherwise(cell)
+
+
+def type_columns(df: DataFrame, schema) -> DataFrame:
+    """Columns cast to the schema's types, with ``_raw`` and ``_reject_reason``
+    as :func:`parse_delimited` gives them."""
+    st = _schema(schema)
+    reason = F.lit(None).cast("string")
+    cols = []
+    for f in st.fields:
+        cell = F.col(f"`{f.name}`")
+        typed = cell if df.schema[f.name].dataType == f.dataType else \
+            cell.cast("string").try_cast(f.dataType)
+        cols.append(typed.alias(f.name))
+        reason = F.coalesce(reason, F.when(cell.isNotNull() & typed.isNull(),
+                                           F.lit(f"bad value for {f.name}")))
+    return df.select(*cols, F.to_json(F.struct(*df.columns)).alias(RAW), reason.alias(REASON))
+
+
 def parse_delimited(lines: DataFrame, schema, sep: str = "|", value_col: str = "value",
-                    null_if_empty: bool = True) -> DataFrame:
+                    null_if_empty: bool = True, escaped: bool = True) -> DataFrame:
     """S6 core: split text lines into typed columns, marking rejects.
 
     Rules (the warehouse's ``COPY ... TRAILING NULLCOLS DELIMITER``; what
@@ -43,7 +75,9 @@ def parse_delimited(lines: DataFrame, schema, sep: str = "|", value_col: str = "
       * a non-empty cell that does not cast to its column type -> reject
         "bad value for <column>";
       * an empty cell is NULL (the default NULL text is empty);
-      * quotes are plain text; the separator is never escaped.
+      * quotes are plain text; the separator is never escaped;
+      * backslash escapes inside a cell are undone (``escaped=False`` leaves
+        them), so cells come back as they were dumped.
     The result has the schema's columns plus ``_raw`` (the line) and
     ``_reject_reason`` (NULL for good rows).  One pass, all expressions.
     """
@@ -56,6 +90,8 @@ def parse_delimited(lines: DataFrame, schema, sep: str = "|", value_col: str = "
         cell = F.when(F.size("_p") > i, F.col("_p")[i])
         if null_if_empty:
             cell = F.when(cell != "", cell)
+        if escaped and isinstance(f.dataType, T.StringType):
+            cell = unescape(cell)
         typed = cell if isinstance(f.dataType, T.StringType) else cell.try_cast(f.dataType)
         cols.append(typed.alias(f.name))
         bad.append(F.when(cell.isNotNull() & typed.isNull(), F.lit(f"bad value for {f.name}")))
@@ -126,7 +162,7 @@ def read_manifests(spark: SparkSession, path_glob: str):
     ``batches(batch, valid)`` marks documents that did not parse as invalid
     (such a batch is never complete).
     """
-    raw = spark.read.option("wholetext", "true").text(path_glob) \
+    raw = spark.read.text(path_glob, wholetext=True) \
         .select(_parent(F.col("_metadata.file_path")).alias("batch"),
                 F.from_json("value", "entries array<string>").alias("_doc"))
     batches = raw.select("batch", F.col("_doc.entries").isNotNull().alias("valid"))

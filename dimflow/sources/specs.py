@@ -26,7 +26,8 @@ TABLE_B = T.StructType([
     T.StructField("db_name_stg", _S), T.StructField("staging_table", _S), T.StructField("load_table", _S),
     T.StructField("dimension", T.StructType([
         T.StructField("operation", _S), T.StructField("operation_column", _S),
-        T.StructField("identity_column", _S), T.StructField("truncate_before_load", _S)])),
+        T.StructField("identity_column", _S), T.StructField("truncate_before_load", _S),
+        T.StructField("order_column", _S)])),
     T.StructField("custom_insert_sql", T.StructType([
         T.StructField("replace_keys", T.StructType([
             T.StructField("unwanted_key", _S), T.StructField("wanted_key", _S)])),
@@ -59,12 +60,12 @@ def _occurrences(spark: SparkSession, path: str) -> DataFrame:
 
 def read_spec_columns(spark: SparkSession, path: str) -> DataFrame:
     """S13 (columns): ``(table_name, pos, field_type, output_name, is_sql_entry)``
-    with ``pos`` ordering entries across groups, then within the table."""
+    with ``pos`` (a struct of group, table and column index) ordering entries
+    across groups, then within the table."""
     occ = _occurrences(spark, path)
     c = occ.select(F.col("t.name").alias("table_name"), "_gi", "_ti", F.col("t.sql").isNotNull().alias("_sql"),
                    F.posexplode("t.columns").alias("_ci", "c"))
-    pos = (F.col("_gi").cast("bigint") * 1_000_000_000 + F.col("_ti").cast("bigint") * 1_000_000
-           + F.col("_ci").cast("bigint"))
+    pos = F.struct("_gi", "_ti", "_ci")
     return c.select("table_name", pos.alias("pos"), F.col("c.field_type").alias("field_type"),
                     F.col("c.output_name").alias("output_name"), F.col("_sql").alias("is_sql_entry"))
 
@@ -78,17 +79,17 @@ def read_table_specs(spark: SparkSession, path: str,
     compression ('' -> NULL), is_sql, columns (P2/P3 list text),
     column_string_with_identity, db_name, db_name_stg, staging_table,
     load_table, is_dimension, operation (Insert|Merge|NULL),
-    operation_column ('' -> NULL), identity_column, truncate_before_load,
+    operation_column ('' -> NULL), identity_column, order_column (of a Merge,
+    'updated_at' by default), truncate_before_load,
     unwanted_key, wanted_key, join_table, join_key, insert_columns (the
     table-qualified list with the unwanted key swapped), reject_max,
     write_rejects.
     """
     occ = _occurrences(spark, path)
-    order = F.col("_gi") * 1_000_000 + F.col("_ti")
-    base = F.col("_gi").cast("bigint") * 1_000_000_000 + F.col("_ti").cast("bigint") * 1_000_000
+    order = F.struct("_gi", "_ti")
     is_sql_occ = F.col("t.sql").isNotNull()
     entries = F.transform("t.columns", lambda c, i: F.struct(
-        (base + i).alias("p"), c["field_type"].alias("t"), c["output_name"].alias("n"), is_sql_occ.alias("s")))
+        F.struct(F.col("_gi").alias("g"), F.col("_ti").alias("t"), i.alias("c")).alias("p"), c["field_type"].alias("t"), c["output_name"].alias("n"), is_sql_occ.alias("s")))
     # One aggregate per table: the last occurrence's options, whether any
     # occurrence is SQL, and every occurrence's column entries in order.
     last = occ.groupBy(F.col("t.name").alias("name")).agg(
@@ -117,6 +118,7 @@ def read_table_specs(spark: SparkSession, path: str,
         t["staging_table"].alias("staging_table"), t["load_table"].alias("load_table"),
         dim.isNotNull().alias("is_dimension"), op.alias("operation"), op_col.alias("operation_column"),
         dim["identity_column"].alias("identity_column"),
+        F.coalesce(dim["order_column"], F.lit("updated_at")).alias("order_column"),
         F.coalesce(dim["truncate_before_load"] == "true", F.lit(False)).alias("truncate_before_load"),
         t["custom_insert_sql"]["replace_keys"]["unwanted_key"].alias("unwanted_key"),
         t["custom_insert_sql"]["replace_keys"]["wanted_key"].alias("wanted_key"),

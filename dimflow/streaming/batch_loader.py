@@ -4,51 +4,57 @@ The source loaded one hour / minute folder per run and kept a lock so a batch
 never loaded twice.  Structured Streaming gives the same guarantees without
 locks: the file source records every file it has consumed in the query's
 checkpoint, and ``foreachBatch`` writes each micro-batch into a folder named
-by its epoch, so a replayed epoch rewrites that folder instead of doubling
-rows.  ``availableNow`` drains whatever is there and stops -- the hourly
+by its stream and epoch; what is new is decided without that folder, so a
+replayed epoch writes the same rows again instead of doubling or losing them.  ``availableNow`` drains whatever is there and stops -- the hourly
 cron of the source, with exactly-once file accounting.
 """
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from dimflow.operators import load as L
 from dimflow.operators import quality as Q
-from dimflow.session import ensure_checkpoint_dir, scratch_path
+from dimflow.session import ensure_checkpoint_dir
 from dimflow.sinks import tables as TB
 from dimflow.sources.files import parse_delimited
 
 
 def stream_load(spark: SparkSession, source: str, schema, prod_path: str, sep: str = "|",
-                key: str | None = None, reject_path: str | None = None,
-                checkpoint: str | None = None, max_files_per_trigger: int | None = None,
+                key: str | None = None, reject_path: str | None = None, *,
+                checkpoint: str, max_files_per_trigger: int | None = None,
                 available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
     """Start a stream over dump files under ``source`` (a folder or glob).
 
     Each micro-batch is parsed with the S6 rules; rejects go to
     ``reject_path``; good rows are appended to ``prod_path`` -- only keys
     not yet present when ``key`` is given (J1, insert-if-absent).
+    ``checkpoint`` is the folder that remembers what was loaded; it names the
+    stream, so several streams may feed one table.
     """
     ensure_checkpoint_dir(spark)  # each micro-batch is checkpointed once
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     lines = reader.load(source)
+    stream = f"s{zlib.crc32(checkpoint.rstrip('/').encode()):08x}"
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
         parsed = parse_delimited(batch, schema, sep).checkpoint(eager=True)
         good, bad = Q.split_rejects(parsed)
+        batch_id = f"{stream}-epoch{epoch_id}"
         if reject_path is not None and not bad.isEmpty():
-            TB.append(bad, reject_path, f"epoch{epoch_id}")
+            TB.append(bad, reject_path, batch_id)
         if key is not None and TB.current_version(spark, prod_path) is not None:
-            prod = TB.read_table(spark, prod_path)
+            prod = TB.read_table(spark, prod_path, without_batch=batch_id)
             good = L.insert_new(good, prod, key)
-        TB.append(good, prod_path, f"epoch{epoch_id}")
+        TB.append(good, prod_path, batch_id)
 
     writer = lines.writeStream.foreachBatch(load_batch) \
-        .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-load"))
+        .option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
