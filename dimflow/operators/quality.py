@@ -68,14 +68,23 @@ def ready_batches(checks: DataFrame, deps: DataFrame | None = None,
     """Q1: a batch loads when it is complete and the batch it depends on
     (``deps(batch, dep_batch)``) is complete too; a ``_SUCCESS`` marker
     (Q3, ``success(batch, has_success)``) short-circuits both checks.  A
-    dependency with no check row is not complete."""
-    c = checks.select("batch", "complete")
-    out = c
+    dependency with no check row is not complete.
+
+    The checks are read once: each check row, joined with the batches that wait
+    for it, gives a row for its own batch and one for each of those."""
+    out = checks.select("batch", "complete")
     if deps is not None:
-        dc = checks.select(F.col("batch").alias("_db"), F.col("complete").alias("_dc"))
-        d = deps.select("batch", "dep_batch").join(dc, F.col("dep_batch") == F.col("_db"), "left") \
-            .groupBy("batch").agg(F.min(F.coalesce(F.col("_dc"), F.lit(False))).alias("_dep_ok"))
-        out = out.join(d, "batch", "left")
+        d = deps.select(F.col("batch").alias("_for"), "dep_batch")
+        none = F.lit(None).cast("boolean")
+        own = F.struct(F.col("batch").alias("b"), F.col("complete").alias("c"), none.alias("d"))
+        waiting = F.struct(F.col("_for").alias("b"), none.alias("c"),
+                           F.coalesce("complete", F.lit(False)).alias("d"))
+        out = out.join(d, F.col("batch") == F.col("dep_batch"), "full").select(F.explode(F.array(
+            F.when(F.col("batch").isNotNull(), own),
+            F.when(F.col("_for").isNotNull(), waiting))).alias("r")).where("r is not null") \
+            .groupBy(F.col("r.b").alias("batch")) \
+            .agg(F.max("r.c").alias("complete"), F.min("r.d").alias("_dep_ok")) \
+            .where("complete is not null")
     else:
         out = out.withColumn("_dep_ok", F.lit(None).cast("boolean"))
     if success is not None:
