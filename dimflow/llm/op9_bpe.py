@@ -13,6 +13,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +25,12 @@ from dimflow.llm.common import map_arrow
 
 #: Fixed pattern of the byte-level pre-tokenizer.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The same for ASCII texts, whose letters, digits and blanks are plain ranges.
+ASCII_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+"
+                 r"|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
 #: Distinct words a worker remembers before it starts anew (a matter of memory
 #: only; results do not depend on it).
-MEMORY = 200_000
+MEMORY = 800_000
 _FAR = np.int64(1) << 40
 
 
@@ -62,7 +66,10 @@ class Bpe:
             self.bytes_of[i] = t
         for t, i in self.specials.items():
             self.bytes_of[i] = t.encode()
-        self.longest = max(map(len, self.id_of))
+        # longest token for each beginning of three bytes
+        self.reach: dict[bytes, int] = {}
+        for t in self.id_of:
+            self.reach[t[:3]] = max(self.reach.get(t[:3], 0), len(t))
         self.rank: dict[tuple[int, int], tuple[int, int]] = {}
         self.left = np.full(size, -1, dtype=np.int64)
         self.right = np.full(size, -1, dtype=np.int64)
@@ -85,7 +92,7 @@ class Bpe:
         self.wholes = np.array(wholes, dtype=np.int64)[order]
         self.byte_ids = np.array([self.id_of[bytes([b])] for b in range(256)], dtype=np.int64)
         self.sound: dict[bytes, bool] = {}
-        self.split = regex.compile(PATTERN)
+        self.split, self.split_ascii = regex.compile(PATTERN), re.compile(ASCII_PATTERN)
         self.special_split = regex.compile(
             "(" + "|".join(regex.escape(s) for s in sorted(self.specials, key=len, reverse=True))
             + ")") if self.specials else None
@@ -192,10 +199,11 @@ class Bpe:
     def propose(self, word: bytes) -> list[int]:
         """Greedy longest match among tokens that encode to themselves."""
         out, i, n = [], 0, len(word)
+        known, reach = self.id_of.get, self.reach.get
         while i < n:
-            for j in range(min(n, i + self.longest), i, -1):
+            for j in range(min(n, i + reach(word[i:i + 3], 2)), i, -1):
                 piece = word[i:j]
-                token = self.id_of.get(piece)
+                token = known(piece)
                 if token is not None:
                     ok = self.sound.get(piece)
                     if ok is None:
@@ -268,7 +276,7 @@ class Bpe:
                 if i % 2:
                     parts.append(self.specials[piece])
                 else:
-                    found = self.split.findall(piece)
+                    found = (self.split_ascii if piece.isascii() else self.split).findall(piece)
                     parts.append(np.fromiter(map(number, found), np.int64, len(found)))
             plan.append(parts)
         self.learn()
