@@ -16,7 +16,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dimflow.functions.cleanse import cleanse, separator
@@ -241,7 +241,6 @@ def load(spark: SparkSession, table: str, batch_dir: str, spec_path: str, prod_p
     batch's sidecar, else text; cells that do not cast are rejects, counted
     before anything is published.
     """
-    ensure_checkpoint_dir(spark)  # the parsed batch is checkpointed below
     if log_path is not None and TB.current_version(spark, log_path) is not None:
         done = Q.not_yet_loaded(
             spark.createDataFrame([(database, table, hour, minute)],
@@ -292,17 +291,24 @@ def load(spark: SparkSession, table: str, batch_dir: str, spec_path: str, prod_p
         parsed = SF.type_columns(SF.read_orc(spark, batch_dir, cols), schema)
     else:
         parsed = SF.read_delimited(spark, f"{batch_dir}/*.gz", schema, spec.delimiter)
-    parsed = parsed.checkpoint(eager=True)  # one read of the batch for counts, rejects and load
-    n_bad = Q.reject_count(parsed).first().rejected_rows
-    good, bad = Q.split_rejects(parsed)
-    if n_bad and (spec.write_rejects or reject_path):
-        # the source kept rejects beside the staging table: <stg>.<table>_rejected_data
-        TB.append(bad, reject_path or f"{stg_path or prod_path}_rejected_data", batch_id)
-    try:
-        Q.check_rejects(n_bad, spec.reject_max)
-    except Q.LoadGateError:
-        event("FAILED")
-        raise
+    # A staged load counts its rejects while the good rows are written to staging
+    # (one parse, one write); a direct load has to know them before it publishes.
+    seen = Observation()
+    if staged:
+        good, _ = Q.split_rejects(parsed.observe(
+            seen, F.count_if(F.col(SF.REASON).isNotNull()).alias("rejected_rows")))
+    else:
+        ensure_checkpoint_dir(spark)
+        parsed = parsed.checkpoint(eager=True)
+        good, _ = Q.split_rejects(parsed)
+
+    def gate_rejects(n_bad: int) -> int:
+        if n_bad and (spec.write_rejects or reject_path):
+            # the source kept rejects beside the staging table: <stg>.<table>_rejected_data
+            TB.append(Q.split_rejects(parsed)[1],
+                      reject_path or f"{stg_path or prod_path}_rejected_data", batch_id)
+        return Q.check_rejects(n_bad, spec.reject_max)
+
     if not spec.is_dimension and load_epoch is None and platform in EPOCH_PLATFORMS:
         load_epoch = int(time.time())
     if not spec.is_dimension and load_epoch is not None:
@@ -311,13 +317,15 @@ def load(spark: SparkSession, table: str, batch_dir: str, spec_path: str, prod_p
         if staged:
             TB.load_staging(good, stg_path)
             stg = TB.read_table(spark, stg_path)
-            if "staging" in env and not spec.is_dimension:
-                Q.assert_nonempty(stg, f"staging {table}")
             try:
+                n_bad = gate_rejects(seen.get["rejected_rows"])
+                if "staging" in env and not spec.is_dimension:
+                    Q.assert_nonempty(stg, f"staging {table}")
                 version = _publish_from_staging(spark, spec, stg, prod_path, batch_id, lookups or {}, reload)
             finally:
                 TB.truncate(spark, stg_path, stg.schema)  # K11, on success and failure
         else:
+            n_bad = gate_rejects(Q.reject_count(parsed).first().rejected_rows)
             if reload or spec.truncate_before_load:
                 version = TB.full_refresh(good, target)
             else:
