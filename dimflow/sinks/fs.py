@@ -34,13 +34,8 @@ def read_text_file(spark: SparkSession, path: str) -> str:
     p, fs = _path(spark, path)
     stream = fs.open(p)
     try:
-        reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        lines = []
-        line = reader.readLine()
-        while line is not None:
-            lines.append(line)
-            line = reader.readLine()
-        return "\n".join(lines)
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")   # one call
+        return text.replace("\r\n", "\n").removesuffix("\n")
     finally:
         stream.close()
 
