@@ -13,7 +13,7 @@ from collections import Counter
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from dimflow.plans.catalog import QUERIES  # noqa: E402
 from dimflow.session import get_session  # noqa: E402
 
 PATTERNS = {
@@ -40,7 +40,7 @@ def main() -> None:
     spark = get_session()
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     rows = []
-    for name, fn in entry.queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()   # final AQE plan
         plan = df._jdf.queryExecution().executedPlan().toString()
