@@ -155,13 +155,13 @@ def _sets(batch: pa.RecordBatch, n: int):
 
 def _entries(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """Index entries (sig, node, role, 0), each set once a task however many
-    copies the task reads, and one member row (doc_id, node, 0, size) for each
-    document (node 0 if the set is empty)."""
+    copies the task reads, and one member row (doc_id, node, 0, size, bitmap)
+    for each document (node 0 if the set is empty)."""
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
             ids = batch.column("doc_id").to_numpy()
-            sigs, nodes, roles, sizes = [], [], [], []
+            sigs, nodes, roles, sizes, bits = [], [], [], [], []
             held = 0
             for row, u in _sets(batch, n):
                 node = set_node(u) if len(u) else 0
@@ -175,22 +175,26 @@ def _entries(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
                 sigs.append(s)
                 roles.append(r)
                 sizes.append(size)
+                bits.append(bitmap(u).tobytes())
                 nodes.append(np.full(len(s), node, dtype=np.int64))
                 held += len(s)
                 if held > 200_000:
-                    yield _entry_batch(sigs, nodes, roles, sizes)
-                    sigs, nodes, roles, sizes = [], [], [], []
+                    yield _entry_batch(sigs, nodes, roles, sizes, bits)
+                    sigs, nodes, roles, sizes, bits = [], [], [], [], []
                     held = 0
             if held:
-                yield _entry_batch(sigs, nodes, roles, sizes)
-    return map_arrow(docs, run, "sig long, node long, role byte, size int")
+                yield _entry_batch(sigs, nodes, roles, sizes, bits)
+    return map_arrow(docs, run, "sig long, node long, role byte, size int, bits binary")
 
 
-def _entry_batch(sigs, nodes, roles, sizes) -> pa.RecordBatch:
+def _entry_batch(sigs, nodes, roles, sizes, bits) -> pa.RecordBatch:
+    role = np.concatenate(roles).astype(np.int8)
+    member = role == 0
+    at = pa.array(np.cumsum(member) - 1, mask=~member)      # the bitmap of a member row
     return pa.RecordBatch.from_arrays(
         [pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(nodes)),
-         pa.array(np.concatenate(roles).astype(np.int8)), pa.array(np.concatenate(sizes))],
-        ["sig", "node", "role", "size"])
+         pa.array(role), pa.array(np.concatenate(sizes)), pa.array(bits, pa.binary()).take(at)],
+        ["sig", "node", "role", "size", "bits"])
 
 
 def _may_match(ra: np.ndarray, rb: np.ndarray) -> np.ndarray:
@@ -206,7 +210,7 @@ def _candidates(entries: DataFrame) -> DataFrame:
     """One pass over entries sorted by (sig, role descending, node), so that
     entries that probe come first: rows (kind, a, b, sig, role).  kind 0:
     candidate pair a < b.  kind 1: entry (b, role) of a large bucket whose hub
-    is a.  kind 2: document a with set b of sig shingles."""
+    is a.  kind 2: document a with set b of sig shingles and its bitmap."""
     def run(batches):
         carry = None          # rows of the last, unfinished bucket (at most SMALL)
         large = None          # (sig, hub, hub's role) of an unfinished large bucket
@@ -215,7 +219,7 @@ def _candidates(entries: DataFrame) -> DataFrame:
             member = role == 0
             if member.any():
                 yield _rows(2, sig[member], node[member], size[member].astype(np.int64),
-                            role[member])
+                            role[member], batch.column(4).filter(pa.array(member)))
                 sig, node, role = sig[~member], node[~member], role[~member]
             if large is not None and len(sig):
                 k = len(sig) if sig[-1] == large[0] else int(np.argmax(sig != large[0]))
@@ -244,13 +248,14 @@ def _candidates(entries: DataFrame) -> DataFrame:
             yield from _rows_done(*carry, np.array([0]), np.array([len(carry[0])]))
     rows = entries.repartition(partitions(entries.sparkSession), "sig").sortWithinPartitions(
         "sig", F.desc("role"), "node")
-    return map_arrow(rows, run, "kind byte, a long, b long, sig long, role byte")
+    return map_arrow(rows, run, "kind byte, a long, b long, sig long, role byte, bits binary")
 
 
-def _rows(kind, a, b, sig, role) -> pa.RecordBatch:
+def _rows(kind, a, b, sig, role, bits=None) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(a), kind, dtype=np.int8)), pa.array(a), pa.array(b),
-         pa.array(sig), pa.array(role)], ["kind", "a", "b", "sig", "role"])
+        [pa.array(np.full(len(a), kind, dtype=np.int8)), pa.array(a), pa.array(b), pa.array(sig),
+         pa.array(role), pa.nulls(len(a), pa.binary()) if bits is None else bits],
+        ["kind", "a", "b", "sig", "role", "bits"])
 
 
 def _rows_large(large, node, role) -> pa.RecordBatch:
@@ -307,8 +312,34 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                      "doc_id long, items array<long>").join(wanted, "doc_id", "left_semi")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) of document ids whose whole sets reach the similarity."""
+def _near(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs that sizes and parity bitmaps do not rule out."""
+    both = (pairs.select("a", "b")
+            .join(sketches.select(F.col("rep").alias("b"), F.col("size").alias("nb"),
+                                  F.col("bits").alias("y")), "b")
+            .where("nb > 0")
+            .join(sketches.select(F.col("rep").alias("a"), F.col("size").alias("na"),
+                                  F.col("bits").alias("x")), "a")
+            .where(F.expr(f"{num}L * greatest(na, nb) <= {den}L * least(na, nb)"))
+            .select("a", "b", "x", "y", ((den - num) * (F.col("na") + F.col("nb"))).alias("total")))
+
+    def run(batches):
+        for batch in batches:
+            limit = batch.column("total").to_numpy() // (den + num)
+            differ = np.empty(batch.num_rows, dtype=np.int64)
+            for i, (x, y) in enumerate(zip(batch.column("x").to_pylist(),
+                                           batch.column("y").to_pylist())):
+                words = min(len(x), len(y)) // 8
+                differ[i] = np.bitwise_count(_folded(x, words) ^ _folded(y, words)).sum()
+            yield batch.select(["a", "b"]).filter(pa.array(differ <= limit))
+    return map_arrow(both, run, "a long, b long")
+
+
+def _verified(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, n: int, num: int,
+              den: int) -> DataFrame:
+    """Pairs (a, b) of document ids whose whole sets reach the similarity; the
+    bitmaps come first, so that sets move for likely pairs only."""
+    pairs = cut(_near(pairs, sketches, num, den))
     wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
     sets = _sets_of(docs, wanted, n)
     common = F.size(F.array_intersect("x", "y"))
@@ -358,23 +389,13 @@ def _hub_pairs(large: DataFrame, labels: DataFrame, tried: DataFrame) -> DataFra
     return new.distinct().join(tried, ["a", "b"], "left_anti")
 
 
-def _left_pairs(large: DataFrame, labels: DataFrame, tried: DataFrame, docs: DataFrame,
-                n: int, num: int, den: int) -> DataFrame:
+def _left_pairs(large: DataFrame, labels: DataFrame, tried: DataFrame, sketches: DataFrame,
+                num: int, den: int) -> DataFrame:
     """All other pairs of large buckets in different components that the sizes
     and parity bitmaps do not rule out."""
     rows, ends = _labelled(large, labels)
     rows = cut(rows.join(ends.select("sig", F.ceil(F.col("n") / BLOCK).cast("int")
                                      .alias("blocks")), "sig"))
-    sets = _sets_of(docs, cut(rows.select(F.col("rep").alias("doc_id")).distinct()), n)
-
-    def sketch(batches):
-        for batch in batches:
-            items = batch.column("items")
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(x) for x in items], pa.int32()),
-                 pa.array([bitmap(x.values.to_numpy().view(_U)).tobytes() for x in items],
-                          pa.binary())], ["rep", "size", "bits"])
-    sketches = map_arrow(sets, sketch, "rep long, size int, bits binary")
     members = (rows.withColumn("block", F.expr("cast(pmod(xxhash64(rep), blocks) as int)"))
                .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
                .join(sketches, "rep")
@@ -429,7 +450,7 @@ def _left_pairs(large: DataFrame, labels: DataFrame, tried: DataFrame, docs: Dat
         if found:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(x)) for x in zip(*found)], ["a", "b"])
-    members = members.repartition(partitions(docs.sparkSession), "sig", "bi", "bj") \
+    members = members.repartition(partitions(large.sparkSession), "sig", "bi", "bj") \
         .sortWithinPartitions("sig", "bi", "bj")
     return (map_arrow(members, run, "a long, b long").distinct()
             .join(tried, ["a", "b"], "left_anti"))
@@ -455,17 +476,20 @@ def ngram_join(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) -> Da
     found = cut(_candidates(_entries(docs, n, num, den)))
     members = found.where("kind = 2").select(
         F.col("a").alias("doc_id"), F.col("sig").alias("n_shingles"),
-        F.when(F.col("sig") > 0, F.col("b")).alias("node"))
+        F.when(F.col("sig") > 0, F.col("b")).alias("node"), "bits")
     nodes = cut(members.where("node is not null").groupBy("node")
                 .agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_copies")))
 
     rep = nodes.select("node", "rep")
+    sketches = members.join(nodes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi") \
+        .select(F.col("doc_id").alias("rep"), F.col("n_shingles").cast("int").alias("size"),
+                "bits").dropDuplicates(["rep"])
     pairs = cut(found.where("kind < 2 and a <> b")
                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
                 .join(rep.withColumnsRenamed({"node": "a", "rep": "ra"}), "a")
                 .join(rep.withColumnsRenamed({"node": "b", "rep": "rb"}), "b")
                 .select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")))
-    links = cut(_verified(pairs, docs, n, num, den))
+    links = cut(_verified(pairs, sketches, docs, n, num, den))
     labels = cut(components(links))
     large = cut(found.where("kind = 1").select("sig", F.col("b").alias("node"), "role").distinct()
                 .join(rep, "node").select("sig", "rep", "role"))
@@ -473,10 +497,10 @@ def ngram_join(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) -> Da
         tried = pairs
         for step in range(3):
             pairs = cut(_hub_pairs(large, labels, tried) if step < 2 else
-                        _left_pairs(large, labels, tried, docs, n, num, den))
+                        _left_pairs(large, labels, tried, sketches, num, den))
             if pairs.isEmpty():
                 continue
-            more = cut(_verified(pairs, docs, n, num, den))
+            more = cut(_verified(pairs, sketches, docs, n, num, den))
             tried = tried.unionAll(pairs)
             if not more.isEmpty():
                 known = labels.select(F.col("v").alias("a"), F.col("component").alias("b"))
