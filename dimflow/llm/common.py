@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from dimflow.session import ensure_checkpoint_dir
 
+#: Links that one task contracts at a time.
+TASK_LINKS = 200_000
 #: Bits of an id filter: 2**25 bits are 4 MB, whatever the number of ids.
 FILTER_BITS = 25
 
@@ -108,9 +110,11 @@ def _contract(edges: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(v, component): for every vertex of links (a, b), the smallest vertex
-    reachable.  Links are first contracted within tasks, then alternating
-    large-star and small-star rounds run as grouped minima and joins until the
-    links no longer change.  Each round is kept in the shared folder."""
+    reachable.  Links are contracted within tasks, then again in tasks of up to
+    TASK_LINKS of the links that are left.  If that took several tasks,
+    alternating large-star and small-star rounds follow, as grouped minima and
+    joins, until the links no longer change.  Each round is kept in the shared
+    folder."""
     def star(links: DataFrame, large: bool) -> DataFrame:
         both = links.select("a", "b")
         if large:
@@ -124,15 +128,21 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
                 least.select("a", F.col("m").alias("b")))
         return out.where("a <> b")
 
+    def labelled(links: DataFrame) -> DataFrame:
+        return links.select(F.col("a").alias("v"), F.col("b").alias("component")).unionAll(
+            links.select(F.col("b").alias("v"), F.col("b").alias("component")).distinct())
+
     links = cut(_contract(edges.where("a <> b")).distinct())
+    tasks = -(-links.count() // TASK_LINKS) or 1
+    links = cut(_contract(links.coalesce(tasks)))
+    if tasks == 1:                                       # every link was in that task
+        return labelled(links)
     before = None
     for _ in range(max_rounds):
         links = cut(star(links, True).distinct())
         links = cut(star(links, False).distinct())
         now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
-            roots = links.select(F.col("a").alias("v"), F.col("b").alias("component"))
-            return roots.unionAll(links.select(F.col("b").alias("v"),
-                                               F.col("b").alias("component")).distinct())
+            return labelled(links)
         before = now
     raise RuntimeError("components did not settle")

@@ -9,6 +9,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from dimflow.llm import common
 from dimflow.llm import op1_ngram_join as op1
 from dimflow.llm import op2_passages as op2
 from dimflow.llm import op5_vectors as op5
@@ -119,7 +120,9 @@ def test_bitmaps_never_exceed_the_difference(n, d, seed):
     assert np.bitwise_count(p ^ q).sum() <= len(np.setxor1d(a, b))
 
 
-def test_components_of_a_long_path(spark):
+@pytest.mark.parametrize("task_links", [200_000, 40])
+def test_components_of_a_long_path(spark, monkeypatch, task_links):
+    monkeypatch.setattr(common, "TASK_LINKS", task_links)
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 999), (5, 5)],
                                   "a long, b long").repartition(7)
     got = {r.v: r.component for r in components(edges).collect()}
