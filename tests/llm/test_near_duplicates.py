@@ -167,6 +167,30 @@ def test_chains_follow_the_best_order():
     assert got[0] == [0, 1, 2, 3, 4, 6, 7, 8, 9, 10] and got[1:] == [[5]]
 
 
+def test_chains_keep_a_second_passage():
+    """A far chain of a high score does not hide the matches near by."""
+    p = np.concatenate([np.arange(0, 300, 5), np.arange(400, 460, 5)])
+    q = p.copy()
+    p, q = np.append(p, 470), np.append(q, 5)            # out of order
+    got = sorted(list(c) for c in op2.chains(p, q))
+    assert got == [list(range(60)), list(range(60, 72)), [72]]
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.sets(st.tuples(st.integers(0, 90), st.integers(0, 90)), min_size=1, max_size=40))
+def test_chains_against_all_predecessors(points):
+    p, q = (np.array(c) for c in zip(*sorted(points)))
+    score = []
+    for j in range(len(p)):
+        score.append(op2.SEED + max([0.0] + [
+            score[i] - op2.GAP * (p[j] - p[i] + q[j] - q[i]) for i in range(j)
+            if 0 < p[j] - p[i] <= op2.MAX_GAP and 0 < q[j] - q[i] <= op2.MAX_GAP]))
+    best = next(op2.chains(p, q))
+    gaps = op2.GAP * (np.diff(p[best]) + np.diff(q[best]))
+    assert abs(op2.SEED * len(best) - gaps.sum() - max(score)) < 1e-9
+    assert (np.diff(p[best]) <= op2.MAX_GAP).all() and (np.diff(q[best]) <= op2.MAX_GAP).all()
+
+
 def test_passages_edges(edge, empty):
     got = {(r.doc_id, r.other_id): (r.start, r.end, r.matched)
            for r in op2.repeated_passages(edge).collect()}
