@@ -56,10 +56,12 @@ def ship(spark: SparkSession) -> None:
     sc.addPyFile(str(out))
 
 
-def id_filter(ids: DataFrame, column: str) -> np.ndarray:
-    """A fixed-size bitmap (2**FILTER_BITS bits) of the hashes of ``ids``.
+def id_filter(ids: DataFrame, column: str, slot: F.Column | None = None) -> np.ndarray:
+    """A fixed-size bitmap (2**FILTER_BITS bits) of the hashes of ``ids`` (or
+    of their slots, if given).
     ``maybe`` on it never misses an id; when full it only stops filtering."""
-    slot = F.pmod(F.xxhash64(F.col(column).cast("long")), F.lit(1 << FILTER_BITS))
+    if slot is None:
+        slot = F.pmod(F.xxhash64(F.col(column).cast("long")), F.lit(1 << FILTER_BITS))
     rows = (ids.select(slot.alias("s"))
             .groupBy(F.shiftright("s", 15).alias("part"))
             .agg(F.bitmap_construct_agg(F.pmod("s", F.lit(1 << 15))).alias("bits"))

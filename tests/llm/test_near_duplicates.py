@@ -167,6 +167,27 @@ def test_chains_follow_the_best_order():
     assert got[0] == [0, 1, 2, 3, 4, 6, 7, 8, 9, 10] and got[1:] == [[5]]
 
 
+def _random_words(rng, n):
+    return [f"n{rng.randrange(10 ** 6)}" for _ in range(n)]
+
+
+@pytest.mark.parametrize("copies", [1, 40])
+def test_passages_whose_fragments_stand_elsewhere(spark, copies):
+    """Every seed of P stands in other documents too, but only two have P."""
+    rng = random.Random(5)
+    p = _random_words(rng, 51)
+    parts = {100: p, 200: p}
+    for i in range(copies):
+        parts |= {i: p[:25], 50 + i: p[25:50], 101 + i: p[:25], 150 + i: p[25:50]}
+    rows = [(i, " ".join(_random_words(rng, 30) + w + _random_words(rng, 30)))
+            for i, w in parts.items()]
+    got = []
+    for parts in (1, 6):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        got.append(sorted(tuple(r) for r in op2.repeated_passages(df).collect()))
+    assert got[0] == got[1] == [(200, 100, 30, 81, 30, 81, 51, 1.0)]
+
+
 def test_chains_keep_a_second_passage():
     """A far chain of a high score does not hide the matches near by."""
     p = np.concatenate([np.arange(0, 300, 5), np.arange(400, 460, 5)])
