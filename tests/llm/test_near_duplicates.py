@@ -188,6 +188,26 @@ def test_passages_whose_fragments_stand_elsewhere(spark, copies):
     assert got[0] == got[1] == [(200, 100, 30, 81, 30, 81, 51, 1.0)]
 
 
+def test_passages_do_not_depend_on_batches(spark):
+    rng = random.Random(6)
+    p, rows = _random_words(rng, 60), []
+    for i in range(120):
+        k = rng.randrange(30)
+        w = p if i % 10 == 0 else p[k:k + 20]
+        rows.append((i, " ".join(_random_words(rng, 20) + w + _random_words(rng, 20))))
+    got = []
+    for parts, size in ((1, 10_000), (1, 7), (5, 10_000)):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+            df = df.repartition(parts)
+            got.append(sorted(tuple(r) for r in op2.repeated_passages(df).collect()))
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got[0] == got[1] == got[2]
+    assert {r[0] for r in got[0]} == set(range(10, 120, 10))
+
+
 def test_chains_keep_a_second_passage():
     """A far chain of a high score does not hide the matches near by."""
     p = np.concatenate([np.arange(0, 300, 5), np.arange(400, 460, 5)])
