@@ -2,9 +2,10 @@
 
 Protected entities (e-mail addresses, IP addresses, card and phone numbers) are
 found by patterns.  Corpus co-occurrence then tells how strongly the words
-around a mention reveal its entity e: a term t in ``co`` of the documents'
-contexts discloses PMI(t; e) = log2(co * N / (df_t * df_e)) of the entity's
-information IC(e) = log2(N / df_e).  Terms above the upper threshold are
+of a text reveal an entity e that it mentions: a term t in ``co`` of the
+documents that mention e, at any distance, discloses PMI(t; e) =
+log2(co * N / (df_t * df_e)) of the entity's information
+IC(e) = log2(N / df_e).  Terms above the upper threshold are
 removed, those above the lower one generalised to a placeholder, beside the
 entities themselves.  N, df and co cover all documents.  Everything is built
 from DataFrame functions; there is no Python on the main path.
@@ -12,7 +13,7 @@ from DataFrame functions; there is no Python on the main path.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimflow.llm.common import cut
@@ -30,9 +31,9 @@ KINDS = tuple(PATTERNS)
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _WORD = r"[^\x20\t-\r]+"
 
-#: Characters of context on either side of a mention.
-CONTEXT = 60
-#: Distinct documents that must show a term beside an entity.
+#: Stands for an entity while words are told apart.
+_MARK = "\ue000"
+#: Distinct documents that must show a term with an entity.
 SUPPORT = 3
 REMOVE, GENERALISE = 0.9, 0.7
 _SPAN = "array<struct<s:int,k:int,e:int,v:string>>"
@@ -81,9 +82,10 @@ def _listed(spans: F.Column, names: list[str]) -> F.Column:
         ":", F.element_at(kinds, x["k"] + 1), x["s"], x["e"])), ",")
 
 
-def _cleaned(text: F.Column, spans: F.Column, names: list[str]) -> F.Column:
+def _cleaned(text: F.Column, spans: F.Column, names: list[str],
+             mark: F.Column | None = None) -> F.Column:
     """The text with each span replaced: entities and generalised terms by their
-    kind in brackets, removed terms by nothing."""
+    kind in brackets, removed terms by nothing; or every span by ``mark``."""
     marks = F.array(*[F.lit("" if n == "removed" else f"[{n.upper()}]") for n in names])
 
     def step(acc, x):
@@ -91,65 +93,70 @@ def _cleaned(text: F.Column, spans: F.Column, names: list[str]) -> F.Column:
         kept = F.substring(text, acc["p"] + 1, x["s"] - acc["p"])
         return F.struct(
             F.greatest(acc["p"], x["e"]).alias("p"),
-            F.when(fresh, F.concat(acc["out"], kept, F.element_at(marks, x["k"] + 1)))
+            F.when(fresh, F.concat(acc["out"], kept, F.element_at(marks, x["k"] + 1)
+                                   if mark is None else mark))
             .otherwise(acc["out"]).alias("out"))
     start = F.struct(F.lit(0).alias("p"), F.lit("").alias("out"))
     return F.aggregate(spans, start, step, lambda acc: F.concat(
         acc["out"], F.substring(text, acc["p"] + 1, F.length(text))))
 
 
-def _contexts(marked: DataFrame) -> DataFrame:
-    """(text_key, entity, term, s, e): whole words near each mention, outside
-    every entity span."""
-    m = marked.select("text_key", "text", "spans").dropDuplicates(["text_key"]).select(
-        "text_key", "text", "spans", F.explode("spans").alias("m"))
-    low = F.greatest(F.lit(0), F.col("m.s") - CONTEXT)
-    left = F.substring(F.col("text"), low + 1, F.col("m.s") - low)
-    right = F.substring(F.col("text"), F.col("m.e") + 1, F.lit(CONTEXT))
-    # a word that the context's edge cuts is left out: find words in a context
-    # one character wider, keep those clear of its edge
-    wide = F.substring(F.col("text"), F.greatest(low, F.lit(1)),
-                       F.col("m.s") - F.greatest(low, F.lit(1)) + 1)
-    after = F.substring(F.col("text"), F.col("m.e") + 1, F.lit(CONTEXT + 1))
-    m = m.withColumns({"left": left, "right": right, "wide": wide, "after": after, "low": low})
-    before_words = F.filter(
-        _found(F.col("left"), _WORD, 0, F.col("low")),
-        lambda x: (x["s"] > F.col("low")) | (F.col("low") == 0)
-        | F.substring(F.col("wide"), 1, 1).rlike(r"^[\x20\t-\r]"))
-    after_words = F.filter(
-        _found(F.col("right"), _WORD, 0, F.col("m.e")),
-        lambda x: (x["e"] < F.col("m.e") + CONTEXT) | (F.length("after") <= CONTEXT)
-        | F.substring(F.col("after"), CONTEXT + 1, 1).rlike(r"^[\x20\t-\r]"))
-    words = F.filter(F.concat(before_words, after_words), lambda x: ~F.exists(
-        F.col("spans"), lambda y: (x["s"] < y["e"]) & (y["s"] < x["e"])))
-    return (m.select("text_key", F.concat_ws(":", F.col("m.k"), F.lower("m.v")).alias("entity"),
-                     F.explode(words).alias("w"))
-            .select("text_key", "entity", F.lower("w.v").alias("term"), "w.s", "w.e"))
+def _text_terms(texts: DataFrame) -> DataFrame:
+    """(text_key, term): distinct words of each text, outside every entity span."""
+    blank = _cleaned(F.translate("text", _MARK, " "), F.col("spans"), list(KINDS),
+                     F.lit(_MARK))
+    words = F.filter(F.array_distinct(F.split(F.lower(blank), r"[\x20\t-\r]+")),
+                     lambda w: (w != "") & ~F.contains(w, F.lit(_MARK)))
+    return texts.select("text_key", F.explode(words).alias("term"))
+
+
+def _term_spans(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(text_key, s, e, removed): every place of the wanted (text_key, term,
+    removed), outside every entity span."""
+    some = texts.join(wanted.select("text_key").distinct(), "text_key", "left_semi")
+    pieces = some.select("text_key", F.posexplode(F.regexp_extract_all(
+        F.col("text"), F.lit(rf"[\x20\t-\r]*{_WORD}"), F.lit(0))).alias("i", "piece"))
+    word = F.regexp_replace("piece", r"^[\x20\t-\r]+", "")
+    places = pieces.select(
+        "text_key", F.lower(word).alias("term"), F.length(word).alias("n"),
+        F.sum(F.length("piece")).over(Window.partitionBy("text_key").orderBy("i"))
+        .cast("int").alias("e")).withColumn("s", F.col("e") - F.col("n"))
+    return (places.join(wanted, ["text_key", "term"])
+            .join(texts.select("text_key", "spans"), "text_key")
+            .where(~F.exists("spans", lambda y: (F.col("s") < y["e"]) & (y["s"] < F.col("e"))))
+            .select("text_key", "s", "e", "removed"))
 
 
 def disclosing_terms(docs: DataFrame, marked: DataFrame, support: int, remove: float,
-                     generalise: float) -> tuple[DataFrame, DataFrame]:
-    """(contexts, (entity, term, ratio, removed) above the lower threshold)."""
-    contexts = cut(_contexts(marked))
+                     generalise: float) -> DataFrame:
+    """(text_key, s, e, removed): the words of each text that disclose an entity
+    which the text mentions."""
+    texts = marked.select("text_key", "text", "spans").dropDuplicates(["text_key"])
     copies = marked.groupBy("text_key").agg(F.count("*").alias("copies"))
-    per_text = contexts.select("text_key", "entity", "term").distinct().join(copies, "text_key")
-    co = (per_text.groupBy("entity", "term")
+    mentions = (texts.select("text_key", F.explode("spans").alias("m"))
+                .select("text_key", F.concat_ws(":", F.col("m.k"), F.lower("m.v")).alias("entity"))
+                .distinct().join(copies, "text_key"))
+    # an entity of fewer texts has no term of enough texts
+    entities = cut(mentions.groupBy("entity").agg(
+        F.sum("copies").alias("df_e"), F.count("*").alias("texts"))
+        .where(F.col("texts") >= support).drop("texts"))
+    mentions = cut(mentions.join(entities.select("entity"), "entity"))
+    some = texts.join(mentions.select("text_key").distinct(), "text_key", "left_semi")
+    co = (mentions.join(_text_terms(some), "text_key").groupBy("entity", "term")
           .agg(F.sum("copies").alias("co"), F.count("*").alias("texts"))
           .where(F.col("texts") >= support))
-    entities = (marked.select("text_key", F.explode("spans").alias("m"))
-                .select("text_key", F.concat_ws(":", F.col("m.k"), F.lower("m.v")).alias("entity"))
-                .distinct().join(copies, "text_key")
-                .groupBy("entity").agg(F.sum("copies").alias("df_e")))
     words = F.array_distinct(F.split(F.lower(F.col("text")), r"[\x20\t-\r]+"))
     terms = (docs.select(F.explode(words).alias("term")).groupBy("term")
              .agg(F.count("*").alias("df_t")))
     scored = (co.join(terms, "term").join(entities, "entity")
               .withColumn("n", docs.agg(F.count("*")).scalar())
               .withColumn("ratio", F.log2(F.col("co") * F.col("n") / (F.col("df_t") * F.col("df_e")))
-                          / F.log2(F.col("n") / F.col("df_e"))))
-    return contexts, (scored.where((F.col("n") > F.col("df_e")) & (F.col("ratio") >= generalise))
-                      .select("entity", "term", "ratio",
-                              (F.col("ratio") >= remove).alias("removed")))
+                          / F.log2(F.col("n") / F.col("df_e")))
+              .where((F.col("n") > F.col("df_e")) & (F.col("ratio") >= generalise)))
+    wanted = cut(mentions.join(scored, "entity").groupBy("text_key", "term").agg(
+        F.max(F.col("ratio") >= remove).alias("removed"))
+        .join(_text_terms(some), ["text_key", "term"], "left_semi"))
+    return _term_spans(texts, wanted)
 
 
 def sanitise(docs: DataFrame, support: int = SUPPORT, remove: float = REMOVE,
@@ -158,10 +165,10 @@ def sanitise(docs: DataFrame, support: int = SUPPORT, remove: float = REMOVE,
     clean_text) for every row.
 
     ``spans`` lists kind:start:end (code points, end exclusive) by start, then
-    in the order email, ip, card, phone, removed, term.  Added spans are words
-    within CONTEXT characters of a mention, seen beside the same entity in at
-    least ``support`` distinct texts, whose disclosure ratio reaches the
-    thresholds; ratios equal to a threshold count.  ``clean_text`` is null
+    in the order email, ip, card, phone, removed, term.  Added spans are all
+    places of words, at any distance from a mention, that stand in at least
+    ``support`` distinct texts with the same entity and whose disclosure ratio
+    reaches the thresholds; ratios equal to a threshold count.  ``clean_text`` is null
     where nothing is to be changed.  Null and empty texts have no spans (the
     digest of the empty string); texts without mentions are left alone.
     Repeated rows each give a row and count as documents.  An empty table gives
@@ -174,12 +181,10 @@ def sanitise(docs: DataFrame, support: int = SUPPORT, remove: float = REMOVE,
     base = cut(found.select("doc_id", "spans", F.when(some, F.col("text")).alias("text"),
                             F.when(some, F.md5("text")).alias("text_key")))
     marked = base.where(some)
-    contexts, terms = disclosing_terms(docs, marked, support, remove, generalise)
-    added = (contexts.join(terms, ["entity", "term"])
-             .groupBy("text_key", "s", "e").agg(F.max("removed").alias("removed"))
-             .groupBy("text_key").agg(F.collect_set(F.struct(
+    found = disclosing_terms(docs, marked, support, remove, generalise)
+    added = (found.groupBy("text_key").agg(F.collect_set(F.struct(
                  F.col("s"), F.when(F.col("removed"), 4).otherwise(5).alias("k"), F.col("e"),
-                 F.lit("").alias("v"))).alias("added")))       # a text's own contexts only
+                 F.lit("").alias("v"))).alias("added")))
     names = [*KINDS, "removed", "term"]
     base_list = _listed(F.col("spans"), names)
 

@@ -164,6 +164,19 @@ def test_disclosing_terms(spark):
     assert np.log2(co * n / (df_t * df_e)) / np.log2(n / df_e) < op7.GENERALISE
 
 
+def test_disclosing_terms_far_from_a_mention(spark):
+    """Every place of a telling term in a text with the mention, at any distance."""
+    far = "plain words go on here " * 12
+    texts = [f"zorblax {i} {far}mail jo@corp.example {far}(zorblax) Zorblax" for i in range(5)]
+    texts += [f"{far}{i} mail" for i in range(60)]
+    got = {r.doc_id: r for r in op7.sanitise(frame(spark, texts)).collect()}
+    for i in range(5):
+        assert got[i].n_terms == 3
+        assert "zorblax" not in got[i].clean_text.lower()
+        assert got[i].clean_text.startswith(f" {i} {far}mail [EMAIL] {far}")
+    assert all(got[i].n_terms == 0 for i in range(5, len(texts)))
+
+
 def test_sanitise_edges(edge, empty):
     out = op7.sanitise(edge).collect()
     assert len(out) == edge.count() and all(r.spans == "" for r in out)
