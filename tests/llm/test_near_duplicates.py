@@ -208,6 +208,21 @@ def test_passages_do_not_depend_on_batches(spark):
     assert {r[0] for r in got[0]} == set(range(10, 120, 10))
 
 
+@pytest.mark.parametrize("step", [5, 7, 10])
+def test_passages_with_every_nth_word_changed(spark, step):
+    rng = random.Random(step)
+    rows = []
+    for i in range(60):
+        w = _random_words(rng, 60)
+        x = [f"z{rng.randrange(10 ** 6)}" if j % step == step - 1 else v for j, v in enumerate(w)]
+        for k, v in ((i, w), (100 + i, x)):
+            rows.append((k, " ".join(_random_words(rng, 50) + v + _random_words(rng, 50))))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.other_id) for r in op2.repeated_passages(df).collect()}
+    assert got <= {(100 + i, i) for i in range(60)}
+    assert len(got) >= {5: 30, 7: 54, 10: 57}[step]
+
+
 def test_chains_keep_a_second_passage():
     """A far chain of a high score does not hide the matches near by."""
     p = np.concatenate([np.arange(0, 300, 5), np.arange(400, 460, 5)])
