@@ -92,3 +92,17 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raked weight, probability and choice of every document."""
     from dimflow.llm.op8_mixing import mix_sources
     return mix_sources(read_table(spark, sf_dir, "documents"))
+
+
+@register
+def op12_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in windows of 4096 tokens."""
+    from dimflow.llm.op12_packing import pack_documents
+    return pack_documents(read_table(spark, sf_dir, "documents"), window=4096, end_id=2)
+
+
+@register
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings on the 16 leading whitened components."""
+    from dimflow.llm.op13_whitening import whiten
+    return whiten(read_table(spark, sf_dir, "embeddings"), components=16)
