@@ -106,3 +106,18 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All embeddings on the 16 leading whitened components."""
     from dimflow.llm.op13_whitening import whiten
     return whiten(read_table(spark, sf_dir, "embeddings"), components=16)
+
+
+@register
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 strongest collocations of each language."""
+    from dimflow.llm.op11_phrases import collocations
+    return collocations(read_table(spark, sf_dir, "documents"), min_count=30, top=2000)
+
+
+def _sql_of_phrases() -> str:
+    from dimflow.llm.op11_phrases import ORACLE_SQL
+    return ORACLE_SQL
+
+
+ORACLES["op11_phrase_mining"] = _sql_of_phrases()
