@@ -7,14 +7,18 @@ the frequent parts travel as a bitmap of fixed size, which lets too much pass
 when full but loses nothing).  A task counts in a trie over the ids that it
 gives to words: the first word leads to a hash container of the remaining ids,
 and a container that grows too large bursts into one container a next word.
-When the trie is full, its largest subtrees leave whole, as sorted runs, and
-Spark merges the runs of all tasks prefix by prefix (a prefix is a first word;
-each is salted, so that a frequent word is spread over tasks).  Candidates are
-then scored and filtered by joins of the frequent phrases only.
+When the trie is full, its largest subtrees leave whole, each as one sorted run
+(a row of Spark's shuffle), and the runs of all tasks are merged prefix by
+prefix; a prefix is a first word, and those of frequent words are salted, so that
+they spread over tasks.  (Single words have no prefix: they are counted by id
+and leave as runs of hashed parts.)  Candidates are then scored and filtered by
+joins of the frequent phrases only.
 """
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -27,14 +31,19 @@ from dimflow.llm.common import FILTER_BITS, cut, id_filter, map_arrow, maybe
 
 #: Bytes of text worked on at a time.
 CHUNK = 1 << 20
-#: Entries that a task's trie holds before it spills, and words it knows before
-#: it spills everything and numbers words anew; results do not depend on them.
-CAPACITY = 300_000
-WORDS = 400_000
+#: Entries and words that a task holds before it spills; results do not depend
+#: on them.
+CAPACITY = 400_000
 #: Entries at which a container bursts.
 BURST = 4096
-#: Tasks over which the phrases of one first word are spread.
-SALT = 32
+#: Parts over which the runs of a frequent first word are spread (it is frequent
+#: with 1 / HOT of all words, so there are at most HOT such words), and those of
+#: single words, which have no prefix.
+SALT, HOT, SINGLES = 256, 1000, 4096
+#: Parts of a lang that are ranked before the lang is.
+RANKED = 32
+#: Bytes of runs that are merged together.
+MERGE = 8 << 20
 _ID = 21
 _MASK = (1 << _ID) - 1
 
@@ -121,63 +130,161 @@ class _Node(dict):
 class _Lang:
     """Word ids and trie of one language in one task."""
 
-    def __init__(self, lang: str, words: int):
+    def __init__(self, lang: str, words: int, hot: frozenset = frozenset()):
         self.lang, self.words = lang, words
-        salt = pa.array([lang]).cast(pa.large_binary())
-        data = np.frombuffer(salt.buffers()[2] or b"", dtype=np.uint8)
-        text = tk.Texts(data, np.array([0, len(data)]), 0)
-        self.salt = text.hashes(np.array([0]), np.array([len(data)]))[0] if len(data) else \
-            np.uint64(0)
+        self.hot = {name for of, name in hot if of == lang}
+        self.salt = _word_hashes(pa.array([lang]).cast(pa.large_binary()))[0]
         self.total = 0
         self.clear()
 
     def clear(self) -> None:
         self.trie = HatTrie(self.words)
+        self.singles = np.zeros(1024, dtype=np.int64)    # by word id, if single words count
         self.ids: dict[str, int] = {}
         self.names: list[str] = [""]                     # ids start at 1
-        self.hashes: list[int] = [0]
 
-    def number(self, names: list[str], hashes: list[int]) -> list[int]:
-        out = []
-        for name, h in zip(names, hashes):
-            i = self.ids.get(name)
+    def held(self) -> int:
+        return self.trie.entries + len(self.names)
+
+    def number(self, names: list[str]) -> list[int]:
+        ids, out = self.ids, []
+        for name in names:
+            i = ids.get(name)
             if i is None:
-                i = self.ids[name] = len(self.names)
+                i = ids[name] = len(self.names)
                 self.names.append(name)
-                self.hashes.append(h)
             out.append(i)
         return out
 
     def runs(self, keep: int):
-        """Spilled subtrees as batches of rows sorted by phrase."""
-        rows: list[tuple[str, int, int]] = []
-        names, hashes = self.names, self.hashes
-        for _, found in self.trie.spill(keep):
-            run = [(" ".join([names[i] for i in ids]), len(ids), n, [hashes[i] for i in ids])
-                   for ids, n in found]
-            run.sort(key=lambda r: r[0].encode())
-            rows += run
-            if len(rows) >= 50_000:
-                yield self._batch(rows)
-                rows = []
-        if rows:
-            yield self._batch(rows)
-
-    def _batch(self, rows) -> pa.RecordBatch:
-        slot = np.zeros(len(rows), dtype=np.int64)
-        sizes = np.array([r[1] for r in rows])
+        """(lang, prefix, salt, run, counts): subtrees as sorted runs.  Single
+        words have the empty prefix."""
+        names = self.names
+        if self.words == 1:
+            at = np.flatnonzero(self.singles)
+            yield from self._salted("", [names[i] for i in at.tolist()], self.singles[at].tolist(),
+                                    SINGLES)
+        for first, found in self.trie.spill(keep):
+            if self.words == 2:
+                rest = [names[ids[1]] for ids, _ in found]
+            else:
+                rest = [" ".join([names[i] for i in ids[1:]]) for ids, _ in found]
+            prefix, counts = names[first], [n for _, n in found]
+            if prefix in self.hot:
+                yield from self._salted(prefix, rest, counts)
+            else:
+                yield self._run(prefix, 0, sorted(zip(rest, counts)))
+
+    def _salted(self, prefix: str, rest: list[str], counts: list[int], salt: int = SALT):
+        parts: list[list] = [[] for _ in range(salt)]
+        for pair in zip(rest, counts):
+            parts[zlib.crc32(pair[0].encode()) % salt].append(pair)
+        for i, part in enumerate(parts):
+            if part:
+                yield self._run(prefix, i, sorted(part))
+
+    def _run(self, prefix, salt, pairs):
+        counts = np.array([n for _, n in pairs], dtype="<i8")
+        small = counts.max() < 256
+        return (self.lang, prefix, salt, "\n".join([r for r, _ in pairs]),
+                b"\x01" + counts.astype(np.uint8).tobytes() if small
+                else b"\x08" + counts.tobytes())
+
+
+_RUN = "lang string, prefix string, salt int, run string, counts binary"
+
+
+def _run_batches(rows):
+    """Runs as Arrow batches of a few MB."""
+    types = [pa.string(), pa.string(), pa.int32(), pa.string(), pa.binary()]
+    names = ["lang", "prefix", "salt", "run", "counts"]
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[3]) + len(row[4]) + 32
+        if size > 4 << 20:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*held), types)], names)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*held), types)], names)
+
+
+def _decoded(batch: pa.RecordBatch) -> pa.Table:
+    """(lang, salt, phrase, n) of every entry of some runs."""
+    rest = pc.split_pattern(batch.column("run").cast(pa.large_string()), "\n")
+    at = pc.list_parent_indices(rest)
+    counts = np.concatenate([
+        np.frombuffer(c.as_buffer(), np.uint8, offset=1) if c.as_buffer()[0] == 1
+        else np.frombuffer(c.as_buffer(), "<i8", offset=1) for c in batch.column("counts")])
+    prefix = pc.binary_join_element_wise(
+        batch.column("prefix").cast(pa.large_string()), pa.scalar("", pa.large_string()),
+        pa.scalar(" ", pa.large_string()))
+    prefix = pc.if_else(pc.equal(batch.column("prefix"), ""), pa.scalar("", pa.large_string()),
+                        prefix)
+    phrase = pc.binary_join_element_wise(prefix.take(at), rest.flatten(),
+                                         pa.scalar("", pa.large_string()))
+    return pa.table({"lang": batch.column("lang").take(at), "salt": batch.column("salt").take(at),
+                     "phrase": phrase,
+                     "n": pa.array(counts.astype(np.int64))})
+
+
+def _merged(tables: list[pa.Table]) -> pa.Table:
+    out = pa.concat_tables(tables).combine_chunks().group_by(
+        ["lang", "salt", "phrase"]).aggregate([("n", "sum")])
+    return out.rename_columns({"n_sum": "n"}).select(["lang", "salt", "phrase", "n"])
+
+
+def _finished(table: pa.Table, min_count: int):
+    """Frequent phrases of whole prefixes, with size and filter slot."""
+    table = table.filter(pc.greater_equal(table.column("n"), min_count)).combine_chunks()
+    for batch in table.to_batches(max_chunksize=1 << 16):
+        if not len(batch):
+            continue
+        parts = pc.split_pattern(batch.column("phrase"), " ")
+        sizes = pc.list_value_length(parts).to_numpy()
+        hashes = _word_hashes(parts.flatten().cast(pa.large_binary()))
+        begin = np.cumsum(sizes) - sizes
+        langs = batch.column("lang").dictionary_encode()
+        salt = _word_hashes(langs.dictionary.cast(pa.large_binary()))[langs.indices.to_numpy()]
+        slot = np.zeros(len(batch), dtype=np.int64)
         for m in np.unique(sizes):
             at = np.flatnonzero(sizes == m)
-            h = np.array([rows[i][3] for i in at], dtype=np.uint64)
-            slot[at] = _slots(_phrase_hash(h.T, self.salt))
-        return _rows(self.lang, [r[0] for r in rows], sizes, [r[2] for r in rows], slot)
-
-
-def _rows(lang, phrases, sizes, counts, slots) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.string()),
-         pa.array(sizes, pa.int32()), pa.array(counts, pa.int64()), pa.array(slots, pa.int64())],
-        ["lang", "phrase", "words", "n", "slot"])
+            slot[at] = _slots(_phrase_hash([hashes[begin[at] + j] for j in range(m)], salt[at]))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("lang").cast(pa.string()), batch.column("phrase").cast(pa.string()),
+             pa.array(sizes, pa.int32()), batch.column("n"), pa.array(slot)],
+            ["lang", "phrase", "words", "n", "slot"])
+
+
+def _merge(batches, min_count: int):
+    """Sum up sorted runs, which come prefix by prefix.  Memory follows MERGE
+    and the distinct phrases of one salted prefix."""
+    held, size, limit = [], 0, MERGE
+    for batch in batches:
+        for lo in range(0, len(batch), 1 << 12):
+            part = batch.slice(lo, 1 << 12)
+            held.append(_decoded(part))
+            size += held[-1].nbytes
+            if size <= limit:
+                continue
+            # the last prefix may go on; all before it are complete
+            last = [part.column(c)[len(part) - 1].as_py() for c in ("lang", "salt", "prefix")]
+            done, rest = _split(_merged(held), *last)
+            yield from _finished(done, min_count)
+            held, size = [rest], rest.nbytes
+            limit = max(MERGE, 2 * size)
+    if held:
+        yield from _finished(_merged(held), min_count)
+
+
+def _split(table: pa.Table, lang: str, salt: int, prefix: str) -> tuple[pa.Table, pa.Table]:
+    """(rows of other prefixes, rows that may belong to this one)."""
+    mine = pc.and_(pc.equal(table.column("lang"), lang), pc.equal(table.column("salt"), salt))
+    if prefix:
+        mine = pc.and_(mine, pc.starts_with(table.column("phrase"), prefix + " "))
+    return table.filter(pc.invert(mine)), table.filter(mine)
 
 
 def _phrase_hash(parts, salt) -> np.ndarray:
@@ -234,7 +341,7 @@ def _words(data: np.ndarray):
 def _word_hashes(words: pa.LargeBinaryArray) -> np.ndarray:
     offsets = np.frombuffer(words.buffers()[1], dtype=np.int64)[
         words.offset:words.offset + len(words) + 1]
-    data = np.frombuffer(words.buffers()[2], dtype=np.uint8)
+    data = np.frombuffer(words.buffers()[2] or b"", dtype=np.uint8)
     return tk.Texts(data, offsets, 0).hashes(offsets[:-1], offsets[1:])
 
 
@@ -245,13 +352,15 @@ def _count(state: _Lang, data: np.ndarray, words: int, frequent, pairs) -> None:
     distinct, code, linked = _words(data)
     if not len(code):
         return
-    hashes = _word_hashes(distinct)
     if words == 1:
         state.total += len(code)
-        ids = state.number(distinct.cast(pa.large_string()).to_pylist(), hashes.tolist())
-        for i, n in zip(ids, np.bincount(code, minlength=len(distinct)).tolist()):
-            state.trie.add(i, [0], [n])
+        ids = np.array(state.number(distinct.cast(pa.large_string()).to_pylist()))
+        if len(state.names) > len(state.singles):
+            state.singles = np.concatenate(
+                [state.singles, np.zeros(len(state.names), dtype=np.int64)])
+        state.singles[ids] += np.bincount(code, minlength=len(distinct))
         return
+    hashes = _word_hashes(distinct)
     good = maybe(frequent, _slots(_phrase_hash([hashes], state.salt)))
     both = linked & good[code[:-1]] & good[code[1:]]
     at = np.flatnonzero(both)
@@ -275,8 +384,7 @@ def _count(state: _Lang, data: np.ndarray, words: int, frequent, pairs) -> None:
         needed[at] = needed[at + 1] = True
     used = np.unique(code[needed])
     number = np.zeros(len(distinct), dtype=np.int64)
-    number[used] = state.number(distinct.take(pa.array(used)).cast(pa.large_string()).to_pylist(),
-                                hashes[used].tolist())
+    number[used] = state.number(distinct.take(pa.array(used)).cast(pa.large_string()).to_pylist())
     ids = number[code]
     if words == 2:
         key, n = np.unique(ids[at] << _ID | ids[at + 1], return_counts=True)
@@ -308,41 +416,44 @@ def _insert(trie: HatTrie, first: np.ndarray, key: np.ndarray, n: np.ndarray) ->
         lo = hi
 
 
-def _counted(docs: DataFrame, words: int, min_count: int, frequent=None, pairs=None) -> DataFrame:
+def _counted(docs: DataFrame, words: int, min_count: int, frequent=None, pairs=None,
+             hot: frozenset = frozenset()) -> DataFrame:
     """(lang, phrase, words, n, slot) of the phrases with n >= min_count, kept in
     the shared folder; for single words also the number of words of each lang,
     as a row of ``words`` 0."""
-    def run(batches):
+    def spilled(batches):
         states: dict[str, _Lang] = {}
         for batch in batches:
             langs = batch.column("lang").dictionary_encode()
             for i, lang in enumerate(langs.dictionary.to_pylist()):
-                state = states.setdefault(lang, _Lang(lang, words))
+                state = states.setdefault(lang, _Lang(lang, words, hot))
                 mine = batch.column("text").filter(pc.equal(langs.indices, i))
                 for data in _chunks(mine):
                     _count(state, data, words, frequent, pairs)
-                    if len(state.names) > WORDS:
-                        yield from state.runs(0)
-                        state.clear()
-                    elif state.trie.entries > CAPACITY:
-                        yield from state.runs(CAPACITY // 2)
-                    held = sum(s.trie.entries for s in states.values())
-                    if held > 2 * CAPACITY:              # many langs in one task
+                    if sum(s.held() for s in states.values()) <= CAPACITY:
+                        continue
+                    if state.trie.entries > CAPACITY // 2:
+                        yield from state.runs(CAPACITY // 4)
+                    else:                                # words or many langs: start anew
                         for s in states.values():
                             yield from s.runs(0)
                             s.clear()
         for state in states.values():
             yield from state.runs(0)
-            if state.total:
-                yield _rows(state.lang, [""], [0], [state.total], [0])
-    rows = map_arrow(docs, run, "lang string, phrase string, words int, n long, slot long")
-    rows = rows.withColumn("prefix", F.substring_index("phrase", " ", 1)).withColumn(
-        "salt", F.pmod(F.xxhash64("phrase"), F.lit(SALT)))
-    return cut(rows.repartition("lang", "prefix", "salt")
-               .groupBy("lang", "prefix", "salt", "phrase", "words")
-               .agg(F.sum("n").alias("n"), F.min("slot").alias("slot"))
-               .where((F.col("n") >= min_count) | (F.col("words") == 0))
-               .select("lang", "phrase", "words", "n", "slot"))
+            if state.total:                              # no word holds a blank
+                yield state._run(" ", 0, [("", state.total)])
+
+    def run(batches):
+        yield from _run_batches(spilled(batches))
+
+    def merge(batches):
+        for batch in _merge(batches, min_count):
+            total = pc.equal(batch.column("phrase"), "  ")
+            yield batch.set_column(2, "words", pc.if_else(
+                total, pa.scalar(0, pa.int32()), batch.column("words"))) if words == 1 else batch
+    runs = map_arrow(docs, run, _RUN).repartition("lang", "prefix", "salt").sortWithinPartitions(
+        "lang", "prefix", "salt")
+    return cut(map_arrow(runs, merge, "lang string, phrase string, words int, n long, slot long"))
 
 
 def frequent_phrases(docs: DataFrame, min_count: int) -> tuple[DataFrame, DataFrame]:
@@ -352,12 +463,17 @@ def frequent_phrases(docs: DataFrame, min_count: int) -> tuple[DataFrame, DataFr
                        F.col("text").cast("string").alias("text")).where("text is not null")
     singles = _counted(docs, 1, min_count)
     words = singles.where("words = 1")
+    totals = singles.where("words = 0").select("lang", F.col("n").alias("total"))
+    all_words = totals.agg(F.sum("total")).first()[0] or 0
+    hot = frozenset((r.lang, r.phrase) for r in
+                    words.where(F.col("n") * HOT >= all_words).collect())
     frequent = id_filter(words, "slot", F.col("slot"))
-    pairs = _counted(docs, 2, min_count, frequent)
-    longer = _counted(docs, 4, min_count, frequent, id_filter(pairs, "slot", F.col("slot")))
+    pairs = _counted(docs, 2, min_count, frequent, hot=hot)
+    longer = _counted(docs, 4, min_count, frequent,
+                      id_filter(pairs, "slot", F.col("slot")), hot)
     phrases = words.unionAll(pairs).unionAll(longer).select(
         "lang", "phrase", "words", F.col("n").alias("f"))
-    return phrases, singles.where("words = 0").select("lang", F.col("n").alias("total"))
+    return phrases, totals
 
 
 def _exact(column: str) -> F.Column:
@@ -412,7 +528,7 @@ def collocations(docs: DataFrame, min_count: int = 30, top: int = 2000, inside:
               .select("lang", "phrase", "a", "best.l", "best.r", "best.score"))
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     # the first of each salted part, then of those: no task sorts a whole lang
-    scored = scored.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(SALT)))
+    scored = scored.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(RANKED)))
     scored = scored.withColumn("rank", F.row_number().over(
         Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("rank") <= top)
     scored = scored.withColumn("rank", F.row_number().over(

@@ -104,27 +104,37 @@ def test_chunks_end_between_pieces(monkeypatch):
 def test_bursts_and_spills_lose_nothing(monkeypatch, words):
     monkeypatch.setattr(ph, "BURST", 8)
     rng = random.Random(words)
-    state = ph._Lang("en", words)
+    state = ph._Lang("en", words, frozenset({("en", "c")}))
     every = np.full(1 << (ph.FILTER_BITS - 3), 255, dtype=np.uint8)
-    want, got, runs = Counter(), Counter(), 0
+    want, rows, burst = Counter(), [], False
     for _ in range(60):
-        text = " ".join(rng.choice("abcdefghij") for _ in range(80))
-        w = text.split()
+        w = [rng.choice("abcdefghij") for _ in range(80)]
         for m in ((2,) if words == 2 else (3, 4)):
             want.update(" ".join(w[i:i + m]) for i in range(len(w) - m + 1))
-        ph._count(state, np.frombuffer(text.encode(), np.uint8), words, every, every)
+        ph._count(state, np.frombuffer(" ".join(w).encode(), np.uint8), words, every, every)
+        burst |= any(isinstance(c, ph._Node) for c in state.trie.root.values())
         if state.trie.entries > 300:
-            for batch in state.runs(150):
-                runs += 1
-                for p, n in zip(batch.column("phrase").to_pylist(), batch.column("n").to_pylist()):
-                    got[p] += n
+            rows += state.runs(150)
             assert state.trie.entries <= 150
-    if words == 4:
-        assert any(isinstance(c, ph._Node) for c in state.trie.root.values()) or runs
-    for batch in state.runs(0):
-        for p, n in zip(batch.column("phrase").to_pylist(), batch.column("n").to_pylist()):
-            got[p] += n
-    assert got == want and not state.trie.root and state.trie.entries == 0
+    rows += state.runs(0)
+    assert burst == (words == 4) and not state.trie.root and state.trie.entries == 0
+    assert all(r[3].split("\n") == sorted(r[3].split("\n")) for r in rows)
+    assert {r[2] > 0 for r in rows if r[1] != "c"} == {False}
+    rows.sort(key=lambda r: r[:3])
+    monkeypatch.setattr(ph, "MERGE", 2000)               # many partial merges
+    got = Counter()
+    for batch in ph._merge(ph._run_batches(rows), 2):
+        for p, n, m in zip(*(batch.column(c).to_pylist() for c in ("phrase", "n", "words"))):
+            assert p not in got and m == len(p.split())
+            got[p] = n
+    assert got == {p: n for p, n in want.items() if n >= 2}
+
+
+def test_runs_with_large_counts():
+    state = ph._Lang("", 2)
+    rows = [state._run("a", 0, [("b", 1 << 40), ("c", 1)]), state._run("a", 0, [("c", 200)])]
+    out = [b.to_pydict() for b in ph._merge(ph._run_batches(rows), 1)]
+    assert dict(zip(out[0]["phrase"], out[0]["n"])) == {"a b": 1 << 40, "a c": 201}
 
 
 def test_subtrees_leave_as_sorted_runs(monkeypatch):
