@@ -33,7 +33,7 @@ def register(name: str, oracle: str | None = None):
 def _load_all() -> None:
     # Importing the modules registers their queries.
     from dimflow.plans import (q_files, q_jobs, q_load, q_projection, q_quality,  # noqa: F401
-                               q_registry, q_runlog, q_scan, q_state)
+                               q_registry, q_runlog, q_scan, q_state, q_scale)
 
 
 _load_all()

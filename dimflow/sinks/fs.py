@@ -48,6 +48,12 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)]
 
 
+def partition_folder(spark: SparkSession, values: dict) -> str:
+    """``name=value/...`` as Spark's partitioned writer spells it."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return "/".join(f"{escape(k)}={escape(str(v))}" for k, v in values.items())
+
+
 def rename(spark: SparkSession, src: str, dst: str) -> None:
     p_src, fsys = _path(spark, src)
     p_dst, _ = _path(spark, dst)

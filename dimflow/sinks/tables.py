@@ -10,8 +10,8 @@ Layout of a table at ``<path>``::
   keep seeing version n until the marker lands, and a failed job or gate
   leaves no visible trace (the source's ``DELETE; COPY NO COMMIT; COMMIT``);
 * an *append* (K7, K10, log events L15) writes ``batch_id=<b>`` into the
-  current version with ``mode("overwrite")`` on that folder, so replaying a
-  batch rewrites it rather than doubling it;
+  current version by dynamic partition overwrite, so replaying a batch replaces
+  it rather than doubling it, and a failed replay leaves it as it was;
 * *truncate* (K11) publishes an empty version.
 
 Overwriting the parquet path being read fails in Spark, which is why new
@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,15 +91,23 @@ full_refresh = publish
 
 def append(df: DataFrame, path: str, batch_id: str | int) -> int:
     """Add a batch to the current version (creating version 1
-    for a new table).  Idempotent per ``batch_id``."""
+    for a new table).  Idempotent per ``batch_id``: a replay replaces the batch
+    by dynamic partition overwrite, once its whole job has succeeded; until
+    then, and when it fails, readers see the old rows."""
     spark = df.sparkSession
+    folder = fs.partition_folder(spark, {"batch_id": batch_id})
     v = current_version(spark, path)
     if v is None:
         v = _claim_version(spark, path)
-        df.write.mode("overwrite").parquet(f"{path}/v={v}/batch_id={batch_id}")
+        df.write.mode("overwrite").parquet(f"{path}/v={v}/{folder}")
         fs.write_text_file(spark, f"{path}/v={v}/{MARKER}", "")
         return v
-    df.write.mode("overwrite").parquet(f"{path}/v={v}/batch_id={batch_id}")
+    seen = Observation()
+    (df.observe(seen, F.count(F.lit(1)).alias("n")).withColumn("batch_id", F.lit(str(batch_id)))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_id").parquet(f"{path}/v={v}"))
+    if seen.get["n"] == 0:                               # no rows, so no partition was switched
+        df.limit(0).write.mode("overwrite").parquet(f"{path}/v={v}/{folder}")
     return v
 
 

@@ -64,7 +64,8 @@ def type_columns(df: DataFrame, schema) -> DataFrame:
 
 
 def parse_delimited(lines: DataFrame, schema, sep: str = "|", value_col: str = "value",
-                    null_if_empty: bool = True, escaped: bool = True) -> DataFrame:
+                    null_if_empty: bool = True, escaped: bool = True,
+                    keep: Sequence[str] = ()) -> DataFrame:
     """S6 core: split text lines into typed columns, marking rejects.
 
     Rules (the warehouse's ``COPY ... TRAILING NULLCOLS DELIMITER``; what
@@ -79,13 +80,15 @@ def parse_delimited(lines: DataFrame, schema, sep: str = "|", value_col: str = "
       * backslash escapes inside a cell are undone (``escaped=False`` leaves
         them), so cells come back as they were dumped.
     The result has the schema's columns plus ``_raw`` (the line) and
-    ``_reject_reason`` (NULL for good rows).  One pass, all expressions.
+    ``_reject_reason`` (NULL for good rows), then the columns of ``lines`` named
+    in ``keep``.  One pass, all expressions.
     """
     st = _schema(schema)
     parts = F.split(F.col(value_col), re.escape(sep), -1)
     n = len(st.fields)
     cols, bad = [], []
-    src = lines.where(F.col(value_col) != "").select(F.col(value_col).alias(RAW), parts.alias("_p"))
+    src = lines.where(F.col(value_col) != "").select(F.col(value_col).alias(RAW), parts.alias("_p"),
+                                                   *keep)
     for i, f in enumerate(st.fields):
         cell = F.when(F.size("_p") > i, F.col("_p")[i])
         if null_if_empty:
@@ -98,7 +101,7 @@ def parse_delimited(lines: DataFrame, schema, sep: str = "|", value_col: str = "
     reason = F.when(F.size("_p") > n, F.lit("too many fields"))
     for b in bad:
         reason = F.coalesce(reason, b)
-    return src.select(*cols, F.col(RAW), reason.alias(REASON))
+    return src.select(*cols, F.col(RAW), reason.alias(REASON), *keep)
 
 
 def read_delimited(spark: SparkSession, path: str | Sequence[str], schema, sep: str = "|",
