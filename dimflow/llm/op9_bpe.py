@@ -28,9 +28,12 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: The same for ASCII texts, whose letters, digits and blanks are plain ranges.
 ASCII_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+"
                  r"|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
-#: Distinct words a worker remembers before it starts anew (a matter of memory
-#: only; results do not depend on it).
-MEMORY = 800_000
+#: Characters of distinct words (and 32 a word) that a worker remembers before it
+#: starts anew (a matter of memory only; results do not depend on it).
+MEMORY = 16_000_000
+#: Characters of a text that are split into words at a time.
+BLOCK = 1 << 20
+_CUT = re.compile(r"(?<=[!-~]) (?=[!-~])")
 _FAR = np.int64(1) << 40
 
 
@@ -101,7 +104,6 @@ class Bpe:
 
     def reset(self) -> None:
         self.index.clear()
-        self.done = 0
         self.ids = np.empty(0, dtype=np.uint32)
         self.cut = np.zeros(1, dtype=np.int64)
 
@@ -243,8 +245,8 @@ class Bpe:
 
     def learn(self) -> None:
         """Encode the words added to the index since the last call."""
-        words = [w.encode() for w in list(self.index)[self.done:]]
-        self.done += len(words)
+        words = [w.encode() for w in self.index.fresh]
+        self.index.fresh = []
         if not words:
             return
         tokens = [self.propose(w) for w in words]
@@ -264,7 +266,7 @@ class Bpe:
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text as uint32 arrays."""
-        if len(self.index) > MEMORY:
+        if self.index.held > MEMORY:
             self.reset()
         number = self.index.__getitem__
         plan = []
@@ -276,8 +278,10 @@ class Bpe:
                 if i % 2:
                     parts.append(self.specials[piece])
                 else:
-                    found = (self.split_ascii if piece.isascii() else self.split).findall(piece)
-                    parts.append(np.fromiter(map(number, found), np.int64, len(found)))
+                    split = self.split_ascii if piece.isascii() else self.split
+                    for block in _blocks(piece):
+                        found = split.findall(block)
+                        parts.append(np.fromiter(map(number, found), np.int64, len(found)))
             plan.append(parts)
         self.learn()
         return [np.concatenate([np.array([p], dtype=np.uint32) if isinstance(p, int)
@@ -295,11 +299,36 @@ class Bpe:
             "utf-8", errors="replace")
 
 
+def _blocks(text: str, size: int = BLOCK):
+    """``text`` in parts of about ``size`` characters, cut before a single blank
+    between two other characters: a new word begins there in any case."""
+    lo = 0
+    while len(text) - lo > size:
+        at = _CUT.search(text, lo + size)
+        if not at:
+            break
+        yield text[lo:at.start()]
+        lo = at.start()
+    yield text[lo:] if lo else text
+
+
 class _Index(dict):
+    """Word -> number; new words are listed until they are learned."""
+
+    def __init__(self):
+        self.fresh: list[str] = []
+        self.held = 0
+
     def __missing__(self, word: str) -> int:
         self[word] = n = len(self)
+        self.fresh.append(word)
+        self.held += len(word) + 32
         return n
 
+    def clear(self) -> None:
+        super().clear()
+        self.__init__()
+
 
 @functools.lru_cache(maxsize=2)
 def tokenizer(path: str) -> Bpe:

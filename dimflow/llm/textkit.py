@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK = 1 << 20
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 _U = np.uint64
 
 _SPACE = np.zeros(256, dtype=bool)
