@@ -5,8 +5,11 @@ with the states boilerplate (0) and content (1) scores line sequences, Viterbi
 decoding gives the best one, and the share of words on content lines decides
 whether the document stays.  The CRF is trained here by maximum likelihood
 (forward-backward gradients, L2 penalty) on a bounded sample of labelled
-documents: each line of a document of quality 1 counts as content, of quality 0
-as boilerplate.  Count rules reject very short and very repetitive documents
+documents.  Labels are given to documents, states belong to lines: a line starts
+as content or boilerplate by the documents in which lines of its kind occur (a
+naive Bayes score of its features and its document's label), and the chain is
+then trained in a few rounds, each on the states that the last one decoded with
+the document's label as a prior.  Count rules reject very short and very repetitive documents
 first; they and the decoding read whole texts.
 """
 
@@ -22,9 +25,14 @@ from pyspark.sql import functions as F
 from dimflow.llm import textkit as tk
 from dimflow.llm.common import map_arrow
 
-#: Bounds of the training sample: labelled documents, and lines of each.
+#: Bounds of the training sample: labelled documents, and lines of each, taken in
+#: blocks of neighbouring lines spread over the whole text.
 SAMPLE_DOCS = 3000
 SAMPLE_LINES = 200
+SAMPLE_BLOCKS = 4
+#: Log-odds that a document's label gives each of its lines, and training rounds.
+PRIOR = 1.0
+ROUNDS = 3
 MIN_SHARE = 0.5
 
 _SYMBOL = np.zeros(256, dtype=bool)
@@ -63,7 +71,8 @@ class _Lines:
         self.n_words = per_doc
         self.word_chars = _sums(solid_chars, cut)
         symbols = _cum(_SYMBOL[data])
-        self.n_symbols = symbols[offs[1:]] - symbols[offs[:-1]]
+        self.n_symbols = (symbols[offs[1:]] - symbols[offs[:-1]]).astype(np.int64)
+        del symbols
         repeated = _repeated(h, doc_of_word)
         self.n_repeat = _sums(repeated, cut)
         # lines that hold a word, as byte ranges
@@ -106,7 +115,11 @@ class _Lines:
 
 
 def _cum(flags: np.ndarray) -> np.ndarray:
-    return np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
+    """Running counts; half the memory as long as they fit."""
+    kind = np.int32 if len(flags) < 1 << 31 else np.int64
+    out = np.zeros(len(flags) + 1, dtype=kind)
+    np.cumsum(flags, dtype=kind, out=out[1:])
+    return out
 
 
 def _sums(values: np.ndarray, cut: np.ndarray) -> np.ndarray:
@@ -232,18 +245,52 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = SAMPLE_DOCS,
         for batch in batches:
             for texts in tk.texts_of(batch.column("text")):
                 lines = _Lines(texts)
-                x = [lines.features[a:min(b, a + max_lines)].astype(np.uint8).tobytes()
-                     for a, b in zip(lines.cut[:-1], lines.cut[1:])]
+                spans = [(i, lo, hi) for i, (a, b) in enumerate(zip(lines.cut[:-1], lines.cut[1:]))
+                         for lo, hi in _blocks(int(a), int(b), max_lines)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("quality").slice(texts.first, len(texts)),
-                     pa.array(x, pa.binary())], ["quality", "x"])
+                    [batch.column("quality").slice(texts.first, len(texts)).take(
+                        pa.array([i for i, _, _ in spans], pa.int64())),
+                     pa.array([lines.features[lo:hi].astype(np.uint8).tobytes()
+                               for _, lo, hi in spans], pa.binary())], ["quality", "x"])
     rows = map_arrow(chosen, run, "quality int, x binary").collect()
-    data = [(np.frombuffer(r.x, dtype=np.uint8).reshape(-1, N_FEATURES), r.quality)
-            for r in rows if r.x]
+    data = [(np.frombuffer(r.x, dtype=np.uint8).reshape(-1, N_FEATURES), r.quality) for r in rows]
     if len({q for _, q in data}) < 2:
         return None
     data.sort(key=lambda d: (d[1], d[0].shape[0], d[0].tobytes()))
-    return fit_crf([(x, np.full(len(x), q)) for x, q in data])
+    states = first_states(data)
+    for i in range(ROUNDS):
+        model = fit_crf([(x, y) for (x, _), y in zip(data, states)],
+                        steps=60 if i + 1 < ROUNDS else 120)
+        states = [np.array(viterbi(x @ model[0] + _prior(q), model[1])) for x, q in data]
+    return model
+
+
+def _blocks(a: int, b: int, limit: int) -> list[tuple[int, int]]:
+    """At most ``limit`` of the lines a..b: all, or blocks spread evenly."""
+    if b - a <= limit:
+        return [(a, b)] if b > a else []
+    size = max(1, limit // SAMPLE_BLOCKS)
+    starts = np.linspace(a, b - size, SAMPLE_BLOCKS).astype(int).tolist()
+    return [(s, s + size) for s in starts]
+
+
+def _prior(quality: int) -> np.ndarray:
+    return np.array([0.0, PRIOR]) if quality else np.array([PRIOR, 0.0])
+
+
+def first_states(data: list[tuple[np.ndarray, int]]) -> list[np.ndarray]:
+    """The state of each line from its kind: how much more often its features
+    occur on lines of good documents than of bad ones (every document counts
+    once, however many lines it has), and its own document's label."""
+    seen = np.full((2, N_FEATURES), 0.5)
+    total = np.ones(2)
+    for x, q in data:
+        seen[q] += x.mean(axis=0)
+        total[q] += 1
+    p = np.clip(seen / total[:, None], 1e-3, 1 - 1e-3)
+    weight = np.log(p[1] / p[0])
+    weight[0] = 0.0
+    return [(x @ weight + (_prior(q)[1] - _prior(q)[0]) > 0).astype(np.int64) for x, q in data]
 
 
 _FIELDS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
