@@ -247,6 +247,22 @@ def test_chains_against_all_predecessors(points):
     assert (np.diff(p[best]) <= op2.MAX_GAP).all() and (np.diff(q[best]) <= op2.MAX_GAP).all()
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 11), st.integers(0, 50)), max_size=60), st.data())
+def test_fenwick_tree_against_a_list(steps, data):
+    tree, live = op2._Fenwick(12), {}
+    for match, (place, value) in enumerate(steps):
+        if live and value % 3 == 0:
+            gone = data.draw(st.sampled_from(sorted(live)))
+            tree.leave(live.pop(gone)[0], gone)
+        tree.enter(place, float(value), match)
+        live[match] = (place, float(value))
+        lo, hi = sorted(data.draw(st.tuples(st.integers(0, 12), st.integers(0, 12))))
+        want = max((v for q, v in live.values() if lo <= q < hi), default=-np.inf)
+        got, at = tree.best(lo, hi)
+        assert got == want and (at == -1 if want == -np.inf else live[at][1] == want)
+
+
 def test_passages_edges(edge, empty):
     got = {(r.doc_id, r.other_id): (r.start, r.end, r.matched)
            for r in op2.repeated_passages(edge).collect()}
