@@ -3,6 +3,7 @@ connected components."""
 
 from __future__ import annotations
 
+import ctypes
 import pathlib
 import tempfile
 import zipfile
@@ -37,9 +38,22 @@ def partitions(spark: SparkSession) -> int:
 
 def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema: str) -> DataFrame:
-    """``mapInArrow`` whose workers can import this package."""
+    """``mapInArrow`` whose workers can import this package and hand freed memory
+    back at the end of each task (workers are reused by later stages)."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def task(batches):
+        yield from run(batches)
+        release_memory()
+    return df.mapInArrow(task, schema)
+
+
+def release_memory() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:                               # no such call in this C library
+        pass
 
 
 def ship(spark: SparkSession) -> None:
