@@ -437,7 +437,11 @@ def refresh_dimensions(spark: SparkSession, registry_path: str, update_log_path:
         done = spark.createDataFrame([(t,) for t in loaded], "table_name string")
         TB.publish(ST.mark_complete(TB.read_table(spark, update_log_path), done), update_log_path)
         now = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-        TB.publish(ST.mark_loaded(registry, done, now), registry_path)
+        # the registry as it is now; a reload asked for during the run is still to come
+        current = TB.read_table(spark, registry_path)
+        asked = current.where("reload_table = 1").select("table_name").join(
+            registry.where("reload_table = 1").select("table_name"), "table_name", "left_anti")
+        TB.publish(ST.request_reload(ST.mark_loaded(current, done, now), asked), registry_path)
     return {"dumped": res.successes, "dump_errors": res.errors, "loaded": loaded, "failed": failed,
             "location": res.location}
 
@@ -486,6 +490,7 @@ def rerun_failed(spark: SparkSession, load_log_path: str, platform: str, now: in
     run_time = int(pick.failed_run_time)
     res = extract(spark, registry, read_source, root, str(run_time), version=platform, **kw)
     status = "FAILED" if res.errors else "COMPLETED"
+    load_log = TB.read_table(spark, load_log_path)       # with what other runs added meanwhile
     TB.publish(ST.set_load_status(load_log, run_time, platform, status), load_log_path)
     return res
 

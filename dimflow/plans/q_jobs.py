@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from dimflow.operators import quality as Q
 from dimflow.operators import registry as R
+from dimflow.operators import state as ST
 from dimflow.operators.load import assign_identity
 from dimflow.plans import jobs as J
 from dimflow.plans.catalog import register
@@ -298,15 +299,15 @@ def q_ready_by_marker(spark, sf):
     return Q.ready_batches(Q.manifest_check(data, listed), None, Q.has_success(files))
 
 
-@register("full_refresh", "select * from nation union all select * from nation where n_nationkey % 2 = 0")
+@register("full_refresh", "select * from orders union all select * from orders where o_orderkey % 2 = 0")
 def q_full_refresh(spark, sf):
     """A table published three times; staging emptied in between."""
     base = scratch_path(spark, "publish")
-    n = table(spark, sf, "nation")
+    n = table(spark, sf, "orders")
     TB.publish(n.where("false"), f"{base}/t")
     TB.load_staging(n, f"{base}/stg")
     TB.truncate(spark, f"{base}/stg", n.schema)
-    TB.load_staging(n.where("n_nationkey % 2 = 0"), f"{base}/stg")
+    TB.load_staging(n.where("o_orderkey % 2 = 0"), f"{base}/stg")
     TB.publish(n, f"{base}/t")
     now = TB.read_table(spark, f"{base}/t").unionAll(TB.read_table(spark, f"{base}/stg"))
     TB.publish(now, f"{base}/t")
@@ -380,6 +381,35 @@ def q_refresh_job(spark, sf):
     return TB.read_table(spark, f"{base}/wh/customer")
 
 
+@register("refresh_keeps_request", """
+select c_custkey, c_name, 'NEW' as c_mktsegment, TIMESTAMP '2024-01-01 00:00:00' as updated_at from customer""")
+def q_refresh_keeps_request(spark, sf):
+    """A reload asked for while a run dumps and loads is honoured by the
+    next run, which replaces all rows."""
+    base = scratch_path(spark, "refresh-request")
+    cols = ["c_custkey", "c_name", "c_mktsegment", "updated_at"]
+    src = table(spark, sf, "customer").withColumn(
+        "updated_at", F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00'")).select(*cols)
+    TB.publish(_registry(spark, ",".join(cols)), f"{base}/registry")
+    TB.publish(spark.createDataFrame(
+        [], "log_id long, table_name string, update_date timestamp_ntz, uploaded_to_vertica string"),
+        f"{base}/updates")
+    TB.publish(src.where("false"), f"{base}/wh/customer")
+    spec = _spec(spark, base, _entry("customer", cols, delimiter="|", **_customer()))
+
+    def first(_):
+        registry = TB.read_table(spark, f"{base}/registry")
+        TB.publish(ST.request_reload(registry, registry.select("table_name")), f"{base}/registry")
+        return src
+
+    def run(hour, read):
+        J.refresh_dimensions(spark, f"{base}/registry", f"{base}/updates", read,
+                             f"{base}/dumps", f"{base}/wh", spec, hour, log_path=f"{base}/log")
+    run(HOUR, first)
+    run(HOUR + 1, lambda _: src.withColumn("c_mktsegment", F.lit("NEW")))
+    return TB.read_table(spark, f"{base}/wh/customer")
+
+
 @register("backfill_job", "select c_custkey, c_name, c_acctbal from customer")
 def q_backfill_job(spark, sf):
     """E1/E5 with an ini schema file (S15): a dump into a named folder, read

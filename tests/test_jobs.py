@@ -121,6 +121,24 @@ def test_rerun_failed_and_backfill(spark, tmp_path):
     assert bf.location.endswith("/2023121500") and bf.successes == ["customer", "nation"]
 
 
+def test_rerun_keeps_what_other_runs_logged(spark, tmp_path):
+    ensure_checkpoint_dir(spark)
+    ll, schema = str(tmp_path / "load_log"), "run_time bigint, status string, platform string"
+    TB.publish(spark.createDataFrame([(202401010000, "FAILED", "other")], schema), ll)
+    reg = _registry(spark).withColumn("status", F.lit("LIVE"))
+    sources, added = _sources(spark), []
+
+    def read_source(name):
+        if not added:                                    # another run logs meanwhile
+            added.append(name)
+            TB.publish(TB.read_table(spark, ll).unionAll(
+                spark.createDataFrame([(202401010200, "STARTED", "other")], schema)), ll)
+        return sources(name)
+    J.rerun_failed(spark, ll, "other", 202401020000, reg, read_source, str(tmp_path / "dumps"), threads=1)
+    assert {(r.run_time, r.status) for r in TB.read_table(spark, ll).collect()} == {
+        (202401010000, "COMPLETED"), (202401010200, "STARTED")}
+
+
 def test_dump_run_logs_and_load_advances_summary(spark, tmp_path):
     ensure_checkpoint_dir(spark)
     root, wh = str(tmp_path / "dumps"), str(tmp_path / "wh")
