@@ -12,10 +12,10 @@ SALT = 32
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT) -> DataFrame:
     """(key): those with at least ``share`` of the rows of ``df``, at most
-    1 / share of them.  Counts are added up before they are shuffled."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.agg(F.count(F.lit(1)).alias("_all"))
-    return counts.join(F.broadcast(total), F.col("_n") >= F.col("_all") * share).select(key)
+    1 / share of them.  Counts are added up before they are shuffled; the number
+    of rows is asked for first."""
+    least = share * df.count()
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least).select(key)
 
 
 def salted_lookup(stg: DataFrame, lookup: DataFrame, stg_key: str, lookup_key: str,
