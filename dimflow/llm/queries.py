@@ -66,9 +66,9 @@ def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op2_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fuzzy passages that documents share with earlier documents."""
-    from dimflow.llm.op2_passages import repeated_passages
-    return repeated_passages(read_table(spark, sf_dir, "documents"))
+    """Fuzzy passages that documents share, each with its class and links."""
+    from dimflow.llm.op2_passages import passage_classes, repeated_passages
+    return passage_classes(repeated_passages(read_table(spark, sf_dir, "documents")))
 
 
 @register

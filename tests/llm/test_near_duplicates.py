@@ -263,12 +263,56 @@ def test_fenwick_tree_against_a_list(steps, data):
         assert got == want and (at == -1 if want == -np.inf else live[at][1] == want)
 
 
+@pytest.mark.parametrize("copies", [2, 3, 16, 32, 33, 40])
+def test_copies_of_a_passage_give_one_form(spark, copies):
+    """However many copies: a row for each but the first, against the first."""
+    rng = random.Random(copies)
+    p, q = _random_words(rng, 60), _random_words(rng, 50)
+    rows = [(i, " ".join(_random_words(rng, 30) + p + _random_words(rng, 30)))
+            for i in range(copies)]
+    rows += [(100, " ".join(q)), (101, " ".join(q)), (102, None), (103, " ".join(q[:30]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = op2.repeated_passages(df)
+    got = sorted(tuple(r) for r in found.collect())
+    assert got == [(i, 0, 30, 90, 30, 90, 60, 1.0) for i in range(1, copies)] + [
+        (101, 100, 0, 50, 0, 50, 50, 1.0)]
+    classes = sorted(tuple(r) for r in op2.passage_classes(found).collect())
+    assert classes == [(i, 30, 90, 0, copies - 1 if i == 0 else 1, 1.0)
+                       for i in range(copies)] + [(i, 0, 50, 100, 1, 1.0) for i in (100, 101)]
+
+
+def test_classes_lose_no_link_between_different_texts(spark):
+    """Changed passages are held against one of each class of equal ones, as a
+    comparison of all pairs of different passages has it."""
+    rng = random.Random(8)
+    p, texts = _random_words(rng, 60), {}
+    for variant in range(6):
+        w = list(p)
+        for j in rng.sample(range(60), 3):
+            w[j] = f"z{variant}_{j}"
+        for copy in range(4):
+            texts[copy * 10 + variant] = (variant, w)
+    rows = [(i, " ".join(_random_words(rng, 20) + w + _random_words(rng, 20)))
+            for i, (_, w) in texts.items()]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = op2.repeated_passages(df)
+    got = {(r.doc_id, r.other_id) for r in found.collect()}
+    between = {frozenset((texts[a][0], texts[b][0])) for a, b in got} - {
+        frozenset((v,)) for v in range(6)}
+    assert len(between) == 15                            # all pairs of the six variants
+    assert {(i, i % 10) for i in texts if i >= 10} <= got
+    assert len(got) < 276 / 2                            # copies are not all paired
+    classes = op2.passage_classes(found).collect()
+    assert {r.doc_id for r in classes} == set(texts) and {r.class_id for r in classes} == {0}
+
+
 def test_passages_edges(edge, empty):
     got = {(r.doc_id, r.other_id): (r.start, r.end, r.matched)
            for r in op2.repeated_passages(edge).collect()}
     assert got[7, 6] == (0, 30_000, 30_000) and got[9, 8] == (0, 397, 397)
     assert {k for k in got if 10 not in k} == {(7, 6), (9, 8)}
     assert op2.repeated_passages(empty).count() == 0
+    assert op2.passage_classes(op2.repeated_passages(empty)).count() == 0
 
 
 def vectors(n=300, dim=24, seed=3):
