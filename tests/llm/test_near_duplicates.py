@@ -247,6 +247,22 @@ def test_chains_against_all_predecessors(points):
     assert (np.diff(p[best]) <= op2.MAX_GAP).all() and (np.diff(q[best]) <= op2.MAX_GAP).all()
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.sets(st.tuples(st.integers(0, 2), st.integers(0, 300), st.integers(0, 300)),
+               max_size=60))
+def test_groups_keep_every_chain(points):
+    row, p, q = (np.array(c, dtype=np.int64) for c in zip(*sorted(points))) if points else (
+        np.empty(0, dtype=np.int64),) * 3
+    want, got = set(), set()
+    for r in range(3):
+        x, y = p[row == r], q[row == r]
+        if len(x):
+            want |= {(r, tuple(x[c]), tuple(y[c])) for c in op2.chains(x, y, op2.MIN_SEEDS)}
+    for r, x, y in op2._groups(row, p, q):
+        got |= {(r, tuple(x[c]), tuple(y[c])) for c in op2.chains(x, y, op2.MIN_SEEDS)}
+    assert got == want
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 11), st.integers(0, 50)), max_size=60), st.data())
 def test_fenwick_tree_against_a_list(steps, data):
