@@ -9,6 +9,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from dimflow.functions import timeutil
 from dimflow.operators import quality as Q
 from dimflow.operators import registry as R
 from dimflow.operators import state as ST
@@ -22,6 +23,7 @@ from dimflow.sinks import files as K
 from dimflow.sinks import fs
 from dimflow.sinks import tables as TB
 from dimflow.sources import files as S
+from dimflow.sources import spec_lines as SL
 from dimflow.sources import specs as SP
 
 HOUR = 473352
@@ -215,28 +217,85 @@ def q_distinct_items_long(spark, sf):
 select 'dim_' || p_partkey as name, 'id_' || p_partkey || ',name'
  || case when p_partkey % 10 = 0 then ',extra_' || p_partkey else '' end as columns from part""")
 def q_spec_document(spark, sf):
-    """A document with every part as a table of one group, and every tenth
-    again in a second; column order follows the groups."""
-    def entries(df, columns):
+    """Every part as a table of one group, and every tenth again in a
+    second, a table a line; column order follows the groups."""
+    path = SL.write_spec_lines(_part_specs(spark, sf), f"{scratch_path(spark, 'spec')}/schema")
+    return SL.table_specs(SL.read_lines(spark, path)).select("name", "columns")
+
+
+def _part_specs(spark, sf):
+    """(group, index, spec): JSON of a table spec a part, and of every tenth again."""
+    def entries(df, group, columns):
         cols = F.array(*[F.struct(F.lit("KEY").alias("field_type"), c.alias("output_name"))
                          for c in columns])
-        return df.select("p_partkey", F.to_json(F.struct(
-            F.concat(F.lit("dim_"), "p_partkey").alias("name"), F.lit("select").alias("sql"),
-            cols.alias("columns"))).alias("value"))
+        kept = F.when(F.col("p_partkey") % 3 == 0, F.struct(
+            F.col("p_size").alias("days"), F.col("p_brand").alias("tier")))
+        return df.select(F.lit(group).alias("group"), F.col("p_partkey").alias("index"), F.to_json(
+            F.struct(F.concat(F.lit("dim_"), "p_partkey").alias("name"),
+                     F.lit("select").alias("sql"), cols.alias("columns"),
+                     kept.alias("retention"))).alias("spec"))
+    part = table(spark, sf, "part").select("p_partkey", "p_size", "p_brand")
+    return entries(part, 0, [F.concat(F.lit("id_"), "p_partkey"), F.lit("name")]).unionAll(
+        entries(part.where("p_partkey % 10 = 0"), 1, [F.concat(F.lit("extra_"), "p_partkey")]))
+
+
+@register("spec_options", """
+select 'dim_' || p_partkey as name, cast(g as bigint) as "group", 'retention' as option,
+ '{"days":' || p_size || ',"tier":"' || p_brand || '"}' as value, cast(p_size as bigint) as days
+ from part, (values (0), (1)) as v(g)
+ where p_partkey % 3 = 0 and (g = 0 or p_partkey % 10 = 0)""")
+def q_spec_options(spark, sf):
+    """Options that no typed field names are kept, as VARIANT."""
+    path = SL.write_spec_lines(_part_specs(spark, sf), f"{scratch_path(spark, 'spec')}/schema")
+    return SL.other_options(SL.read_lines(spark, path)).select(
+        "name", "group", "option", F.to_json("value").alias("value"),
+        F.try_variant_get("value", "$.days", "bigint").alias("days"))
+
+
+@register("spec_bad_lines", """
+select p_partkey as index, p_partkey % 4 = 0 as has_json from part where p_partkey % 4 in (0, 1)""")
+def q_spec_bad_lines(spark, sf):
+    """Lines cut short and lines without a table name are rejects, not specs."""
     part = table(spark, sf, "part").select("p_partkey")
-    first = entries(part, [F.concat(F.lit("id_"), "p_partkey"), F.lit("name")])
-    second = entries(part.where("p_partkey % 10 = 0"), [F.concat(F.lit("extra_"), "p_partkey")])
-
-    def lines(df, group):
-        least = df.agg(F.min("p_partkey")).scalar()
-        return df.select(F.lit(group).alias("g"), "p_partkey", F.concat(
-            F.when(F.col("p_partkey") == least, "").otherwise(","), "value").alias("value"))
-    frame = spark.createDataFrame(
-        [(0, '{"version":"1","groups":[{"tables":['), (2, ']},{"tables":['), (4, "]}]}")],
-        "g int, value string").select("g", F.lit(None).cast("long").alias("p_partkey"), "value")
-    doc = frame.unionAll(lines(first, 1)).unionAll(lines(second, 3)).orderBy("g", "p_partkey")
-    path = K.fs.write_single_file(doc.select("value"), f"{scratch_path(spark, 'spec')}/schema.json")
-    return SP.read_table_specs(spark, path)[0].select("name", "columns")
+    line = F.concat(F.lit('{"version":"1","group":0,"index":'), "p_partkey", F.lit(',"table":{"'),
+                    F.when(F.col("p_partkey") % 4 == 0, "nickname").otherwise("name"),
+                    F.lit('":"t"'), F.when(F.col("p_partkey") % 4 == 1, "").otherwise("}}"))
+    path = f"{scratch_path(spark, 'spec')}/schema"
+    part.select(line.alias("value")).write.text(path)
+    return SL.bad_lines(SL.read_lines(spark, path)).select(
+        F.regexp_extract("line", '"index":([0-9]+)', 1).cast("bigint").alias("index"), "has_json")
+
+
+@register("spec_fallback", """
+select 'batch' as used, count(*) as n from part union all
+select 'local', count(*) from part where p_partkey % 10 = 0 union all
+select 'missing', count(*) from part where p_partkey % 10 = 0""")
+def q_spec_fallback(spark, sf):
+    """A load takes the batch's spec, the local one when asked, and the
+    local one where the batch has none."""
+    base = scratch_path(spark, "specs")
+    specs = _part_specs(spark, sf)
+    batch = SL.write_spec_lines(specs.where("group = 0"), f"{base}/batch/schema")
+    local = SL.write_spec_lines(specs.where("group = 1"), f"{base}/local/schema")
+    used = {"batch": SP.resolve_spec(spark, batch, local),
+            "local": SP.resolve_spec(spark, batch, local, prefer_local=True),
+            "missing": SP.resolve_spec(spark, f"{base}/none/schema", local)}
+    out = None
+    for name, path in used.items():
+        n = SL.table_specs(SL.read_lines(spark, path)).agg(F.count("*").alias("n")).select(
+            F.lit(name).alias("used"), "n")
+        out = n if out is None else out.unionAll(n)
+    return out
+
+
+@register("max_hour_file", """
+select max(date_diff('hour', timestamp '1970-01-01', cast(o_orderdate as timestamp))) as hour
+ from orders""")
+def q_max_hour_file(spark, sf):
+    """K5: the newest hour of the data, written as the one-value file and read back."""
+    hour = table(spark, sf, "orders").agg(F.max(timeutil.utc_hour(F.col("o_orderdate")))).first()[0]
+    path = K.write_max_hour(spark, f"{scratch_path(spark, 'hour')}/data_max_utc_hour", hour)
+    return spark.read.text(path).select(F.col("value").cast("bigint").alias("hour"))
 
 
 @register("schema_doc_round_trip", with_fixtures("""
@@ -252,10 +311,11 @@ with listed as (
 select distinct table_name as name, array_to_string(string_split(stats_keys, ','), ';') as keys, metrics,
  database_name as db_name from listed""", "fx_registry"))
 def q_schema_doc_round_trip(spark, sf):
-    """K4 -> S12: the schema document written line by line and read back."""
+    """K4 -> S12: the schema document, a table a line, written and read back."""
     rows = R.schema_doc_rows(fixture(spark, sf, "fx_registry"))
-    path = K.write_schema_doc(rows, f"{scratch_path(spark, 'doc')}/schema.json")
-    return SP.read_table_specs_a(spark, path).withColumn("keys", F.array_join("keys", ";"))
+    path = SL.write_registry_lines(rows, f"{scratch_path(spark, 'doc')}/schema")
+    return SL.registry_specs(SL.read_lines(spark, path)).withColumn(
+        "keys", F.array_join("keys", ";"))
 
 
 @register("manifest_files", """

@@ -47,7 +47,11 @@ def read_table_specs_a(spark: SparkSession, path: str) -> DataFrame:
     """Schema document A as ``(name, keys, metrics, db_name)`` rows; for
     a repeated name the last entry wins."""
     doc = spark.read.schema(DOC_A).option("multiLine", "true").json(path)
-    t = doc.select(F.posexplode("tables").alias("_i", "_t"))
+    return last_entries(doc.select(F.posexplode("tables").alias("_i", "_t")))
+
+
+def last_entries(t: DataFrame) -> DataFrame:
+    """S12's rows of entries ``_t`` at places ``_i``: the last of each name."""
     best = t.groupBy(F.col("_t.name").alias("name")).agg(F.max_by("_t", "_i").alias("_t"))
     return best.select("name", "_t.keys", "_t.metrics", "_t.db_name")
 
@@ -62,7 +66,11 @@ def read_spec_columns(spark: SparkSession, path: str) -> DataFrame:
     """S13 (columns): ``(table_name, pos, field_type, output_name, is_sql_entry)``
     with ``pos`` (a struct of group, table and column index) ordering entries
     across groups, then within the table."""
-    occ = _occurrences(spark, path)
+    return spec_columns_of(_occurrences(spark, path))
+
+
+def spec_columns_of(occ: DataFrame) -> DataFrame:
+    """S13's column rows of occurrences (version, _gi, _ti, t)."""
     c = occ.select(F.col("t.name").alias("table_name"), "_gi", "_ti", F.col("t.sql").isNotNull().alias("_sql"),
                    F.posexplode("t.columns").alias("_ci", "c"))
     pos = F.struct("_gi", "_ti", "_ci")
@@ -86,6 +94,12 @@ def read_table_specs(spark: SparkSession, path: str,
     write_rejects.
     """
     occ = _occurrences(spark, path)
+    cols = read_spec_columns(spark, path).drop("is_sql_entry") if with_columns else None
+    return table_specs_of(occ), cols
+
+
+def table_specs_of(occ: DataFrame) -> DataFrame:
+    """S13's spec rows of occurrences (version, _gi, _ti, t)."""
     order = F.struct("_gi", "_ti")
     is_sql_occ = F.col("t.sql").isNotNull()
     entries = F.transform("t.columns", lambda c, i: F.struct(
@@ -105,7 +119,7 @@ def read_table_specs(spark: SparkSession, path: str,
     op = F.when(dim["operation"].isin("Insert", "Merge"), dim["operation"])
     op_col = F.when(dim["operation_column"] != "", dim["operation_column"])
     ins = F.struct(F.col("name").alias("n"), F.col("columns").alias("c"))
-    specs = last.select(
+    return last.select(
         "name", F.col("_l.version").alias("version"),
         F.coalesce(t["delimiter"], F.lit("|")).alias("delimiter"),
         t["file_format"].alias("file_format"),
@@ -132,8 +146,6 @@ def read_table_specs(spark: SparkSession, path: str,
                            .otherwise(F.concat(ins["n"], F.lit("."), c)))).alias("insert_columns"),
         t["reject_max"].alias("reject_max"),
         F.coalesce(t["write_rejects"], F.lit(False)).alias("write_rejects"))
-    cols = read_spec_columns(spark, path).drop("is_sql_entry") if with_columns else None
-    return specs, cols
 
 
 def resolve_spec(spark: SparkSession, batch_path: str, local_path: str,
