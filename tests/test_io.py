@@ -190,3 +190,21 @@ def test_versions_are_claimed_once(spark, tmp_path):
         versions = list(ex.map(lambda d: TB.publish(d, path), dfs))
     assert sorted(versions) == list(range(1, 9))
     assert TB.read_table(spark, path).count() == 1
+
+
+def test_dump_parts_stay_small_as_the_table_grows(spark, tmp_path):
+    """A part larger than the advisory size is split: ``partitions`` does not
+    fix the size of a writing or reading task."""
+    conf, size = spark.conf, "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = conf.get(size)
+    rows = spark.range(0, 4000, 1, 8).select("id", F.sha2(F.col("id").cast("string"), 512).alias("s"))
+    conf.set(size, "32KB")
+    try:
+        path = K.write_dump(rows, str(tmp_path), "b", "t", partitions=2)
+    finally:
+        conf.set(size, before)
+    counts = [r[0] for r in spark.read.text(path).groupBy("_metadata.file_path")
+              .count().select("count").collect()]
+    assert len(counts) > 4 and max(counts) <= 800
+    back = S.read_delimited(spark, path, rows.schema).select("id", "s")
+    assert sorted(back.collect()) == sorted(rows.collect())
