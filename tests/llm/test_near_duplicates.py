@@ -322,6 +322,39 @@ def test_classes_lose_no_link_between_different_texts(spark):
     assert {r.doc_id for r in classes} == set(texts) and {r.class_id for r in classes} == {0}
 
 
+def test_changed_passage_of_common_seeds_only(spark):
+    """Two documents share a changed passage; more than RARE others, before and
+    between them, have each of its equal stretches."""
+    rng = random.Random(21)
+    parts = [_random_words(rng, 11) for _ in range(6)]
+
+    def passage(gap):
+        return [w for part in parts for w in part + _random_words(rng, gap)]
+    texts = {1000: passage(1), 2000: passage(2)}
+    for i, part in enumerate(parts):
+        texts |= {k + i: part for k in (*range(0, 200, 10), *range(1100, 1300, 10))}
+    rows = [(i, " ".join(_random_words(rng, 30) + w + _random_words(rng, 30)))
+            for i, w in texts.items()]
+    found = op2.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = found.collect()
+    assert {(r.doc_id, r.other_id) for r in got} == {(2000, 1000)}
+    assert max(r.matched for r in got) >= 60
+    assert {(r.doc_id, r.class_id) for r in op2.passage_classes(found).collect()} == {
+        (1000, 1000), (2000, 1000)}
+
+
+def test_all_pairs_of_different_labels(spark, monkeypatch):
+    monkeypatch.setattr(op2, "BLOCK", 4)
+    rng = random.Random(22)
+    rows = [(key, doc, rng.randrange(3) if key else 1, 5, 9) for key, n in enumerate((9, 3, 40, 1))
+            for doc in rng.sample(range(100), n)]
+    df = spark.createDataFrame(rows, "key long, doc long, label long, lo int, hi int")
+    got = sorted((r.doc, r.other) for r in op2._across(df).collect())
+    want = sorted((x[1], y[1]) for x in rows for y in rows
+                  if x[0] == y[0] and x[1] > y[1] and x[2] != y[2])
+    assert got == want
+
+
 def test_passages_edges(edge, empty):
     got = {(r.doc_id, r.other_id): (r.start, r.end, r.matched)
            for r in op2.repeated_passages(edge).collect()}
