@@ -12,8 +12,10 @@ possible count and rises whenever a window exceeds its capacity.
 
 from __future__ import annotations
 
+import codecs
 import functools
 import heapq
+import json
 import os
 import re
 import zlib
@@ -31,13 +33,25 @@ GROUP = 2048
 BLOCK = 1 << 18
 #: Characters and ids that a worker's memory of units holds before it starts
 #: anew; only speed depends on it.
-MEMORY = 8_000_000
+MEMORY = 24_000_000
 
 #: Texts of these characters only: lower case is one letter for one, NFC leaves
-#: them, and every unit below is one pre-token of the tokenizer.
+#: them, all are in Latin-1, and every unit (a run of letters, a run of marks or
+#: one digit) is one pre-token of the tokenizer.
 _SAFE = re.compile(r"[\t-\r -&(-;=-~À-ÖØ-öø-ÿ]*")
-_SAFE_UNIT = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+")
 _WORD = re.compile(r"[^\t-\r ]+")
+#: What stands for a word of other characters; no safe text holds it.
+_ODD = "\0"
+_LETTER, _SINGLE, _MARK = 1, 2, 3
+_KINDS = bytearray([_MARK] * 256)
+for _b in (0x20, *range(0x09, 0x0E)):
+    _KINDS[_b] = 0
+for _b in (*range(0x61, 0x7B), *range(0xDF, 0x100)):
+    _KINDS[_b] = _LETTER
+for _b in (ord(_ODD), *range(0x30, 0x3A)):
+    _KINDS[_b] = _SINGLE
+#: The bytes of a key that a unit of 0 to 8 characters takes.
+_HEAD = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
 
 
 def default_vocabulary() -> str:
@@ -45,12 +59,40 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _plain(tokenizer) -> tuple | None:
+    """(tokenizer, letters, ends): the same model for lower-case units that are
+    one pre-token each, set apart by blanks; the letter of each byte of theirs;
+    and which ids end a unit.  None if the ids cannot tell that."""
+    from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import ByteLevel
+    spec = json.loads(tokenizer.to_str())
+    model = spec["model"]
+    suffix, vocab = model.get("end_of_word_suffix"), model["vocab"]
+    if model["type"] != "BPE" or not suffix or not all(
+            c in vocab and c + suffix in vocab for c in ByteLevel.alphabet()):
+        return None
+    spec.update(normalizer=None, post_processor=None, added_tokens=[],
+                pre_tokenizer={"type": "CharDelimiterSplit", "delimiter": " "})
+    # in UTF-8 a unit's bytes are ASCII, 0xC3 and 0x80 to 0xBF
+    level = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+    letters = [chr(b) for b in range(256)]
+    for c in range(0xC0, 0x100):
+        for b, letter in zip(chr(c).encode(), level(chr(c))[0][0]):
+            letters[b] = letter
+    letters = "".join(letters)
+    ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
+    ends[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
+    return Tokenizer.from_str(json.dumps(spec)), letters, ends
+
+
 class Units(dict):
     """Ids of units of text, by the tokenizers library, each unit encoded once.
 
     The tokenizer drops white space, so a text's ids are those of its words one
     after the other; words of plain Latin letters, digits and marks are split
     further into the tokenizer's own pre-tokens, which recur far more often.
+    A unit of up to 8 characters is known by its Latin-1 bytes as a number, a
+    longer one by its bytes, any other word by its text.
     """
 
     def __init__(self, path: str):
@@ -59,62 +101,122 @@ class Units(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.plain = _plain(self.tokenizer)
         self.reset()
 
     def reset(self) -> None:
         self.clear()
-        self.new: list[str] = []
+        self.new: list[int | bytes | str] = []
         self.held = 0
         self.ids = np.empty(0, np.uint32)
         self.bounds = np.zeros(1, np.int64)
 
-    def __missing__(self, unit: str) -> int:
+    def __missing__(self, unit: int | bytes | str) -> int:
         self[unit] = n = len(self)
         self.new.append(unit)
-        self.held += len(unit) + 8
+        self.held += 16 if isinstance(unit, int) else len(unit) + 8
         return n
 
     def _learn(self) -> None:
-        for lo in range(0, len(self.new), 1 << 16):
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(
-                self.new[lo:lo + (1 << 16)], add_special_tokens=False)]
-            count = np.array([len(x) for x in found], dtype=np.int64)
-            flat = np.fromiter((i for x in found for i in x), np.uint32, int(count.sum()))
-            self.ids = np.concatenate([self.ids, flat])
-            self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(count)])
-            self.held += len(flat)
+        """The ids of the new units, in the order of their numbers."""
+        texts = [u if isinstance(u, str) else
+                 (u.to_bytes(8, "little").rstrip(b"\0") if isinstance(u, int) else u)
+                 .decode("latin-1") for u in self.new]
+        odd = np.array([isinstance(u, str) or self.plain is None for u in self.new])
+        flat, count = [], np.zeros(len(texts), dtype=np.int64)
+        for own, rows in ((False, np.flatnonzero(~odd)), (True, np.flatnonzero(odd))):
+            for lo in range(0, len(rows), 1 << 16):
+                part = rows[lo:lo + (1 << 16)]
+                ids, n = (self._each if own else self._together)(
+                    [texts[i] for i in part.tolist()])
+                flat.append(ids)
+                count[part] = n
+        # kept as encoded: plain units first
+        order = np.argsort(odd, kind="stable")
+        begin = np.empty(len(texts), dtype=np.int64)
+        begin[order] = np.cumsum(count[order]) - count[order]
+        ids = np.concatenate(flat)[_ranges(begin, count)]
+        self.ids = np.concatenate([self.ids, ids])
+        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(count)])
+        self.held += len(ids)
         self.new = []
 
-    def _numbers(self, text: str) -> np.ndarray:
+    def _each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each) of texts, each encoded by itself."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        count = np.array([len(x) for x in found], dtype=np.int64)
+        return np.fromiter((i for x in found for i in x), np.uint32, int(count.sum())), count
+
+    def _together(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of units that are one pre-token each, many in one text."""
+        tokenizer, letters, ends = self.plain
+        lines = [codecs.charmap_decode(" ".join(units[i:i + 128]).encode(), "strict", letters)[0]
+                 for i in range(0, len(units), 128)]
+        found = [np.array(e.ids, dtype=np.uint32)
+                 for e in tokenizer.encode_batch_fast(lines, add_special_tokens=False)]
+        ids = np.concatenate(found)
+        last = np.flatnonzero(ends[ids])
+        if len(last) != len(units):                      # not told apart by their ends
+            return self._each(units)
+        return ids, np.diff(last, prepend=-1)
+
+    def _numbers(self, texts: list[str]) -> list[np.ndarray]:
+        """The numbers of each text's units."""
+        odd: list[str] = []
+
+        def safe(word: re.Match) -> str:
+            if _SAFE.fullmatch(word[0]):
+                return word[0]
+            odd.append(word[0])
+            return _ODD
+        texts = [t if _SAFE.fullmatch(t) else _WORD.sub(safe, t) for t in texts]
+        sizes = np.array([len(t) + 1 for t in texts], dtype=np.int64)
+        # blanks before, between and after; as many as a key has bytes at the end
+        raw = (" " + " ".join(texts).lower() + " " * 8).encode("latin-1")
+        kind = np.frombuffer(raw.translate(_KINDS), dtype=np.uint8)
+        edge = kind[1:] != kind[:-1]
+        edge |= kind[1:] == _SINGLE
+        edge = np.flatnonzero(edge) + 1
+        unit = np.flatnonzero(kind[edge])
+        start, stop = edge[unit], edge[unit + 1]
         number = self.__getitem__
-        if _SAFE.fullmatch(text):
-            found = _SAFE_UNIT.findall(text.lower())
-            return np.fromiter(map(number, found), np.int64, len(found))
-        out: list[int] = []
-        for word in _WORD.findall(text):
-            if _SAFE.fullmatch(word):
-                out.extend(map(number, _SAFE_UNIT.findall(word.lower())))
-            else:
-                out.append(number(word))
-        return np.array(out, dtype=np.int64)
+        out = np.empty(len(start), dtype=np.int64)
+        short = stop - start <= 8
+        at = start[short]
+        heads = np.ndarray(len(raw) - 7, dtype="<u8", buffer=raw, strides=(1,))
+        keys, where = np.unique(heads[at] & _HEAD[stop[short] - at], return_inverse=True)
+        keys = keys.tolist()
+        if keys and keys[0] == 0:                        # odd words, looked up below
+            out[short] = np.array([-1, *map(number, keys[1:])], dtype=np.int64)[where]
+        else:
+            out[short] = np.array([*map(number, keys)], dtype=np.int64)[where]
+        out[~short] = [number(raw[a:b]) for a, b in
+                       zip(start[~short].tolist(), stop[~short].tolist())]
+        if odd:
+            out[out < 0] = [number(word) for word in odd]
+        return np.split(out, np.searchsorted(start, 1 + np.cumsum(sizes)[:-1]))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of a few texts, about BLOCK characters together."""
         if self.held > MEMORY:
             self.reset()
-        plan = [self._numbers(t) for t in texts]
+        plan = self._numbers(texts)
         if self.new:
             self._learn()
         out = []
         for units in plan:
             lo = self.bounds[units]
-            n = self.bounds[units + 1] - lo
-            ends = np.cumsum(n)
-            total = int(ends[-1]) if len(ends) else 0
-            out.append(self.ids[np.arange(total) + np.repeat(lo - (ends - n), n)])
+            out.append(self.ids[_ranges(lo, self.bounds[units + 1] - lo)])
         return out
 
 
+def _ranges(lo: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The ``n`` numbers from each ``lo`` on, one after the other."""
+    ends = np.cumsum(n)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.arange(total) + np.repeat(lo - (ends - n), n)
+
+
 @functools.lru_cache(maxsize=2)
 def units_of(path: str) -> Units:
     return Units(path)

@@ -81,6 +81,38 @@ def test_units_equal_the_library(library):
         assert got[i].tolist() == e.ids, texts[i][:60]
 
 
+def test_new_plain_units_are_encoded_together(library):
+    """Unseen words of plain letters go to the library many in one text, and no
+    word of another kind takes part of theirs."""
+    letters = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+    rng = random.Random(7)
+    words = list({"".join(rng.choices(letters, k=rng.randint(1, 20))) for _ in range(5000)})
+    units = pk.Units(pk.default_vocabulary())
+    given = {"alone": 0, "together": 0}
+
+    class Counted:
+        def __init__(self, name, tokenizer):
+            self.name, self.tokenizer = name, tokenizer
+
+        def encode_batch_fast(self, texts, **options):
+            given[self.name] += len(texts)
+            return self.tokenizer.encode_batch_fast(texts, **options)
+    units.tokenizer = Counted("alone", units.tokenizer)
+    if units.plain:
+        units.plain = (Counted("together", units.plain[0]), *units.plain[1:])
+    texts = [" ".join(words), "It's " + " ".join(words[:50]).upper() + " a\0b \0 x\0",
+             "".join(f"{w}+{i}<" for i, w in enumerate(words[:99])), "12345678 123456789 ----------"]
+    got = dict(pk.encode_texts(units, texts))
+    for i, e in enumerate(library.encode_batch(texts, add_special_tokens=False)):
+        assert got[i].tolist() == e.ids
+    assert given["alone"] < 50 and 0 < given["together"] < 100
+    # the same where the vocabulary does not tell where a unit ends
+    units = pk.Units(pk.default_vocabulary())
+    units.plain = None
+    again = dict(pk.encode_texts(units, texts))
+    assert all(got[i].tolist() == again[i].tolist() for i in range(len(texts)))
+
+
 def test_long_texts_are_cut_at_white_space(library):
     text = " ".join(f"word{i % 97}, it's" for i in range(30_000))
     parts = list(pk.blocks_of(text, 1000))
