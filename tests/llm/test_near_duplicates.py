@@ -411,3 +411,16 @@ def test_near_vectors_edges(spark):
     alone = {i: (0, i, True) for i in (1, 2, 3, 4, 5, 6, 9, 10)}
     assert got == {**alone, 7: (3, 7, True), 8: (3, 7, False), 11: (3, 7, False)}
     assert op5.near_vectors(df.where("false")).count() == 0
+
+
+def test_pairs_of_common_seeds_are_compared_by_all_tasks(spark):
+    """Few small pairs may take long: they are not joined into one task."""
+    text = " ".join(f"word{i}" for i in range(60))
+    docs = spark.createDataFrame([(i, f"{i} {text}") for i in range(12)],
+                                 "doc_id long, text string")
+    pairs = spark.createDataFrame([(i, i - 1, 1, 61, 1, 61) for i in range(1, 12)],
+                                  "doc long, other long, lo int, hi int, olo int, ohi int")
+    out = op2._compared(docs, pairs, op2.MIN_WORDS, op2.MIN_IDENTITY, spread=True)
+    assert out.rdd.getNumPartitions() == op2.partitions(spark) > 1
+    plain = op2._compared(docs, pairs, op2.MIN_WORDS, op2.MIN_IDENTITY)
+    assert sorted(out.collect()) == sorted(plain.collect()) and out.count() == 11
