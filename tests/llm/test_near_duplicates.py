@@ -424,3 +424,96 @@ def test_pairs_of_common_seeds_are_compared_by_all_tasks(spark):
     assert out.rdd.getNumPartitions() == op2.partitions(spark) > 1
     plain = op2._compared(docs, pairs, op2.MIN_WORDS, op2.MIN_IDENTITY)
     assert sorted(out.collect()) == sorted(plain.collect()) and out.count() == 11
+
+
+def test_texts_without_enough_words_in_common_are_not_chained(spark, monkeypatch):
+    """Runs of one word that two texts share, but too few words of it in all."""
+    rng = random.Random(23)
+    docs = spark.createDataFrame(
+        [(i, " ".join(["the"] * 30 + _random_words(rng, 30) + ["the"] * 25 * (i > 2)))
+         for i in range(1, 5)], "doc_id long, text string")
+    pairs = spark.createDataFrame([(2, 1, 0, 30, 0, 30), (4, 3, 0, 85, 0, 85)],
+                                  "doc long, other long, lo int, hi int, olo int, ohi int")
+    calls, found, mapped, plain = [], [], op2.map_arrow, op2.chains
+
+    def here(df, run, schema):
+        if "matched" not in schema:
+            return mapped(df, run, schema)
+        found.extend(r for b in run(iter(df.toArrow().to_batches())) for r in b.to_pylist())
+        return df
+
+    def chains(p, q, least=1):
+        calls.append(len(p))
+        return plain(p, q, least)
+    monkeypatch.setattr(op2, "map_arrow", here)
+    monkeypatch.setattr(op2, "chains", chains)
+    op2._compared(docs, pairs.where("doc = 2"), op2.MIN_WORDS, op2.MIN_IDENTITY)
+    assert not calls and not found
+    op2._compared(docs, pairs, op2.MIN_WORDS, op2.MIN_IDENTITY)
+    assert len(calls) == 1 and {r["doc_id"] for r in found} <= {4}
+
+
+def _plain_align(a, b, ps, qs):
+    left = op2._reach(a[:ps[0]][::-1][:op2.REACH], b[:qs[0]][::-1][:op2.REACH])
+    right = op2._reach(a[ps[-1] + 4:][:op2.REACH], b[qs[-1] + 4:][:op2.REACH])
+    matched = left[1] + right[1] + 4
+    for i in range(1, len(ps)):
+        step = min(ps[i] - ps[i - 1], qs[i] - qs[i - 1])
+        matched += step if step <= 4 else 4 + op2._common(a[ps[i - 1] + 4:ps[i]],
+                                                          b[qs[i - 1] + 4:qs[i]])
+    return (ps[0] - left[0], ps[-1] + 4 + right[0], qs[0] - left[0], qs[-1] + 4 + right[0],
+            matched)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.tuples(st.integers(0, 5), st.integers(1, 30)), max_size=8),
+                min_size=4, max_size=4), st.integers(10, 40))
+def test_what_is_left_out_has_no_passage(texts, least):
+    """As when all groups are chained and all chains aligned, word by word."""
+    rng = random.Random(24)
+    hashes = [rng.randrange(-1 << 31, 1 << 31) for _ in range(9)]
+    words = [np.array([hashes[w if w < 4 else rng.randrange(9)] for w, n in t for _ in range(n)],
+                      dtype=np.int32) for t in texts]
+    a, b = np.concatenate(words[:2]), np.concatenate(words[2:])
+    ca, cb = (np.cumsum([0, *map(len, w)]) for w in (words[:2], words[2:]))
+    want = []
+    for r, x, y in op2._groups(*op2._shared(a, ca, b, cb)):
+        for path in op2.chains(x, y, op2.MIN_SEEDS):
+            s, e, t, u, matched = _plain_align(a[ca[r]:ca[r + 1]], b[cb[r]:cb[r + 1]],
+                                               x[path], y[path])
+            identity = matched / max(e - s, u - t)
+            if matched >= least and identity >= 0.8:
+                want.append((r, s, e, t, u, matched, identity))
+    assert op2._passages(a, ca, b, cb, least, 0.8) == want
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.sets(st.tuples(st.integers(0, 200), st.integers(0, 60)), min_size=1, max_size=120))
+def test_chains_against_a_scan_of_the_window(points):
+    """All chains, ties included: of one place the earliest, of places the latest."""
+    p, q = (np.array(c) for c in zip(*sorted(points)))
+    n, back = len(p), []
+    score, value = np.zeros(n), np.zeros(n)
+    for j in range(n):
+        tops = {}
+        for i in range(j):
+            if 0 < p[j] - p[i] <= op2.MAX_GAP and 0 < q[j] - q[i] <= op2.MAX_GAP:
+                if q[i] not in tops or value[i] > value[tops[q[i]]]:
+                    tops[q[i]] = i
+        best = max(tops.values(), key=lambda i: (value[i], i), default=-1)
+        gain = value[best] - op2.GAP * (p[j] + q[j]) if best >= 0 else 0
+        score[j] = op2.SEED + max(gain, 0)
+        back.append(best if gain > 0 else -1)
+        value[j] = score[j] + op2.GAP * (p[j] + q[j])
+    if (np.diff(p) > 0).all() and (np.diff(q) > 0).all():
+        return                                           # in order: costs added up otherwise
+    want, used = [], set()
+    for j in np.argsort(-score, kind="stable").tolist():
+        path = []
+        while j >= 0 and j not in used:
+            used.add(j)
+            path.append(j)
+            j = back[j]
+        if path:
+            want.append(path[::-1])
+    assert [list(c) for c in op2.chains(p, q)] == want
