@@ -517,3 +517,14 @@ def test_chains_against_a_scan_of_the_window(points):
         if path:
             want.append(path[::-1])
     assert [list(c) for c in op2.chains(p, q)] == want
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 4), max_size=80), st.lists(st.integers(0, 4), max_size=80))
+def test_common_words_against_the_table(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        diagonal = 0
+        for j, y in enumerate(b, 1):
+            diagonal, row[j] = row[j], (diagonal + 1 if x == y else max(row[j], row[j - 1]))
+    assert op2._common(np.array(a), np.array(b)) == row[-1]
