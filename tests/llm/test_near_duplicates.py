@@ -528,3 +528,94 @@ def test_common_words_against_the_table(a, b):
         for j, y in enumerate(b, 1):
             diagonal, row[j] = row[j], (diagonal + 1 if x == y else max(row[j], row[j - 1]))
     assert op2._common(np.array(a), np.array(b)) == row[-1]
+
+
+def test_texts_without_a_dense_stretch_are_not_matched(spark, monkeypatch):
+    """Many pairs of enough words in common, but nowhere enough of them together."""
+    rng = random.Random(25)
+
+    def words(dense):
+        other = _random_words(rng, 60)
+        some = [f"word{i}" for i in range(60)]
+        return " ".join(some + other if dense else [w for two in zip(some, other) for w in two])
+    docs = spark.createDataFrame([(i, words(i < 3)) for i in range(1, 25)],
+                                 "doc_id long, text string")
+    pairs = spark.createDataFrame([(i, i - 1, 0, 120, 0, 120) for i in range(2, 25)],
+                                  "doc long, other long, lo int, hi int, olo int, ohi int")
+    matched, found, mapped, plain = [], [], op2.map_arrow, op2._shared
+
+    def here(df, run, schema):
+        if "matched" not in schema:
+            return mapped(df, run, schema)
+        found.extend(r for b in run(iter(df.coalesce(1).toArrow().to_batches()))
+                     for r in b.to_pylist())
+        return df
+
+    def shared(a, ca, b, cb):
+        matched.append(len(ca) - 1)
+        return plain(a, ca, b, cb)
+    monkeypatch.setattr(op2, "map_arrow", here)
+    monkeypatch.setattr(op2, "_shared", shared)
+    op2._compared(docs, pairs, op2.MIN_WORDS, op2.MIN_IDENTITY)
+    assert matched == [1] and {(r["doc_id"], r["matched"]) for r in found} == {(2, 60)}
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.integers(0, 10 ** 6), st.integers(8, 40), st.integers(1, 3))
+def test_chains_of_all_groups_at_once(seed, n, dense):
+    """Also with matches in order, ties, many places of a word and long groups."""
+    rng = np.random.default_rng(seed)
+    groups = []
+    for k in range(n):
+        size = int(rng.integers(3, 30)) * (8 if k == 3 else 1)
+        if k % 5 == 0:
+            p = q = np.cumsum(rng.integers(1, 12 if k % 2 else 50, size))
+        else:
+            points = {(int(x), int(y)) for x, y in zip(
+                rng.integers(0, 30 * dense, 4 * size) * (1 if k % 2 else 4),
+                rng.integers(0, 12 if k % 3 else 60, 4 * size) * (1 if k % 2 else 4))}
+            p, q = (np.array(c, dtype=np.int64) for c in zip(*sorted(points)))
+        groups.append((p, q))
+    hi = np.cumsum([len(p) for p, _ in groups])
+    lo = hi - [len(p) for p, _ in groups]
+    match, first = op2._paths(*(np.concatenate(c) for c in zip(*groups)), lo, hi)
+    got = [c.tolist() for c in np.split(match, first[1:])] if len(first) else []
+    assert got == [(a + c).tolist() for a, (p, q) in zip(lo, groups)
+                   for c in op2.chains(p, q, op2.MIN_SEEDS)]
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.integers(0, 10 ** 6), st.integers(2, 9), st.integers(10, 40))
+def test_what_many_pairs_leave_out_has_no_passage(seed, kinds, least):
+    """Of 20 pairs at once, what each gives alone, aligned word by word."""
+    rng = np.random.default_rng(seed)
+    hashes = rng.integers(-1 << 31, 1 << 31, kinds).astype(np.int32)
+
+    def text():
+        size = rng.integers(1, 25, rng.integers(0, 9))
+        return np.concatenate([np.empty(0, dtype=np.int32), *(
+            hashes[rng.integers(0, kinds, m)] if rng.random() < .3 else
+            np.full(m, hashes[rng.integers(0, 2)]) for m in size)])
+    pairs = [(text(), text()) for _ in range(20)]
+    ca, cb = (np.cumsum([0, *map(len, c)]) for c in zip(*pairs))
+    want = []
+    for i, (a, b) in enumerate(pairs):
+        for _, x, y in op2._groups(*op2._shared(a, np.array([0, len(a)]), b,
+                                                np.array([0, len(b)]))):
+            for path in op2.chains(x, y, op2.MIN_SEEDS):
+                s, e, t, u, matched = _plain_align(a, b, x[path], y[path])
+                if matched >= least and matched / max(e - s, u - t) >= 0.8:
+                    want.append((i, s, e, t, u, matched, matched / max(e - s, u - t)))
+    a, b = (np.concatenate(c) for c in zip(*pairs))
+    assert op2._passages(a, ca, b, cb, least, 0.8) == want
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.tuples(st.lists(st.integers(0, 3), max_size=36),
+                          st.lists(st.integers(0, 3), max_size=36)), min_size=1, max_size=9))
+def test_common_words_of_many_gaps(gaps):
+    (a, ca), (b, cb) = ((np.array([w for g in side for w in g], dtype=np.int32),
+                         np.cumsum([0, *map(len, side)])) for side in zip(*gaps))
+    got = op2._all_common(np.append(a, 0), ca[:-1], np.diff(ca),
+                          np.append(b, 0), cb[:-1], np.diff(cb))
+    assert got.tolist() == [op2._common(np.array(x), np.array(y)) for x, y in gaps]
